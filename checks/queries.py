@@ -19,7 +19,7 @@ from fareloom.operators import (
     join_role,
     null_counts,
     numeric_columns,
-    train_test,
+    small_side,
 )
 from fareloom.operators.joins import role_of
 from fareloom.operators.topk import with_speed
@@ -227,7 +227,7 @@ def train_test_split(spark, d):
 
 def join_pickup_zone(spark, d):
     fact = prepared(spark, d).select(*KEY, "PULocationID")
-    return join_role(fact, zones(spark, d), "PULocationID", "LocationID", "PU")
+    return join_role(fact, small_side(zones(spark, d)), "PULocationID", "LocationID", "PU")
 
 
 def join_both_zones(spark, d):
@@ -282,14 +282,20 @@ def processed(spark, d):
 
     def build():
         path = scratch_path(spark, "training")
-        save_table(P.with_trip_time(prepared(spark, d)), path)
+        labelled = assign_split(P.with_trip_time(prepared(spark, d)), SPLIT_WEIGHTS)
+        # A small table arrives as one file split; training should use all cores.
+        cores = spark.sparkContext.defaultParallelism
+        if table(spark, d, "lineitem").rdd.getNumPartitions() < cores:
+            labelled = labelled.repartition(cores)
+        save_table(labelled, path, partition_by=["split"])
         return path
 
     return load_table(spark, once(spark, "training", d, build))
 
 
 def parts(spark, d):
-    return train_test(processed(spark, d), SPLIT_WEIGHTS)
+    data = processed(spark, d)
+    return tuple(data.filter(F.col("split") == part).drop("split") for part in ("train", "test"))
 
 
 def assembled_test(spark, d, features, label):
@@ -316,7 +322,7 @@ def scored(kind, label, features, scale=False):
 # for real tuning runs.
 CHECK_GRIDS = {
     "forest": {"numTrees": [10, 20], "maxDepth": [5]},
-    "boosted": {"maxDepth": [5], "maxIter": [5, 10]},
+    "boosted": {"maxDepth": [3, 5], "maxIter": [5]},
 }
 
 
@@ -426,7 +432,7 @@ QUERIES = {
     "null_counts": lambda s, d: null_counts(profiled(s, d)),
     "describe_columns": lambda s, d: describe_columns(profiled(s, d), digits=6),
     "correlation_matrix": lambda s, d: correlation_matrix(
-        processed(s, d).drop(*KEY, "triptime"), digits=6
+        processed(s, d).drop(*KEY, "triptime", "split"), digits=6
     ),
     # windows on static tables
     "finance_by_country": batch_twin(N.finance_by_country, "count"),

@@ -1,4 +1,4 @@
-from fareloom.operators.joins import join_role
+from fareloom.operators.joins import join_role, small_side
 from fareloom.operators.profile import (
     correlation_matrix,
     describe_columns,
@@ -17,6 +17,7 @@ __all__ = [
     "join_role",
     "null_counts",
     "numeric_columns",
+    "small_side",
     "top_avg",
     "top_count",
     "top_per_group",

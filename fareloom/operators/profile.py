@@ -15,8 +15,14 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [field.name for field in df.schema.fields if isinstance(field.dataType, wanted)]
 
 
-def _row_per_column(df: DataFrame, measures: dict[str, dict[str, Column]]) -> DataFrame:
-    """One global aggregate over all columns, then its single row turned on its side."""
+def _row_per_column(
+    df: DataFrame, measures: dict[str, dict[str, Column]], kinds: dict[str, str]
+) -> DataFrame:
+    """One global aggregate over all columns, then its single row turned on its side.
+
+    ``kinds`` names the result columns and their types; a kind that a column
+    does not measure is null.
+    """
     flat = [
         measure.alias(f"{i}.{kind}")
         for i, per_kind in enumerate(measures.values())
@@ -25,7 +31,12 @@ def _row_per_column(df: DataFrame, measures: dict[str, dict[str, Column]]) -> Da
     records = [
         F.struct(
             F.lit(column).alias("column_name"),
-            *(F.col(f"`{i}.{kind}`").alias(kind) for kind in per_kind),
+            *(
+                (F.col(f"`{i}.{kind}`") if kind in per_kind else F.lit(None))
+                .cast(type_name)
+                .alias(kind)
+                for kind, type_name in kinds.items()
+            ),
         )
         for i, (column, per_kind) in enumerate(measures.items())
     ]
@@ -33,9 +44,19 @@ def _row_per_column(df: DataFrame, measures: dict[str, dict[str, Column]]) -> Da
 
 
 def null_counts(df: DataFrame) -> DataFrame:
-    return _row_per_column(
-        df, {c: {"null_count": F.count_if(F.col(f"`{c}`").isNull())} for c in df.columns}
-    )
+    measures = {c: {"null_count": F.count_if(F.col(f"`{c}`").isNull())} for c in df.columns}
+    return _row_per_column(df, measures, {"null_count": "bigint"})
+
+
+DESCRIPTION = {
+    "row_count": "bigint",
+    "mean": "double",
+    "stddev": "double",
+    "min_value": "double",
+    "max_value": "double",
+    "min_text": "string",
+    "max_text": "string",
+}
 
 
 def describe_columns(df: DataFrame, digits: int | None = None) -> DataFrame:
@@ -49,7 +70,6 @@ def describe_columns(df: DataFrame, digits: int | None = None) -> DataFrame:
     def settle(measure: Column) -> Column:
         return measure if digits is None else F.round(measure, digits)
 
-    no_number, no_text = F.max(F.lit(None).cast("double")), F.max(F.lit(None).cast("string"))
     measures = {}
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
@@ -58,22 +78,16 @@ def describe_columns(df: DataFrame, digits: int | None = None) -> DataFrame:
                 "row_count": F.count(column),
                 "mean": settle(F.avg(column.cast("double"))),
                 "stddev": settle(F.stddev_samp(column.cast("double"))),
-                "min_value": F.min(column).cast("double"),
-                "max_value": F.max(column).cast("double"),
-                "min_text": no_text,
-                "max_text": no_text,
+                "min_value": F.min(column),
+                "max_value": F.max(column),
             }
         elif isinstance(field.dataType, StringType):
             measures[field.name] = {
                 "row_count": F.count(column),
-                "mean": no_number,
-                "stddev": no_number,
-                "min_value": no_number,
-                "max_value": no_number,
                 "min_text": F.min(column),
                 "max_text": F.max(column),
             }
-    return _row_per_column(df, measures)
+    return _row_per_column(df, measures, DESCRIPTION)
 
 
 def correlation_matrix(df: DataFrame, digits: int | None = None) -> DataFrame:

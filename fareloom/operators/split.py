@@ -16,18 +16,27 @@ def assign_split(
     train_tenths: int = 8,
     name: str = "split",
 ) -> DataFrame:
-    """Label each row "train" or "test"."""
+    """Label each row "train" or "test".
+
+    Write the table partitioned by the label and each part is read alone.
+    """
     in_train = key_bucket(weights, 10) < train_tenths
     return df.withColumn(name, F.when(in_train, "train").otherwise("test"))
 
 
 def train_test(
-    df: DataFrame, weights: Mapping[str, int], train_tenths: int = 8
+    df: DataFrame,
+    weights: Mapping[str, int] | None = None,
+    train_tenths: int = 8,
+    seed: int = 42,
 ) -> tuple[DataFrame, DataFrame]:
-    """Both parts, each a plain filter.
+    """Both parts, each a plain filter on the row key.
 
-    ``DataFrame.randomSplit`` sorts every partition and still moves rows when
-    the partitioning changes; this does neither.
+    A table without a key falls back on ``DataFrame.randomSplit``, which sorts
+    every partition and still moves rows when the partitioning changes.
     """
+    if weights is None:
+        train, test = df.randomSplit([train_tenths / 10, 1 - train_tenths / 10], seed=seed)
+        return train, test
     bucket = key_bucket(weights, 10)
     return df.filter(bucket < train_tenths), df.filter(bucket >= train_tenths)

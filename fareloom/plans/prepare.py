@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.functions import elapsed, total
-from fareloom.operators.joins import join_role
+from fareloom.operators.joins import join_role, small_side
 
 # Column names of the trip and zone tables.
 PICKUP = "tpep_pickup_datetime"
@@ -54,5 +54,6 @@ def with_trip_time(trips: DataFrame, start: str = PICKUP, end: str = DROPOFF) ->
 
 def add_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Borough and zone of both ends; null where the location is unknown."""
+    zones = small_side(zones)
     picked_up = join_role(trips, zones, "PULocationID", "LocationID", "PU", ZONE_ATTRIBUTES)
     return join_role(picked_up, zones, "DOLocationID", "LocationID", "DO", ZONE_ATTRIBUTES)

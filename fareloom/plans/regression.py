@@ -6,9 +6,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
@@ -56,6 +56,8 @@ LEAKY = FeatureSet(
 )
 DISTANCE = FeatureSet(("total_amount", "triptime", "extras", "payment_type", "passenger_count"))
 
+FEATURE_SETS = {"clean": CLEAN, "leaky": LEAKY, "distance": DISTANCE}
+
 # Estimator settings and tuning grids.
 ESTIMATORS = {
     "linear": (
@@ -149,20 +151,23 @@ def cross_validate(
     kind: str,
     label: str,
     features: FeatureSet,
-    fold_weights: Mapping[str, int],
+    fold_weights: Mapping[str, int] | None = None,
     grid: Mapping[str, Sequence] | None = None,
     folds: int | None = None,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> CrossValidatorModel:
     """Best model of ``grid`` by mean RMSE over ``folds``.
 
-    Features are assembled once, outside the folds. The fold of a row follows
-    from its key, so a retried task cannot move rows between folds.
+    Features are assembled once, outside the folds. With ``fold_weights`` the
+    fold of a row follows from its key, so a retried task cannot move rows
+    between folds; without, Spark draws the folds at random.
     """
     folds = folds or FOLDS[kind]
-    assembled = Pipeline(stages=feature_stages(features)).fit(train).transform(train)
-    data = assembled.select(
-        "features", label, key_bucket(fold_weights, folds, shift=10).alias("fold")
+    data = Pipeline(stages=feature_stages(features)).fit(train).transform(train)
+    data = data.select(
+        "features",
+        label,
+        *([key_bucket(fold_weights, folds, shift=10).alias("fold")] if fold_weights else []),
     )
     learner = estimator(kind, label)
     builder = ParamGridBuilder()
@@ -173,7 +178,8 @@ def cross_validate(
         estimatorParamMaps=builder.build(),
         evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"),
         numFolds=folds,
-        foldCol="fold",
+        foldCol="fold" if fold_weights else "",
+        seed=42,
         parallelism=parallelism,
     ).fit(data)
 

@@ -102,12 +102,7 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """News views, about 167 a minute, their time rebuilt from the event number."""
     number = F.col("event_id")
-    category = F.create_map(
-        *map(
-            F.lit,
-            ("purchase", "finance", "view", "sports", "click", "politics", "signup", "culture"),
-        )
-    )
+    kind = F.col("event_type")
     device = F.array(F.lit("mobile"), F.lit("desktop"), F.lit("tablet"))
     start = F.lit("2024-01-01 00:00:00").cast("timestamp")
     return table(spark, sf_dir, "events").select(
@@ -120,9 +115,12 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("article_"), number % 83))
         .alias("article_id"),
         F.timestamp_add("SECOND", F.floor(number * 36.0 / 100.0), start).alias("timestamp"),
-        F.coalesce(F.try_element_at(category, F.col("event_type")), F.lit("science")).alias(
-            "category"
-        ),
+        F.when(kind == "purchase", "finance")
+        .when(kind == "view", "sports")
+        .when(kind == "click", "politics")
+        .when(kind == "signup", "culture")
+        .otherwise("science")
+        .alias("category"),
         F.concat(F.lit("country_"), F.col("user_id") % 11).alias("location"),
         F.get(device, (number % 3).cast("int")).alias("device_type"),
         F.concat(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -25,9 +27,11 @@ def load_table(
     return reader.csv(path)
 
 
-def save_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def save_table(
+    df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
+) -> None:
     """Replace whatever is at ``path``."""
-    writer = df.write.mode("overwrite").format(fmt)
+    writer = df.write.mode("overwrite").format(fmt).partitionBy(*partition_by)
     if fmt == "csv":
         writer = writer.option("header", "true")
     writer.save(path)
