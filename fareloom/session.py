@@ -17,9 +17,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
-# Stream state on local disk with changelog uploads instead of on the heap, for
-# jobs whose state outgrows executor memory. Pass to ``build_session``.
-LARGE_STATE = {
+# Stream state on local disk, with its changes uploaded to the checkpoint, instead
+# of on the executor heap. The runners in ``streaming`` start every query with it.
+DISK_STATE = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),

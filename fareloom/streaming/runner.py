@@ -1,4 +1,8 @@
-"""Ways to run a stream."""
+"""Ways to run a stream.
+
+No result passes the driver: the executors write it. Complete mode keeps every
+group for good, so state goes to local disk and the checkpoint.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+
+from fareloom.session import DISK_STATE
+
+
+def _start(stream: DataFrame, writer: DataStreamWriter) -> StreamingQuery:
+    """Start with ``DISK_STATE``. A query copies its session when it starts, so
+    the settings of the caller's session can be put back at once."""
+    conf = stream.sparkSession.conf
+    before = {key: conf.get(key) for key in DISK_STATE}
+    try:
+        for key, value in DISK_STATE.items():
+            conf.set(key, value)
+        return writer.start()
+    finally:
+        for key, value in before.items():
+            conf.set(key, value)
 
 
 def run_complete(
@@ -31,14 +51,13 @@ def run_complete(
         result.write.mode("overwrite").parquet(f"{out}/batch={number}")
         done.append(number)
 
-    query = (
+    writer = (
         stream.writeStream.outputMode("complete")
         .option("checkpointLocation", f"{path}/checkpoint")
         .trigger(availableNow=True)
         .foreachBatch(write_batch)
-        .start()
     )
-    query.awaitTermination()
+    _start(stream, writer).awaitTermination()
     spark = stream.sparkSession
     if done:
         return spark.read.parquet(f"{out}/batch={done[-1]}")
@@ -51,15 +70,14 @@ def run_complete(
 def run_append(stream: DataFrame, path: str) -> DataFrame:
     """Process all available input in append mode into parquet, exactly once."""
     out = f"{path}/result"
-    query = (
+    writer = (
         stream.writeStream.outputMode("append")
         .format("parquet")
         .option("path", out)
         .option("checkpointLocation", f"{path}/checkpoint")
         .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
+    _start(stream, writer).awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(out)
 
 
@@ -70,4 +88,4 @@ def show_forever(
     writer = stream.writeStream.outputMode(mode).format("console").option("truncate", "false")
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
-    return writer.start()
+    return _start(stream, writer)
