@@ -19,14 +19,14 @@ def _start(stream: DataFrame, writer: DataStreamWriter) -> StreamingQuery:
     """Start with ``DISK_STATE``. A query copies its session when it starts, so
     the settings of the caller's session can be put back at once."""
     conf = stream.sparkSession.conf
-    before = {key: conf.get(key) for key in DISK_STATE}
+    before = {key: conf.get(key, None) for key in DISK_STATE}
     try:
         for key, value in DISK_STATE.items():
             conf.set(key, value)
         return writer.start()
     finally:
         for key, value in before.items():
-            conf.set(key, value)
+            conf.unset(key) if value is None else conf.set(key, value)
 
 
 def run_complete(

@@ -1,0 +1,68 @@
+"""The command line from raw files to reports and a saved model."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.tuning import CrossValidatorModel
+from pyspark.sql import functions as F
+
+from fareloom import __main__ as cli
+from fareloom.plans import regression, reports
+from fareloom.plans.views import trips, zones
+from fareloom.sources import save_table
+
+
+@pytest.fixture(scope="module")
+def prepared(spark, sf_dir, tmp_path_factory):
+    root = tmp_path_factory.mktemp("cli")
+    save_table(trips(spark, sf_dir).withColumn("RatecodeID", F.lit(1)), str(root / "trips"))
+    save_table(zones(spark, sf_dir), str(root / "zones"), "csv")
+    arguments = ["--trips", str(root / "trips"), "--zones", str(root / "zones")]
+    run(spark, "prepare", *arguments, "--out", str(root / "processed"))
+    return str(root / "processed")
+
+
+def run(spark, *arguments):
+    args = cli.parser().parse_args(list(arguments))
+    args.run(spark, args)
+
+
+def test_prepared_table(spark, prepared):
+    columns = spark.read.parquet(prepared).columns
+    assert {"hour", "day_of_week", "extras", "PU_Zone", "DO_Borough"} <= set(columns)
+    assert not {"RatecodeID", "mta_tax", "airport_fee"} & set(columns)
+
+
+def test_reports(spark, prepared, tmp_path, capsys):
+    run(spark, "report", "--prepared", prepared, "--out", str(tmp_path), "--show")
+    for folder in reports.REPORTS:
+        assert spark.read.parquet(str(tmp_path / folder)).count() == 20
+    assert "total_revenue" in capsys.readouterr().out
+
+
+def test_profile(spark, prepared, capsys):
+    run(spark, "profile", "--prepared", prepared)
+    shown = capsys.readouterr().out
+    assert "null_count" in shown and "col_b" in shown and "stddev" in shown
+
+
+def test_train_and_save(spark, prepared, tmp_path, capsys):
+    path = str(tmp_path / "model")
+    run(spark, "train", "--prepared", prepared, "--kind", "tree", "--model", path)
+    assert "rmse" in capsys.readouterr().out
+    assert len(PipelineModel.load(path).stages) == 3
+
+
+def test_tune_and_save(spark, prepared, tmp_path, monkeypatch):
+    monkeypatch.setitem(regression.GRIDS, "forest", {"numTrees": [2, 3]})
+    path = str(tmp_path / "model")
+    arguments = ["--features", "distance", "--label", "trip_distance", "--kind", "forest"]
+    run(spark, "train", "--prepared", prepared, *arguments, "--tune", "--model", path)
+    assert len(CrossValidatorModel.load(path).avgMetrics) == 2
+
+
+def test_every_stream_query_can_be_named():
+    for name in cli.STREAMS:
+        args = cli.parser().parse_args(["stream", name, "--servers", "broker:9092"])
+        assert (args.source, args.topic, args.starting) == ("kafka", "news_events", "latest")
