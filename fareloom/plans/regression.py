@@ -229,11 +229,15 @@ def onehot_positions(df: DataFrame, codes: Sequence[str]) -> DataFrame:
 
     The position is null for the last category, whose vector is all zeros.
     """
-    encoded = onehot(codes, "error").fit(df).transform(df)
-    for code in codes:
-        slots = vector_to_array(f"{code}_ohe")
-        at = F.array_position(slots, 1.0) - 1
-        encoded = encoded.withColumn(f"{code}_at", F.when(at >= 0, at)).withColumn(
-            f"{code}_size", F.size(slots)
+    encoder = onehot(codes, "error").fit(df)
+    encoded = encoder.transform(df)
+    # The last category has no slot of its own.
+    slots = {code: size - 1 for code, size in zip(codes, encoder.categorySizes)}
+    at = {
+        f"{code}_at": F.nullif(
+            F.array_position(vector_to_array(f"{code}_ohe"), 1.0) - 1, F.lit(-1).cast("long")
         )
-    return encoded.drop(*(f"{code}_ohe" for code in codes))
+        for code in codes
+    }
+    sizes = {f"{code}_size": F.lit(size) for code, size in slots.items()}
+    return encoded.withColumns({**at, **sizes}).drop(*(f"{code}_ohe" for code in codes))
