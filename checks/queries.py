@@ -97,24 +97,31 @@ def sink_parquet_roundtrip(spark, d):
 
 
 def topic(spark, d):
-    """Parsed event stream over the news topic, which is written once."""
+    """Folder of the news topic, which is written once, and its number of files."""
 
     def build():
         path = scratch_path(spark, "topic")
         return path, write_topic(news(spark, d), path)
 
-    path, per_trigger = once(spark, "topic", d, build)
-    return path, str(per_trigger)
+    return once(spark, "topic", d, build)
 
 
-def event_stream(spark, d):
-    path, per_trigger = topic(spark, d)
-    return read_events(spark, "text", path=path, maxFilesPerTrigger=per_trigger)
+def state_partitions(spark, files: int) -> int:
+    """One per topic file of up to a million events, at most what the session allows."""
+    return min(files, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def event_stream(spark, d, batches: int = 4):
+    """The parsed topic in about ``batches`` micro-batches, and its state partitions."""
+    path, files = topic(spark, d)
+    per_trigger = str(max(1, -(-files // batches)))
+    events = read_events(spark, "text", path=path, maxFilesPerTrigger=per_trigger)
+    return events, state_partitions(spark, files)
 
 
 def stream_source_json(spark, d):
-    events = run_append(event_stream(spark, d), scratch_path(spark, "events"))
-    return plain_times(events)
+    events, _ = event_stream(spark, d)
+    return plain_times(run_append(events, scratch_path(spark, "events")))
 
 
 def ml_model_roundtrip(spark, d):
@@ -249,10 +256,11 @@ def complete_stream(transform, post=None, rank=None):
     """A query over the topic in complete mode, its result sorted by ``rank``."""
 
     def run(spark, d):
-        result = transform(event_stream(spark, d))
+        events, partitions = event_stream(spark, d)
+        result = transform(events)
         if rank and post is None:
             result = N.ranked(result, rank)
-        out = run_complete(result, scratch_path(spark, "stream"), post)
+        out = run_complete(result, scratch_path(spark, "stream"), post, partitions)
         return plain_times(N.ranked(out, rank) if rank else out)
 
     return run
@@ -268,9 +276,9 @@ def batch_twin(transform, rank=None):
 
 def stream_device_usage_append(spark, d):
     """Closed windows only. All input is one micro-batch, so no event is late."""
-    path, _ = topic(spark, d)
-    events = read_events(spark, "text", path=path).withWatermark("timestamp", "10 minutes")
-    return plain_times(run_append(N.device_usage(events), scratch_path(spark, "stream")))
+    events, partitions = event_stream(spark, d, batches=1)
+    counted = N.device_usage(events.withWatermark("timestamp", "10 minutes"))
+    return plain_times(run_append(counted, scratch_path(spark, "stream"), partitions))
 
 
 # --- regression -------------------------------------------------------------------

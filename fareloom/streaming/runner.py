@@ -2,6 +2,9 @@
 
 No result passes the driver: the executors write it. Complete mode keeps every
 group for good, so state goes to local disk and the checkpoint.
+
+``partitions`` is the number of state partitions, which a checkpoint keeps for
+good and AQE cannot merge; without it ``spark.sql.shuffle.partitions`` counts.
 """
 
 from __future__ import annotations
@@ -15,13 +18,18 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from fareloom.session import DISK_STATE
 
 
-def _start(stream: DataFrame, writer: DataStreamWriter) -> StreamingQuery:
+def _start(
+    stream: DataFrame, writer: DataStreamWriter, partitions: int | None
+) -> StreamingQuery:
     """Start with ``DISK_STATE``. A query copies its session when it starts, so
     the settings of the caller's session can be put back at once."""
     conf = stream.sparkSession.conf
-    before = {key: conf.get(key, None) for key in DISK_STATE}
+    settings = dict(DISK_STATE)
+    if partitions:
+        settings["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {key: conf.get(key, None) for key in settings}
     try:
-        for key, value in DISK_STATE.items():
+        for key, value in settings.items():
             conf.set(key, value)
         return writer.start()
     finally:
@@ -33,6 +41,7 @@ def run_complete(
     stream: DataFrame,
     path: str,
     post: Callable[[DataFrame], DataFrame] | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Process all available input in complete mode; the final result table.
 
@@ -57,7 +66,7 @@ def run_complete(
         .trigger(availableNow=True)
         .foreachBatch(write_batch)
     )
-    _start(stream, writer).awaitTermination()
+    _start(stream, writer, partitions).awaitTermination()
     spark = stream.sparkSession
     if done:
         return spark.read.parquet(f"{out}/batch={done[-1]}")
@@ -67,7 +76,7 @@ def run_complete(
     return history.join(F.broadcast(newest), "batch").drop("batch")
 
 
-def run_append(stream: DataFrame, path: str) -> DataFrame:
+def run_append(stream: DataFrame, path: str, partitions: int | None = None) -> DataFrame:
     """Process all available input in append mode into parquet, exactly once."""
     out = f"{path}/result"
     writer = (
@@ -77,15 +86,18 @@ def run_append(stream: DataFrame, path: str) -> DataFrame:
         .option("checkpointLocation", f"{path}/checkpoint")
         .trigger(availableNow=True)
     )
-    _start(stream, writer).awaitTermination()
+    _start(stream, writer, partitions).awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(out)
 
 
 def show_forever(
-    stream: DataFrame, checkpoint: str | None = None, mode: str = "complete"
+    stream: DataFrame,
+    checkpoint: str | None = None,
+    mode: str = "complete",
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Print every micro-batch; stop it with ``stop()`` on the returned query."""
     writer = stream.writeStream.outputMode(mode).format("console").option("truncate", "false")
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
-    return _start(stream, writer)
+    return _start(stream, writer, partitions)
