@@ -155,6 +155,7 @@ def cross_validate(
     grid: Mapping[str, Sequence] | None = None,
     folds: int | None = None,
     parallelism: int = 8,
+    **overrides,
 ) -> CrossValidatorModel:
     """Best model of ``grid`` by mean RMSE over ``folds``.
 
@@ -169,7 +170,7 @@ def cross_validate(
         label,
         *([key_bucket(fold_weights, folds, shift=10).alias("fold")] if fold_weights else []),
     )
-    learner = estimator(kind, label)
+    learner = estimator(kind, label, **overrides)
     builder = ParamGridBuilder()
     for name, values in (grid or GRIDS[kind]).items():
         builder.addGrid(learner.getParam(name), list(values))

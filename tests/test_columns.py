@@ -56,7 +56,13 @@ def test_prepare_drops_invalid_rows_and_ignores_absent_names(spark):
     t = datetime(2024, 1, 1, 5)
     later = datetime(2024, 1, 1, 6)
     df = spark.createDataFrame(
-        [(1, t, later, 1.0), (2, t, t, 1.0), (3, later, t, 1.0), (4, t, None, 1.0), (5, None, t, 1.0)],
+        [
+            (1, t, later, 1.0),
+            (2, t, t, 1.0),
+            (3, later, t, 1.0),
+            (4, t, None, 1.0),
+            (5, None, t, 1.0),
+        ],
         "id INT, s TIMESTAMP_NTZ, e TIMESTAMP_NTZ, fee DOUBLE",
     )
     out = prepare_trips(df, "s", "e", ["fee"], ["fee", "absent"])

@@ -5,7 +5,12 @@ import pytest
 
 from fareloom.operators import correlation_matrix, describe_columns, null_counts, numeric_columns
 
-ROWS = [(1, 2.0, 10, "b", None), (2, 4.5, 10, "a", None), (4, None, 10, None, None), (7, 1.0, 10, "c", None)]
+ROWS = [
+    (1, 2.0, 10, "b", None),
+    (2, 4.5, 10, "a", None),
+    (4, None, 10, None, None),
+    (7, 1.0, 10, "c", None),
+]
 SCHEMA = "i INT, d DOUBLE, l LONG, s STRING, b BOOLEAN"
 
 

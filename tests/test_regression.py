@@ -29,7 +29,8 @@ def data(spark, tmp_path_factory):
 
 
 def test_metrics_equal_the_evaluator(spark):
-    df = spark.createDataFrame([(1.0, 1.5), (2.0, 1.0), (7.0, 6.0)], "label DOUBLE, prediction DOUBLE")
+    rows = [(1.0, 1.5), (2.0, 1.0), (7.0, 6.0)]
+    df = spark.createDataFrame(rows, "label DOUBLE, prediction DOUBLE")
     row = R.metrics(df, "label").head()
     for name in ("rmse", "mae", "r2"):
         evaluator = RegressionEvaluator(labelCol="label", metricName=name)
@@ -53,7 +54,8 @@ def test_linear_model_equals_the_normal_equations(data):
 
 
 def test_code_above_the_training_maximum(spark, data):
-    unseen = spark.createDataFrame([(1.0, 1.0, 9, 5.0)], "x DOUBLE, y DOUBLE, code INT, label DOUBLE")
+    schema = "x DOUBLE, y DOUBLE, code INT, label DOUBLE"
+    unseen = spark.createDataFrame([(1.0, 1.0, 9, 5.0)], schema)
     model = R.fit(data, "linear", "label", SMALL)
     assert R.predict(model, unseen, SMALL, "label").head().prediction is not None
     strict = R.onehot(["code"], "error").fit(data)
@@ -80,8 +82,9 @@ def test_scaled_features_have_unit_deviation(data):
     assembled = assembler.transform(data)
     scaled = scaler.fit(assembled).transform(assembled)
     flat = scaled.select(*R.feature_columns(scaled, ["a", "b"]))
-    row = flat.agg(F.avg("a").alias("m"), F.stddev_samp("a").alias("s"), F.stddev_samp("b").alias("t")).head()
-    assert row.m == pytest.approx(0, abs=1e-9) and row.s == pytest.approx(1) and row.t == pytest.approx(1)
+    mean, *deviations = flat.agg(F.avg("a"), F.stddev_samp("a"), F.stddev_samp("b")).head()
+    assert mean == pytest.approx(0, abs=1e-9)
+    assert deviations == pytest.approx([1, 1])
 
 
 @pytest.mark.parametrize("kind, features", [("tree", SMALL), ("forest", PLAIN), ("boosted", PLAIN)])
@@ -92,8 +95,8 @@ def test_trees_learn_and_repeat(data, kind, features):
 
     first, second = predictions(), predictions()
     assert R.metrics(first, "label").head().r2 > 0.5
-    key = lambda df: sorted((r.id, r.prediction) for r in df.select("id", "prediction").collect())
-    assert key(first) == key(second)
+    pairs = [sorted(df.select("id", "prediction").collect()) for df in (first, second)]
+    assert pairs[0] == pairs[1]
 
 
 def test_settings_of_the_estimators():
@@ -133,13 +136,15 @@ def test_folds_by_key_equal_brute_force(data):
     )
     errors = []
     for fold in range(3):
-        fitted = R.estimator("tree", "label", maxDepth=3).fit(assembled.filter(F.col("fold") != fold))
+        others = assembled.filter(F.col("fold") != fold)
+        fitted = R.estimator("tree", "label", maxDepth=3).fit(others)
         held_out = fitted.transform(assembled.filter(F.col("fold") == fold))
         errors.append(R.metrics(held_out, "label").head().rmse)
     assert model.avgMetrics[0] == pytest.approx(np.mean(errors))
 
 
 def test_top_predictions_with_ties(spark):
-    df = spark.createDataFrame([(i, 5.0, float(i)) for i in range(150)], "id INT, label DOUBLE, prediction DOUBLE")
+    rows = [(i, 5.0, float(i)) for i in range(150)]
+    df = spark.createDataFrame(rows, "id INT, label DOUBLE, prediction DOUBLE")
     rows = R.top_predictions(df.repartition(4), "label", ["id"]).collect()
     assert [(r["index"], r.id) for r in rows] == [(i, i) for i in range(100)]
