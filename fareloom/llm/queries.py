@@ -6,20 +6,32 @@ from pyspark.sql import functions as F
 
 from fareloom.llm.common import documents
 from fareloom.llm.oracle import ORACLE
+from fareloom.llm.packing import pack
 from fareloom.llm.repetition import repetition_coverage
+from fareloom.llm.token_counts import token_counts
 from fareloom.llm.topk_search import top_k
 
 
+def op1_token_counts(spark, sf_dir):
+    return token_counts(documents(spark, sf_dir))
+
+
 def op2_repetition_coverage(spark, sf_dir):
     return repetition_coverage(documents(spark, sf_dir))
 
 
+def op6_packing(spark, sf_dir):
+    return pack(documents(spark, sf_dir))
+
+
 def op7_exact_topk(spark, sf_dir):
     return top_k(documents(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_repetition_coverage": op2_repetition_coverage,
+    "op6_packing": op6_packing,
     "op7_exact_topk": op7_exact_topk,
 }
 
