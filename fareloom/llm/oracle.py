@@ -90,4 +90,80 @@ WITH v AS (
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLE = {"op2_repetition_coverage": OP2, "op7_exact_topk": OP7}
+OP10 = """
+WITH timed AS (
+  SELECT *, (page_id * 7919) % 86400000 + 864000 AS t, md5(html) AS tag,
+         md5(html || '2') AS new_tag,
+         regexp_replace(url, '^https?://', '') AS bare
+  FROM pages
+), named AS (
+  SELECT *, 'HTTP://www.' || regexp_replace(bare, '^www\\.', '') AS hosted FROM timed
+), record AS (
+  SELECT page_id * 8 AS id, url, t, true AS full_response, tag AS etag, t::VARCHAR AS modified,
+         t::VARCHAR AS date, NULL AS expires, 'text/html' AS ctype, tag AS digest FROM named
+  UNION ALL
+  SELECT page_id * 8 + 1, 'https://' || bare, t + 86400, false, 'W/' || tag, NULL,
+         (t + 86400)::VARCHAR, NULL, 'x', NULL FROM named
+  UNION ALL
+  SELECT page_id * 8 + 2, hosted, t + 432000, false, NULL, t::VARCHAR, NULL, NULL, NULL, NULL
+  FROM named
+  UNION ALL
+  SELECT page_id * 8 + 3, url, t + 518400, true, new_tag, NULL, (t + 518400)::VARCHAR, NULL,
+         NULL, new_tag FROM named WHERE page_id % 3 = 0
+  UNION ALL
+  SELECT page_id * 8 + 4, hosted, t + 604800, false, tag, NULL, NULL, NULL, NULL, NULL
+  FROM named WHERE page_id % 3 = 0
+  UNION ALL
+  SELECT page_id * 8 + 5, url, t + 691200, false, new_tag, NULL, NULL, (t + 777600)::VARCHAR,
+         NULL, NULL FROM named WHERE page_id % 3 = 0
+  UNION ALL
+  SELECT page_id * 8 + 6, url, t - 86400, false, tag, NULL, NULL, NULL, NULL, NULL
+  FROM named WHERE page_id % 5 = 0
+), split AS (
+  SELECT *, regexp_replace(regexp_replace(url, '#.*$', ''), '^(?i)https?://', '') AS rest
+  FROM record
+), parts AS (
+  SELECT *, lower(regexp_extract(rest, '^([^/?]*)', 1)) AS host,
+         regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+         array_to_string(list_sort(list_filter(
+           string_split(regexp_extract(rest, '\\?(.*)$', 1), '&'),
+           lambda p: NOT regexp_matches(p, '^(utm_|ref=|$)'))), '&') AS query
+  FROM split
+), canonical AS (
+  SELECT * EXCLUDE (url),
+         regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\\.', '') || path
+         || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS url
+  FROM parts
+), matched AS (
+  SELECT r.*, s.id AS response_id, s.etag AS s_etag, s.modified AS s_modified, s.date AS s_date,
+         s.expires AS s_expires, s.ctype AS s_ctype, s.digest AS s_digest,
+         row_number() OVER (PARTITION BY r.id ORDER BY s.t DESC, s.id DESC) AS k
+  FROM canonical r
+  LEFT JOIN canonical s
+    ON s.full_response AND s.url = r.url AND (s.t < r.t OR s.t = r.t AND s.id < r.id)
+  WHERE NOT r.full_response
+), judged AS (
+  SELECT *, CASE
+    WHEN response_id IS NULL THEN 'missing'
+    WHEN etag IS NOT NULL AND s_etag IS NOT NULL THEN
+      CASE WHEN regexp_replace(etag, '^W/', '') = s_etag THEN 'resolved' ELSE 'modified' END
+    WHEN modified IS NOT NULL AND s_modified IS NOT NULL AND modified <> s_modified
+      THEN 'modified'
+    ELSE 'resolved' END AS status
+  FROM matched WHERE k = 1
+)
+SELECT id AS record_id, url, t AS fetched_at, response_id, status,
+       CASE WHEN status = 'resolved' THEN s_digest END AS digest,
+       CASE WHEN status = 'resolved' THEN coalesce(etag, s_etag) END AS etag,
+       CASE WHEN status = 'resolved' THEN coalesce(modified, s_modified) END AS last_modified,
+       CASE WHEN status = 'resolved' THEN coalesce(date, s_date) END AS date,
+       CASE WHEN status = 'resolved' THEN coalesce(expires, s_expires) END AS expires,
+       CASE WHEN status = 'resolved' THEN s_ctype END AS content_type
+FROM judged
+"""
+
+ORACLE = {
+    "op10_warc_revisits": OP10,
+    "op2_repetition_coverage": OP2,
+    "op7_exact_topk": OP7,
+}

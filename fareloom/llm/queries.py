@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fareloom.llm.common import documents
+from fareloom.llm.labelled import labelled_sample
 from fareloom.llm.oracle import ORACLE
 from fareloom.llm.packing import pack
 from fareloom.llm.repetition import repetition_coverage
 from fareloom.llm.token_counts import token_counts
 from fareloom.llm.topk_search import top_k
+from fareloom.llm.toxicity import fit_severity, severity
+from fareloom.llm.warc_revisits import resolve_revisits, visits
 
 
 def op1_token_counts(spark, sf_dir):
@@ -28,11 +31,34 @@ def op7_exact_topk(spark, sf_dir):
     return top_k(documents(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op9_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    sample = labelled_sample(docs, documents(spark, sf_dir, "labels"), "toxic")
+    return severity(docs, fit_severity(sample))
+
+
+def op10_warc_revisits(spark, sf_dir):
+    """Every revisit of a crawl of ``pages``; header maps as one column per header."""
+    found = resolve_revisits(visits(documents(spark, sf_dir, "pages")))
+    names = ("etag", "last-modified", "date", "expires", "content-type")
+    return found.select(
+        "record_id",
+        "url",
+        "fetched_at",
+        "response_id",
+        "status",
+        "digest",
+        *(F.col("headers")[n].alias(n.replace("-", "_")) for n in names),
+    )
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_repetition_coverage": op2_repetition_coverage,
     "op6_packing": op6_packing,
     "op7_exact_topk": op7_exact_topk,
+    "op9_toxicity": op9_toxicity,
+    "op10_warc_revisits": op10_warc_revisits,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
