@@ -24,60 +24,89 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from tokenizers import Tokenizer
 
 from fareloom.llm.common import by_chunks, id_and_text
+from fareloom.llm.token_counts import counter
 
 WINDOW = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 OPEN_WINDOWS = 512
 SEQUENCES_PER_PARTITION = 1 << 40
-MAX_WORDS = 300_000  # encoded words kept by a task
+MAX_WORDS = 300_000  # entries of a table of encoded words before it is put aside
 ROWS_PER_BATCH = 20_000
 
 COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 SCHEMA = ", ".join(f"{name} long" for name in COLUMNS)
 
 
+def recall(wanted: set, known: dict, old: dict) -> list:
+    """Copy from ``old`` to ``known`` what is wanted; the rest, in order."""
+    wanted.difference_update(known)
+    again = wanted.intersection(old)
+    known.update((x, old[x]) for x in again)
+    return sorted(wanted.difference(again))
+
+
 class WordIds(dict):
     """Ids of words as little-endian unsigned 32-bit integers.
 
     The tokenizer drops white space before it looks at the words, so a text's ids
-    are those of its parts between ASCII spaces, one after the other. ``rule`` is
-    the special string that parts new words when they are encoded together.
+    are those of its parts between ASCII spaces, one after the other. New parts are
+    split further into what the tokenizer encodes alone, and the library encodes
+    those among these that are new.
     """
 
-    def __init__(self, path: str, rule: str = "<|endoftext|>"):
+    def __init__(self, path: str):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.library = Tokenizer.from_file(path)
-        self.rule, self.rule_id = rule, self.library.token_to_id(rule)
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+        self.counter = counter(path)
+        self.units: dict[str, bytes] = {}
+        # What was known before the last time that a table was full.
+        self.old_words: dict[bytes, bytes] = {}
+        self.old_units: dict[str, bytes] = {}
+
+    def _encode(self, text: str):
+        return self.counter.library.encode(text, add_special_tokens=False)
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self._encode(text).ids, "<u4").tobytes()
+
+    def learn_units(self, units: list[str]) -> None:
+        for i in range(0, len(units), 1000):
+            part = units[i : i + 1000]
+            found = self._encode(" ".join(part))
+            ids, number = np.array(found.ids, "<u4"), np.array(found.word_ids)
+            pieces = np.split(ids, np.flatnonzero(np.diff(number)) + 1)
+            if len(pieces) == len(part):
+                self.units.update((u, x.tobytes()) for u, x in zip(part, pieces, strict=True))
+            else:  # a unit that the library parts again
+                self.units.update((u, self._ids(u)) for u in part)
 
     def learn(self, words: list[bytes]) -> None:
-        alone = [w for w in words if b"<|" in w]
-        words = [w for w in words if b"<|" not in w]
-        for i in range(0, len(words), 1000):
-            part = words[i : i + 1000]
-            ids = self._ids(f" {self.rule} ".join(w.decode() for w in part))
-            for word, piece in zip(
-                part, np.split(ids, np.flatnonzero(ids == self.rule_id)), strict=True
-            ):
-                self[word] = piece[piece != self.rule_id].tobytes()
-        for word in alone:
-            self[word] = self._ids(word.decode()).tobytes()
+        plain = [w.decode() for w in words if b"<|" not in w]
+        for word in words:
+            if b"<|" in word:
+                self[word] = self._ids(word.decode())
+        if not plain:
+            return
+        units, ends = self.counter.words_of(plain)
+        if len(self.units) > MAX_WORDS:
+            self.old_units, self.units = self.units, {}
+        self.learn_units(recall(set(units), self.units, self.old_units))
+        coded = list(map(self.units.__getitem__, units))
+        start = 0
+        for word, end in zip(plain, ends.tolist(), strict=True):
+            self[word.encode()] = b"".join(coded[start:end])
+            start = end
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text; null counts as empty."""
         parted = [t.encode().split() if t else [] for t in texts]
-        new = set().union(*parted).difference(self)
-        if len(self) + len(new) > MAX_WORDS:
+        if len(self) > MAX_WORDS:
+            self.old_words = dict(self)
             self.clear()
-            new = set().union(*parted)
-        self.learn(sorted(new))
+        self.learn(recall(set().union(*parted), self, self.old_words))
         for words in parted:
             yield np.frombuffer(b"".join(map(self.__getitem__, words)), np.uint32)
 

@@ -279,35 +279,38 @@ class TokenCounter:
             text = self.library.normalizer[0].normalize_str(text)
         return text
 
-    def count(self, texts: list[str]) -> np.ndarray:
-        """Tokens of each text."""
-        specials = [sum(t.count(s) for s in self.special) if "<|" in t else 0 for t in texts]
+    def words_of(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """The words of all texts in normal form, and how many lie before each text's
+        end. Special strings are left out."""
         texts = [self.prepare(t) for t in texts]
-        codes = self._codes(texts)
-        new = np.unique(codes[self.classes[codes] == 255])
-        for code in new.tolist():
-            self.learn(code)
-        if any(c in self.expanding for c in map(chr, new.tolist())) or (
-            self.expanding and any(c in t for t in texts for c in self.expanding)
-        ):
+        codes = self._known_codes(texts)
+        if self.expanding and any(c in t for t in texts for c in self.expanding):
             for char, lower in self.expanding.items():
                 texts = [t.replace(char, lower) for t in texts]
-            codes = self._codes(texts)
-            for code in np.unique(codes[self.classes[codes] == 255]).tolist():
-                self.learn(code)
+            codes = self._known_codes(texts)
         classes = self.classes[codes]
         starts = self.splitter.word_starts(classes)
         before = np.cumsum(starts)
         # Every word on its own, parted by spaces.
         spread = np.full(len(codes) + int(before[-1]), 32, np.uint32)
         spread[np.arange(len(codes)) + before] = np.where(classes == SPACE, 32, self.lower[codes])
-        words = filter(None, spread.tobytes().decode("utf-32-le").split(" "))
-        counts = np.fromiter(map(self.words.__getitem__, words), np.int64, int(before[-1]))
-        total = np.concatenate(([0], np.cumsum(counts)))
-        ends = np.cumsum([len(t) + 1 for t in texts])
-        upto = total[before[ends - 1]]
+        words = list(filter(None, spread.tobytes().decode("utf-32-le").split(" ")))
+        return words, before[np.cumsum([len(t) + 1 for t in texts]) - 1]
+
+    def count(self, texts: list[str]) -> np.ndarray:
+        """Tokens of each text."""
+        specials = [sum(t.count(s) for s in self.special) if "<|" in t else 0 for t in texts]
+        words, ends = self.words_of(texts)
+        counts = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        upto = np.concatenate(([0], np.cumsum(counts)))[ends]
         return np.diff(upto, prepend=0) + specials
 
+    def _known_codes(self, texts: list[str]) -> np.ndarray:
+        codes = self._codes(texts)
+        for code in np.unique(codes[self.classes[codes] == 255]).tolist():
+            self.learn(code)
+        return codes
+
     @staticmethod
     def _codes(texts: list[str]) -> np.ndarray:
         joined = "\n".join(texts) + "\n"
