@@ -90,6 +90,37 @@ WITH v AS (
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+OP8 = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, unnest(CASE
+    WHEN len(w) = 0 THEN []
+    WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1),
+         lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END) AS g
+  FROM d
+), n AS (
+  SELECT d.doc_id, count(s.g) AS n FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id
+), pair AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS same
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * same >= 90 * (x.n + y.n - same)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM n
+  UNION
+  SELECT r.a, CASE WHEN l.a = r.b THEN l.b ELSE l.a END
+  FROM reach r JOIN link l ON l.a = r.b OR l.b = r.b
+)
+SELECT n.doc_id, n.n::BIGINT AS n_shingles, min(r.b) AS component_id
+FROM n JOIN reach r ON r.a = n.doc_id GROUP BY n.doc_id, n.n
+"""
+
 OP10 = """
 WITH timed AS (
   SELECT *, (page_id * 7919) % 86400000 + 864000 AS t, md5(html) AS tag,
@@ -166,4 +197,5 @@ ORACLE = {
     "op10_warc_revisits": OP10,
     "op2_repetition_coverage": OP2,
     "op7_exact_topk": OP7,
+    "op8_jaccard_join": OP8,
 }

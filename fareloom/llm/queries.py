@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fareloom.llm.common import documents
+from fareloom.llm.jaccard_join import jaccard_components
 from fareloom.llm.labelled import labelled_sample
 from fareloom.llm.oracle import ORACLE
 from fareloom.llm.packing import pack
@@ -31,6 +32,10 @@ def op7_exact_topk(spark, sf_dir):
     return top_k(documents(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op8_jaccard_join(spark, sf_dir):
+    return jaccard_components(documents(spark, sf_dir))
+
+
 def op9_toxicity(spark, sf_dir):
     docs = documents(spark, sf_dir)
     sample = labelled_sample(docs, documents(spark, sf_dir, "labels"), "toxic")
@@ -57,6 +62,7 @@ QUERIES = {
     "op2_repetition_coverage": op2_repetition_coverage,
     "op6_packing": op6_packing,
     "op7_exact_topk": op7_exact_topk,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op10_warc_revisits": op10_warc_revisits,
 }
