@@ -326,13 +326,13 @@ def one_of_each(df: DataFrame, rule: Rule, id_col: str = "doc_id", text_col: str
     kept = (
         found.groupBy(F.coalesce("component", "key"))
         .agg(F.min(order).alias("k"))
-        .select(F.col("k.doc_id").alias("_kept_id"), F.col("k.text_hash").alias("_kept_hash"))
+        .select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_hash").alias("kept_hash"))
     )
     wordless = ~F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    names = df.columns
-    rows = df.filter(~wordless).withColumns(
-        {"_own_id": F.col(id_col).cast("long"), "_own_hash": F.xxhash64(text_col)}
+    whole = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
+    rows = df.filter(~wordless).select(
+        whole, F.col(id_col).cast("long").alias("own_id"), F.xxhash64(text_col).alias("own_hash")
     )
-    match = F.col("_own_id").eqNullSafe(F.col("_kept_id")) & (F.col("_own_hash") == F.col("_kept_hash"))
-    single = rows.join(kept, match, "left_semi").dropDuplicates(["_own_id", "_own_hash"])
-    return single.select(*names).union(df.filter(wordless))
+    match = F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_hash") == F.col("kept_hash"))
+    single = rows.join(kept, match, "left_semi").dropDuplicates(["own_id", "own_hash"])
+    return single.select("row.*").union(df.filter(wordless))

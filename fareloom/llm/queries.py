@@ -10,6 +10,7 @@ from fareloom.llm.labelled import labelled_sample
 from fareloom.llm.oracle import ORACLE
 from fareloom.llm.packing import pack
 from fareloom.llm.repetition import repetition_coverage
+from fareloom.llm.site_quality import fit_quality, quality
 from fareloom.llm.token_counts import token_counts
 from fareloom.llm.topk_search import top_k
 from fareloom.llm.toxicity import fit_severity, severity
@@ -24,6 +25,12 @@ def op2_repetition_coverage(spark, sf_dir):
     return repetition_coverage(documents(spark, sf_dir))
 
 
+def op3_site_quality(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    sample = labelled_sample(docs, documents(spark, sf_dir, "labels"), "quality")
+    return quality(docs, fit_quality(sample))
+
+
 def op6_packing(spark, sf_dir):
     return pack(documents(spark, sf_dir))
 
@@ -60,6 +67,7 @@ def op10_warc_revisits(spark, sf_dir):
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_repetition_coverage": op2_repetition_coverage,
+    "op3_site_quality": op3_site_quality,
     "op6_packing": op6_packing,
     "op7_exact_topk": op7_exact_topk,
     "op8_jaccard_join": op8_jaccard_join,
