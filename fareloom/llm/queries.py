@@ -9,6 +9,7 @@ from fareloom.llm.jaccard_join import jaccard_components
 from fareloom.llm.labelled import labelled_sample
 from fareloom.llm.oracle import ORACLE
 from fareloom.llm.packing import pack
+from fareloom.llm.piece_sampling import decoded, encode_sampled
 from fareloom.llm.repetition import repetition_coverage
 from fareloom.llm.site_quality import fit_quality, quality
 from fareloom.llm.token_counts import token_counts
@@ -31,6 +32,18 @@ def op3_site_quality(spark, sf_dir):
     return quality(docs, fit_quality(sample))
 
 
+def op4_piece_sampling(spark, sf_dir):
+    """Digest of the drawn segmentations and whether they decode to the text."""
+    rows = decoded(encode_sampled(documents(spark, sf_dir)))
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        "ids_crc32",
+        "log_prob",
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+    )
+
+
 def op6_packing(spark, sf_dir):
     return pack(documents(spark, sf_dir))
 
@@ -68,6 +81,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_repetition_coverage": op2_repetition_coverage,
     "op3_site_quality": op3_site_quality,
+    "op4_piece_sampling": op4_piece_sampling,
     "op6_packing": op6_packing,
     "op7_exact_topk": op7_exact_topk,
     "op8_jaccard_join": op8_jaccard_join,
