@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fareloom.llm.common import documents
+from fareloom.llm.context_mixing import scores
 from fareloom.llm.jaccard_join import jaccard_components
 from fareloom.llm.labelled import labelled_sample
 from fareloom.llm.oracle import ORACLE
@@ -44,6 +45,10 @@ def op4_piece_sampling(spark, sf_dir):
     )
 
 
+def op5_context_mixing(spark, sf_dir):
+    return scores(documents(spark, sf_dir))
+
+
 def op6_packing(spark, sf_dir):
     return pack(documents(spark, sf_dir))
 
@@ -82,6 +87,7 @@ QUERIES = {
     "op2_repetition_coverage": op2_repetition_coverage,
     "op3_site_quality": op3_site_quality,
     "op4_piece_sampling": op4_piece_sampling,
+    "op5_context_mixing": op5_context_mixing,
     "op6_packing": op6_packing,
     "op7_exact_topk": op7_exact_topk,
     "op8_jaccard_join": op8_jaccard_join,

@@ -131,9 +131,13 @@ def resolve_revisits(records: DataFrame, slice_seconds: int = SLICE_SECONDS) ->
         .join(carried, ["url", "slice"], "left")
         .withColumn("seen", F.coalesce("inside", "carried"))
     )
+    # A revisit without a response is dealt out by its own key, which matches none.
+    has = F.col("seen").isNotNull()
     joined = found.join(
-        responses,
-        (F.col("seen.record_id") == F.col("r_id")) & (F.col("seen.fetched_at") == F.col("r_at")),
+        responses.withColumn("r_has", F.lit(True)),
+        (F.coalesce("seen.record_id", found["record_id"]) == F.col("r_id"))
+        & (F.coalesce("seen.fetched_at", found["fetched_at"]) == F.col("r_at"))
+        & (has == F.col("r_has")),
         "left",
     )
     agree = validators_agree(F.col("headers"), F.col("stored"))
