@@ -38,8 +38,10 @@ def day_name(day: str, legacy_labels: bool = False) -> Column:
     "Unknown".
     """
     names = WEEKDAYS if legacy_labels else WEEKDAYS[-1:] + WEEKDAYS[:-1]
-    pairs = [F.lit(part) for number, name in enumerate(names, 1) for part in (number, name)]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(day)), F.lit("Unknown"))
+    named = F.when(F.col(day) == 1, names[0])
+    for number, name in enumerate(names[1:], 2):
+        named = named.when(F.col(day) == number, name)
+    return named.otherwise("Unknown")
 
 
 def key_bucket(weights: Mapping[str, int], buckets: int, shift: int = 1) -> Column:

@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.functions import key_bucket
 
 
+def in_train(weights: Mapping[str, int], train_tenths: int) -> Column:
+    """Whether a row trains; a row with a null in its key tests."""
+    return F.coalesce(key_bucket(weights, 10) < train_tenths, F.lit(False))
+
+
+def sample_by_key(df: DataFrame, weights: Mapping[str, int], buckets: int = 100) -> DataFrame:
+    """About one row in ``buckets``, chosen by the row key alone."""
+    return df.filter(key_bucket(weights, buckets, shift=7) == 0)
+
+
 def assign_split(
     df: DataFrame,
     weights: Mapping[str, int],
@@ -20,8 +30,8 @@ def assign_split(
 
     Write the table partitioned by the label and each part is read alone.
     """
-    in_train = key_bucket(weights, 10) < train_tenths
-    return df.withColumn(name, F.when(in_train, "train").otherwise("test"))
+    chosen = F.when(in_train(weights, train_tenths), "train").otherwise("test")
+    return df.withColumn(name, chosen)
 
 
 def train_test(
@@ -30,7 +40,7 @@ def train_test(
     train_tenths: int = 8,
     seed: int = 42,
 ) -> tuple[DataFrame, DataFrame]:
-    """Both parts, each a plain filter on the row key.
+    """Both parts, each a plain filter on the row key, by the rule of ``assign_split``.
 
     A table without a key falls back on ``DataFrame.randomSplit``, which sorts
     every partition and still moves rows when the partitioning changes.
@@ -38,5 +48,5 @@ def train_test(
     if weights is None:
         train, test = df.randomSplit([train_tenths / 10, 1 - train_tenths / 10], seed=seed)
         return train, test
-    bucket = key_bucket(weights, 10)
-    return df.filter(bucket < train_tenths), df.filter(bucket >= train_tenths)
+    trains = in_train(weights, train_tenths)
+    return df.filter(trains), df.filter(~trains)

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+CSV = {"multiLine": "true", "escape": '"', "nullValue": "\\N"}
+
+
 def load_table(
     spark: SparkSession,
     path: str,
@@ -17,12 +20,16 @@ def load_table(
 ) -> DataFrame:
     """Read ``path``. CSV has a header line; every other name means parquet.
 
+    CSV values may hold line breaks and quotes; a value that is empty or ``\\N`` is
+    null, a quoted empty one an empty text. A carriage return comes back as a line
+    break.
+
     Without ``schema`` a CSV file is read twice, the first time to infer its
     types, so give one for anything large.
     """
     if fmt != "csv":
         return spark.read.options(**options).parquet(path)
-    reader = spark.read.options(header="true", **options)
+    reader = spark.read.options(**{"header": "true", **CSV, **options})
     reader = reader.schema(schema) if schema else reader.options(inferSchema="true")
     return reader.csv(path)
 
@@ -33,5 +40,10 @@ def save_table(
     """Replace whatever is at ``path``."""
     writer = df.write.mode("overwrite").format(fmt).partitionBy(*partition_by)
     if fmt == "csv":
-        writer = writer.option("header", "true")
+        writer = writer.options(
+            header="true",
+            ignoreLeadingWhiteSpace="false",
+            ignoreTrailingWhiteSpace="false",
+            **CSV,
+        )
     writer.save(path)

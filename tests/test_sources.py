@@ -26,6 +26,14 @@ def test_csv_round_trip_with_given_and_inferred_types(spark, tmp_path):
     assert [tuple(r) for r in load_table(spark, path, "csv").collect()] == ZONES[:1]
 
 
+def test_csv_keeps_line_breaks_quotes_empty_texts_and_nulls(spark, tmp_path):
+    rows = [(1, "two\nlines", 'a "quoted", part'), (2, "", None), (3, " spaces ", "\\back\\"), (4, None, "")]
+    path = str(tmp_path / "texts")
+    save_table(spark.createDataFrame(rows, ZONE_SCHEMA), path, "csv")
+    for schema in (ZONE_SCHEMA, None):
+        assert sorted(map(tuple, load_table(spark, path, "csv", schema).collect())) == rows
+
+
 def test_any_other_format_means_parquet(spark, tmp_path):
     path = str(tmp_path / "zones")
     save_table(zones(spark), path)
