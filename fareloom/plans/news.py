@@ -77,6 +77,23 @@ def count_sessions(activity: DataFrame) -> DataFrame:
     )
 
 
+def closed_sessions(events: DataFrame) -> DataFrame:
+    """Exact sessions of closed windows, for a stream with a watermark.
+
+    Both steps are windowed, so each drops a window's state once it is closed.
+    """
+    width = F.window("timestamp", SESSION_WIDTH)
+    views = events.groupBy(width, "location", "session_id").agg(F.count("*").alias("views"))
+    again = F.window(F.window_time("window"), SESSION_WIDTH).alias("closed")
+    counted = views.groupBy(again, "location").agg(F.count("session_id").alias("active_sessions"))
+    return counted.select(
+        F.col("closed.start").alias("window_start"),
+        F.col("closed.end").alias("window_end"),
+        "location",
+        "active_sessions",
+    )
+
+
 def active_sessions_exact(events: DataFrame) -> DataFrame:
     return count_sessions(session_activity(events))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
@@ -41,6 +42,27 @@ def build_session(
     return builder.getOrCreate()
 
 
+def is_local(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.master", "").startswith("local")
+
+
+def _file_system(spark: SparkSession, path: str):
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), there
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote, on whatever file system it is."""
+    system, there = _file_system(spark, path)
+    system.delete(there, True)
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    """When ``path`` last changed, in milliseconds."""
+    system, there = _file_system(spark, path)
+    return system.getFileStatus(there).getModificationTime()
+
+
 def app_id(spark: SparkSession) -> str:
     return spark.conf.get("spark.app.id")
 
@@ -52,8 +74,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     it, as a machine-local folder would be lost with its executor.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if root and not is_local(spark) and _file_system(spark, root)[0].getScheme() == "file":
+        warnings.warn(f"{root} must be a folder that all machines mount", stacklevel=2)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = _local_roots.get(app_id(spark))
         if root is None:

@@ -10,12 +10,17 @@ good and AQE cannot merge; without it ``spark.sql.shuffle.partitions`` counts.
 from __future__ import annotations
 
 from collections.abc import Callable
+from threading import RLock
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from fareloom.session import DISK_STATE
+from fareloom.session import DISK_STATE, delete, is_local
+
+
+# Starts take turns, as each changes the session's settings for a moment.
+_starting = RLock()
 
 
 def _start(
@@ -24,6 +29,11 @@ def _start(
     """Start with ``DISK_STATE``. A query copies its session when it starts, so
     the settings of the caller's session can be put back at once."""
     conf = stream.sparkSession.conf
+    with _starting:
+        return _start_with(conf, writer, partitions)
+
+
+def _start_with(conf, writer: DataStreamWriter, partitions: int | None) -> StreamingQuery:
     settings = dict(DISK_STATE)
     if partitions:
         settings["spark.sql.shuffle.partitions"] = str(partitions)
@@ -42,12 +52,14 @@ def run_complete(
     path: str,
     post: Callable[[DataFrame], DataFrame] | None = None,
     partitions: int | None = None,
+    keep: int = 2,
 ) -> DataFrame:
     """Process all available input in complete mode; the final result table.
 
     Every micro-batch writes the whole result to its own ``batch=<n>`` folder
     below ``path``, straight from the executors. A batch that runs again after
-    a failure replaces its folder, so results are never doubled. ``post`` is
+    a failure replaces its folder, so results are never doubled; the last ``keep``
+    folders stay. ``post`` is
     applied to the result of each batch, for steps that Spark allows on static
     data only.
     """
@@ -59,7 +71,10 @@ def run_complete(
             result = post(result)
         result.write.mode("overwrite").parquet(f"{out}/batch={number}")
         done.append(number)
+        if number >= keep:
+            delete(spark, f"{out}/batch={number - keep}")
 
+    spark = stream.sparkSession
     writer = (
         stream.writeStream.outputMode("complete")
         .option("checkpointLocation", f"{path}/checkpoint")
@@ -67,7 +82,6 @@ def run_complete(
         .foreachBatch(write_batch)
     )
     _start(stream, writer, partitions).awaitTermination()
-    spark = stream.sparkSession
     if done:
         return spark.read.parquet(f"{out}/batch={done[-1]}")
     # A restart without new input runs no batch: the last result still stands.
@@ -95,9 +109,15 @@ def show_forever(
     checkpoint: str | None = None,
     mode: str = "complete",
     partitions: int | None = None,
+    rows: int = 1000,
 ) -> StreamingQuery:
-    """Print every micro-batch; stop it with ``stop()`` on the returned query."""
-    writer = stream.writeStream.outputMode(mode).format("console").option("truncate", "false")
+    """Print up to ``rows`` rows of every micro-batch; stop it with ``stop()`` on the
+    returned query. Only a local master may do without ``checkpoint``: Spark would
+    put it into a folder of the driver's machine."""
+    if not checkpoint and not is_local(stream.sparkSession):
+        raise ValueError("give a checkpoint folder that all executors share")
+    writer = stream.writeStream.outputMode(mode).format("console")
+    writer = writer.options(truncate="false", numRows=rows)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
     return _start(stream, writer, partitions)

@@ -2,22 +2,40 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.sources.events import EVENT_SCHEMA
 
 MAX_RECORDS_PER_FILE = 1_000_000
+SLICES = 8
 
 
-def write_topic(events: DataFrame, path: str, min_files: int = 4) -> int:
-    """Write ``events`` as JSON lines without a shuffle; the number of files.
+def write_topic(
+    events: DataFrame,
+    path: str,
+    slices: int = SLICES,
+    max_records_per_file: int = MAX_RECORDS_PER_FILE,
+) -> None:
+    """Write ``events`` as JSON lines, oldest first, without a shuffle.
 
-    A file holds at most ``MAX_RECORDS_PER_FILE`` lines, fewer for small input
-    so that there are at least ``min_files``.
+    The time they span is cut into ``slices`` parts, written one after the other,
+    so that the age of files follows the time of events. Events without a time
+    come last.
     """
-    per_file = max(1, min(MAX_RECORDS_PER_FILE, -(-events.count() // min_files)))
-    fields = EVENT_SCHEMA.fieldNames()
-    payload = events.select(F.to_json(F.struct(*fields)).alias("value"))
-    payload.write.mode("overwrite").option("maxRecordsPerFile", per_file).text(path)
-    return len(events.sparkSession.read.text(path).inputFiles())
+    time = F.col("timestamp")
+    first, last = events.agg(F.min(time), F.max(time)).first()
+    payload = F.to_json(F.struct(*EVENT_SCHEMA.fieldNames())).alias("value")
+
+    def append(part: DataFrame) -> None:
+        writer = part.select(payload).write.mode("append")
+        writer.option("maxRecordsPerFile", max_records_per_file).text(path)
+
+    if first is not None:
+        step = (last - first) / slices + timedelta(microseconds=1)
+        for i in range(slices):
+            begin = first + i * step
+            append(events.filter((time >= F.lit(begin)) & (time < F.lit(begin + step))))
+    append(events.filter(time.isNull()))

@@ -129,9 +129,11 @@ def test_steps_after_the_stream(spark, topic, tmp_path):
 
 def test_counts_never_fall_and_closed_windows_stay(spark, topic, tmp_path):
     path = str(tmp_path / "run")
-    run_complete(news.device_usage(stream_of(spark, topic)), path)
+    run_complete(news.device_usage(stream_of(spark, topic)), path, keep=9)
     history = batches(spark, path)
     assert sorted(history) == [0, 1, 2, 3]
+    run_complete(news.device_usage(stream_of(spark, topic)), f"{path}-short")
+    assert sorted(batches(spark, f"{path}-short")) == [2, 3]
     seen = {}
     for number in sorted(history):
         now = {(r.window_start, r.device_type): r["count"] for r in history[number]}
