@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import argparse
 
-from fareloom.operators import correlation_matrix, describe_columns, null_counts, train_test
+from pyspark.sql import functions as F
+
+from fareloom.operators import correlation_matrix, describe_columns, null_counts
 from fareloom.plans import news, prepare, regression, reports
-from fareloom.session import build_session
-from fareloom.sources import load_table, read_events
-from fareloom.streaming import show_forever
+from fareloom.session import build_session, scratch_path
+from fareloom.sources import load_table, read_events, save_table
+from fareloom.streaming import run_complete, show_forever
 
 STREAMS = {
     "finance": lambda events: news.ranked(news.finance_by_country(events)),
@@ -16,7 +18,11 @@ STREAMS = {
     "sessions": lambda events: news.ranked(news.active_sessions(events), "active_sessions"),
     "spikes": news.article_spikes,
     "bots": news.bot_users,
+    "top-countries": news.finance_by_country,
+    "exact-sessions": news.session_activity,
 }
+# Steps on the result of each micro-batch, for queries that need them.
+AFTER = {"top-countries": news.top_countries, "exact-sessions": news.count_sessions}
 
 
 def run_prepare(spark, args) -> None:
@@ -35,25 +41,51 @@ def run_report(spark, args) -> None:
 def run_profile(spark, args) -> None:
     prepared = load_table(spark, args.prepared)
     prepared.printSchema()
-    for profile in (describe_columns, null_counts, correlation_matrix):
-        profile(prepared).show(1000, truncate=False)
+    columns = len(prepared.columns)
+    for profile in (describe_columns, null_counts):
+        profile(prepared).show(columns, truncate=False)
+    correlation_matrix(prepared).show(columns**2, truncate=False)
 
 
 def run_stream(spark, args) -> None:
     options = {"path": args.path, "servers": args.servers, "topic": args.topic}
+    bound = "maxOffsetsPerTrigger" if args.source == "kafka" else "maxFilesPerTrigger"
+    if args.batch:
+        options[bound] = str(args.batch)
     events = read_events(spark, args.source, starting=args.starting, **options)
-    show_forever(STREAMS[args.query](events), args.checkpoint).awaitTermination()
+    stream, post = STREAMS[args.query](events), AFTER.get(args.query)
+    if args.out:
+        run_complete(stream, args.out, post, args.partitions)
+    elif post:
+        raise SystemExit(f"{args.query} is written to a folder: give --out")
+    else:
+        show_forever(
+            stream, args.checkpoint, partitions=args.partitions, rows=args.rows
+        ).awaitTermination()
 
 
 def run_train(spark, args) -> None:
     features = regression.FEATURE_SETS[args.features]
     trips = prepare.with_trip_time(load_table(spark, args.prepared))
-    train, test = train_test(trips.select(*dict.fromkeys([*features.columns, args.label])))
+    if args.tune and args.kind not in regression.GRIDS:
+        raise SystemExit(f"--tune needs --kind {' or '.join(regression.GRIDS)}")
+    # The random split is written once: training reads its input many times.
+    used = trips.select(*dict.fromkeys([*features.columns, args.label]))
+    part = F.when(F.rand(42) < 0.8, "train").otherwise("test")
+    path = scratch_path(spark, "split")
+    save_table(used.withColumn("split", part), path, partition_by=["split"])
+    split = load_table(spark, path)
+    train, test = (split.filter(F.col("split") == p).drop("split") for p in ("train", "test"))
     if args.tune:
-        model = regression.cross_validate(train, args.kind, args.label, features)
-        regression.grid_scores(model, train).show(truncate=False)
-        (assembler,) = regression.feature_stages(features)
-        predictions = model.transform(assembler.transform(test))
+        train = regression.complete_rows(train, features, args.label)
+        encoder = regression.fit_features(train, features, args.scale)
+        tuned = regression.cross_validate(
+            train, args.kind, args.label, features, encoder=encoder
+        )
+        scores = regression.grid_scores(tuned, train)
+        scores.show(len(tuned.avgMetrics), truncate=False)
+        model = regression.whole_model(encoder, tuned)
+        predictions = regression.predict(model, test, features, args.label)
     else:
         model = regression.fit(train, args.kind, args.label, features, args.scale)
         predictions = regression.predict(model, test, features, args.label)
@@ -93,6 +125,10 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--starting", default="latest")
     job.add_argument("--path")
     job.add_argument("--checkpoint")
+    job.add_argument("--out", help="process what is there into this folder instead of printing")
+    job.add_argument("--batch", type=int, help="most files or offsets of a micro-batch")
+    job.add_argument("--partitions", type=int, help="state partitions")
+    job.add_argument("--rows", type=int, default=1000, help="rows printed of a micro-batch")
     job.set_defaults(run=run_stream)
 
     job = jobs.add_parser("train", help="fit, score and save a regression")

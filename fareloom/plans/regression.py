@@ -75,6 +75,24 @@ GRIDS = {
 FOLDS = {"forest": 3, "boosted": 5}
 
 
+# Partitions that training reads, whatever the machine: forests and sums of doubles
+# follow the partitioning of their input. A parameter of ``steady``; raise it with
+# the data, not with the cores.
+TRAIN_PARTITIONS = 8
+# Labelled rows that tuning uses at most; the grids and folds are never cut.
+TUNING_ROWS = 5_000
+
+
+def steady(df: DataFrame, keys: Sequence[str], partitions: int = TRAIN_PARTITIONS) -> DataFrame:
+    """``df`` in partitions and an order that follow from ``keys`` alone."""
+    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
+
+
+def bounded(df: DataFrame, keys: Sequence[str], limit: int = TUNING_ROWS) -> DataFrame:
+    """At most ``limit`` rows, those with the smallest hash of their key."""
+    return df.orderBy(F.xxhash64(*keys), *keys).limit(limit)
+
+
 def onehot(codes: Sequence[str], handle_invalid: str = "keep") -> OneHotEncoder:
     """Encoder of integer codes into ``<code>_ohe``.
 
@@ -88,10 +106,14 @@ def onehot(codes: Sequence[str], handle_invalid: str = "keep") -> OneHotEncoder:
     )
 
 
-def feature_stages(features: FeatureSet, on_null: str = "skip", scale: bool = False) -> list:
-    """Stages that put ``features`` into one vector; ``on_null`` is "skip" or "error"."""
+def feature_stages(
+    features: FeatureSet, on_null: str = "skip", scale: bool = False, on_new: str = "keep"
+) -> list:
+    """Stages that put ``features`` into one vector; ``on_null`` is "skip" or "error",
+    ``on_new`` what the encoder does with a code it has not seen, "keep" or "error".
+    With "error" each code has one slot less."""
     assembled = [*features.numeric, *(f"{code}_ohe" for code in features.codes)]
-    stages = [onehot(features.codes)] if features.codes else []
+    stages = [onehot(features.codes, on_new)] if features.codes else []
     if not scale:
         return stages + [
             VectorAssembler(inputCols=assembled, outputCol="features", handleInvalid=on_null)
@@ -113,10 +135,17 @@ def complete_rows(df: DataFrame, features: FeatureSet, label: str) -> DataFrame:
 
 
 def fit(
-    train: DataFrame, kind: str, label: str, features: FeatureSet, scale: bool = False, **overrides
+    train: DataFrame,
+    kind: str,
+    label: str,
+    features: FeatureSet,
+    scale: bool = False,
+    on_new: str = "keep",
+    **overrides,
 ) -> PipelineModel:
     """Encoder, assembler and estimator fitted as one pipeline."""
-    stages = [*feature_stages(features, "error", scale), estimator(kind, label, **overrides)]
+    learner = estimator(kind, label, **overrides)
+    stages = [*feature_stages(features, "error", scale, on_new), learner]
     return Pipeline(stages=stages).fit(complete_rows(train, features, label))
 
 
@@ -155,17 +184,19 @@ def cross_validate(
     grid: Mapping[str, Sequence] | None = None,
     folds: int | None = None,
     parallelism: int = 8,
+    encoder: PipelineModel | None = None,
     **overrides,
 ) -> CrossValidatorModel:
     """Best model of ``grid`` by mean RMSE over ``folds``.
 
-    Features are assembled once, outside the folds. With ``fold_weights`` the
+    Features are assembled once, outside the folds, by ``encoder``, the fitted
+    feature stages. With ``fold_weights`` the
     fold of a row follows from its key, so a retried task cannot move rows
     between folds; without, Spark draws the folds at random.
     """
     folds = folds or FOLDS[kind]
-    data = Pipeline(stages=feature_stages(features)).fit(train).transform(train)
-    data = data.select(
+    encoder = encoder or fit_features(train, features)
+    data = encoder.transform(train).select(
         "features",
         label,
         *([key_bucket(fold_weights, folds, shift=10).alias("fold")] if fold_weights else []),
@@ -185,6 +216,15 @@ def cross_validate(
     ).fit(data)
 
 
+def fit_features(train: DataFrame, features: FeatureSet, scale: bool = False) -> PipelineModel:
+    return Pipeline(stages=feature_stages(features, scale=scale)).fit(train)
+
+
+def whole_model(encoder: PipelineModel, tuned: CrossValidatorModel) -> PipelineModel:
+    """The best model with the feature stages it needs to score a prepared table."""
+    return PipelineModel(stages=[*encoder.stages, tuned.bestModel])
+
+
 def grid_scores(model: CrossValidatorModel, df: DataFrame) -> DataFrame:
     """One row per grid point: its parameters, mean and deviation of RMSE over the folds."""
     rows = [
@@ -236,7 +276,7 @@ def onehot_positions(df: DataFrame, codes: Sequence[str]) -> DataFrame:
     slots = {code: size - 1 for code, size in zip(codes, encoder.categorySizes)}
     at = {
         f"{code}_at": F.nullif(
-            F.array_position(vector_to_array(f"{code}_ohe"), 1.0) - 1, F.lit(-1).cast("long")
+            F.get(F.unwrap_udt(f"{code}_ohe")["indices"], 0).cast("long"), F.lit(-1).cast("long")
         )
         for code in codes
     }

@@ -50,7 +50,7 @@ def trips_by_day_hour(prepared: DataFrame, k: int = 20, legacy_labels: bool = Fa
     return top_count(named, ["day_name", "hour"], k)
 
 
-# Output folder -> report.
+# Output folder -> report.
 REPORTS = {
     "revenue_per_hour_by_zone": revenue_by_hour_zone,
     "most_frequent_pickup_dropoff_pairs": zone_pair_counts,

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import functions as F
 
 from fareloom import __main__ as cli
-from fareloom.plans import regression, reports
+from fareloom.plans import prepare, regression, reports
+from fareloom.plans.views import news as news_view
 from fareloom.plans.views import trips, zones
 from fareloom.sources import save_table
+from fareloom.streaming.topic import write_topic
 
 
 @pytest.fixture(scope="module")
@@ -47,19 +48,47 @@ def test_profile(spark, prepared, capsys):
     assert "null_count" in shown and "col_b" in shown and "stddev" in shown
 
 
-def test_train_and_save(spark, prepared, tmp_path, capsys):
-    path = str(tmp_path / "model")
-    run(spark, "train", "--prepared", prepared, "--kind", "tree", "--model", path)
-    assert "rmse" in capsys.readouterr().out
-    assert len(PipelineModel.load(path).stages) == 3
+@pytest.fixture()
+def small_grids(monkeypatch):
+    monkeypatch.setitem(regression.GRIDS, "forest", {"numTrees": [2, 3]})
+    monkeypatch.setitem(regression.GRIDS, "boosted", {"maxIter": [1, 2]})
+    monkeypatch.setattr(regression, "FOLDS", {"forest": 2, "boosted": 2})
 
 
-def test_tune_and_save(spark, prepared, tmp_path, monkeypatch):
-    monkeypatch.setitem(regression.GRIDS, "forest", {"numTrees": [2, 3]})
+@pytest.mark.parametrize("tune", [False, True])
+@pytest.mark.parametrize("features", list(regression.FEATURE_SETS))
+@pytest.mark.parametrize("kind", list(regression.ESTIMATORS))
+def test_train_save_and_score(spark, prepared, tmp_path, small_grids, kind, features, tune):
     path = str(tmp_path / "model")
-    arguments = ["--features", "distance", "--label", "trip_distance", "--kind", "forest"]
-    run(spark, "train", "--prepared", prepared, *arguments, "--tune", "--model", path)
-    assert len(CrossValidatorModel.load(path).avgMetrics) == 2
+    label = "trip_distance" if features == "distance" else "total_amount"
+    arguments = ["--kind", kind, "--features", features, "--label", label, "--model", path]
+    if features == "clean":
+        arguments.append("--scale")
+    arguments += ["--tune"] * tune
+    if tune and kind not in regression.GRIDS:
+        with pytest.raises(SystemExit, match="--tune needs"):
+            run(spark, "train", "--prepared", prepared, *arguments)
+        return
+    run(spark, "train", "--prepared", prepared, *arguments)
+    model = PipelineModel.load(path)
+    table = prepare.with_trip_time(spark.read.parquet(prepared))
+    scored = regression.predict(model, table, regression.FEATURE_SETS[features], label)
+    assert scored.filter("prediction IS NOT NULL").count() == scored.count() > 1000
+
+
+def test_tuning_refuses_the_default_kind(spark, prepared):
+    with pytest.raises(SystemExit, match="--tune needs"):
+        run(spark, "train", "--prepared", prepared, "--tune")
+
+
+def test_stream_into_a_folder(spark, sf_dir, tmp_path):
+    topic, out = str(tmp_path / "topic"), str(tmp_path / "out")
+    write_topic(news_view(spark, sf_dir), topic)
+    arguments = ["--source", "text", "--path", topic, "--batch", "2", "--partitions", "2"]
+    run(spark, "stream", "top-countries", *arguments, "--out", out)
+    assert spark.read.parquet(f"{out}/result").count() > 0
+    with pytest.raises(SystemExit, match="give --out"):
+        run(spark, "stream", "exact-sessions", *arguments)
 
 
 def test_every_stream_query_can_be_named():

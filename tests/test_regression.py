@@ -148,3 +148,40 @@ def test_top_predictions_with_ties(spark):
     df = spark.createDataFrame(rows, "id INT, label DOUBLE, prediction DOUBLE")
     rows = R.top_predictions(df.repartition(4), "label", ["id"]).collect()
     assert [(r["index"], r.id) for r in rows] == [(i, i) for i in range(100)]
+
+
+def test_models_do_not_follow_the_file_splits(spark, sf_dir):
+    """Core counts change how files are split; ``steady`` undoes that."""
+    from checks.queries import KEY, parts
+
+    seen = []
+    for splits in ("1", "7"):
+        spark.conf.set("spark.sql.files.minPartitionNum", splits)
+        try:
+            train, test = parts(spark, sf_dir)
+            model = R.fit(train, "forest", "trip_distance", R.DISTANCE)
+            predictions = R.predict(model, test, R.DISTANCE, "trip_distance")
+            seen.append({tuple(r)[:-1]: r.prediction for r in predictions.select(*KEY, "prediction").collect()})
+        finally:
+            spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert seen[0] == seen[1]
+
+
+def test_rows_with_a_null_key_stay(spark):
+    from fareloom.operators import assign_split, train_test
+
+    df = spark.createDataFrame([(1, 2), (None, 3), (7, None)], "a long, b long")
+    weights = {"a": 1, "b": 1}
+    train, test = train_test(df, weights)
+    assert train.count() + test.count() == 3
+    assert assign_split(df, weights).filter("split = 'test'").count() == test.count()
+
+
+def test_encoder_default_has_a_slot_less(spark):
+    df = spark.createDataFrame([(float(i), i % 4, float(i % 4)) for i in range(40)], "x double, c int, y double")
+    features = R.FeatureSet(("x",), ("c",))
+    sizes = [
+        R.fit(df, "tree", "y", features, on_new=how).stages[-1].numFeatures
+        for how in ("keep", "error")
+    ]
+    assert sizes == [5, 4]
