@@ -46,6 +46,7 @@ SELECT event_id,
  concat('s_', user_id, '_', CAST(floor(event_id / 500E0) AS BIGINT)) AS session_id
 FROM events"""
 
+# The fees of a trip.
 FEES = "extra + mta_tax + tolls_amount + improvement_surcharge + congestion_surcharge + airport_fee"
 SECONDS = "CAST(epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime) AS BIGINT)"
 DAY = "CAST(dayofweek(tpep_pickup_datetime) + 1 AS INT)"
@@ -141,6 +142,7 @@ BOT_ARTICLES = windowed(
 CLOSED_DEVICES = f"""SELECT * FROM ({DEVICES}) w WHERE window_end <=
  (SELECT max(timestamp) - INTERVAL '10' MINUTE FROM ({NEWS}) n)"""
 
+# Codes, feature lists and column names.
 CODES = ["PULocationID", "DOLocationID", "VendorID", "payment_type"]
 CLEAN = ["trip_distance", "passenger_count", "hour", "day_of_week", *CODES]
 LEAKY = [
@@ -204,7 +206,76 @@ DESCRIBE = union(
 ERRORS = """SELECT *, total_amount - prediction AS error FROM (
  SELECT *, 6E0 + fare_amount + trip_distance * 0.25E0 AS prediction FROM prepared) p"""
 
+LABELLED = f"""SELECT *, {SECONDS} AS triptime,
+ (l_orderkey*31 + l_partkey*17 + l_linenumber) % 10 < 8 AS trains,
+ CAST(floor((l_orderkey*31 + l_partkey*17 + l_linenumber) / 10) AS BIGINT) % 3 AS fold
+FROM prepared"""
+
+
+def group_means(label: str) -> str:
+    """What a tree on payment_type alone predicts for the test rows."""
+    return over(
+        "prepared",
+        f"""SELECT {KEY}, round(m.v, 6) AS prediction FROM ({LABELLED}) t
+        JOIN (SELECT payment_type, avg({label}) AS v FROM ({LABELLED}) u WHERE trains
+              GROUP BY payment_type) m USING (payment_type)
+        WHERE NOT trains AND {label} IS NOT NULL""",
+    )
+
+
+LINE = over(
+    "prepared",
+    f"""SELECT {KEY}, round(m.a + m.b * trip_distance, 6) AS prediction FROM ({LABELLED}) t,
+    (SELECT regr_intercept(total_amount, trip_distance) AS a,
+            regr_slope(total_amount, trip_distance) AS b FROM ({LABELLED}) u WHERE trains) m
+    WHERE NOT trains""",
+)
+FOLD_SCORES = over(
+    "prepared",
+    f"""SELECT "maxDepth", round(avg(rmse), 6) AS avg_rmse FROM (
+     SELECT f.fold, sqrt(avg((t.tip_amount - m.v) * (t.tip_amount - m.v))) AS rmse
+     FROM (SELECT unnest([0, 1, 2]) AS fold) f
+     JOIN ({LABELLED}) t ON t.fold = f.fold AND t.trains
+     JOIN (SELECT g.fold, payment_type, avg(tip_amount) AS v
+           FROM (SELECT unnest([0, 1, 2]) AS fold) g
+           JOIN ({LABELLED}) u ON u.fold <> g.fold AND u.trains GROUP BY 1, 2) m
+       ON m.fold = f.fold AND m.payment_type = t.payment_type
+     GROUP BY f.fold) s, (SELECT unnest([4E0, 5E0]) AS "maxDepth") d GROUP BY 1""",
+)
+TOP_MEANS = over(
+    "prepared",
+    f"""SELECT row_number() OVER (ORDER BY total_amount DESC, {KEY}) - 1 AS "index", total_amount,
+    round(m.v, 6) AS prediction, {KEY} FROM ({LABELLED}) t
+    JOIN (SELECT payment_type, avg(total_amount) AS v FROM ({LABELLED}) u WHERE trains
+          GROUP BY payment_type) m USING (payment_type)
+    WHERE NOT trains AND total_amount IS NOT NULL ORDER BY total_amount DESC, {KEY} LIMIT 100""",
+)
+CLOSED = f"(SELECT max(timestamp) - INTERVAL '10' MINUTE FROM ({NEWS}) n)"
+
 ORACLE = {
+    "ml_exact_linear": LINE,
+    "ml_exact_tree": group_means("total_amount"),
+    "ml_exact_tree_tip": group_means("tip_amount"),
+    "ml_exact_forest_distance": group_means("trip_distance"),
+    "ml_exact_forest_duration": group_means("triptime"),
+    "ml_exact_boosted": group_means("total_amount"),
+    "ml_exact_cv": FOLD_SCORES,
+    "ml_exact_top100": TOP_MEANS,
+    "ml_model_roundtrip": over(
+        "prepared",
+        f"""SELECT {KEY}, true AS same FROM ({LABELLED}) t
+        WHERE NOT trains AND {not_null(LEAKY)}""",
+    ),
+    "scan_csv_inferred": f"""SELECT CAST(LocationID AS INT) AS LocationID, Borough, Zone
+        FROM ({ZONES}) z""",
+    "sample_of_keys": over(
+        "prepared",
+        f"""SELECT {KEY}, total_amount FROM prepared
+        WHERE CAST(floor((l_orderkey*31 + l_partkey*17 + l_linenumber) / 7) AS BIGINT) % 100 = 0""",
+    ),
+    "stream_active_sessions_append": f"""SELECT * FROM ({SESSIONS}) w
+        WHERE window_end <= {CLOSED}""",
+    "active_sessions_error": f"SELECT *, true AS within FROM ({SESSIONS}) s",
     "revenue_by_hour_zone": over(
         "final",
         """SELECT hour, PU_Zone, round(sum(total_amount), 2) AS total_revenue FROM final

@@ -21,6 +21,7 @@ from fareloom.operators import (
     numeric_columns,
     small_side,
 )
+from fareloom.operators.split import sample_by_key
 from fareloom.operators.joins import role_of
 from fareloom.operators.topk import with_speed
 from fareloom.plans import news as N
@@ -28,7 +29,7 @@ from fareloom.plans import prepare as P
 from fareloom.plans import regression as R
 from fareloom.plans import reports
 from fareloom.plans.views import SPLIT_WEIGHTS, TRIP_KEY, news, table, trips, zones
-from fareloom.session import app_id, scratch_path
+from fareloom.session import app_id, modified, scratch_path
 from fareloom.sources import load_table, parse_events, read_events, save_table
 from fareloom.streaming import run_append, run_complete
 from fareloom.streaming.topic import write_topic
@@ -38,10 +39,16 @@ KEY = list(TRIP_KEY)
 _once: dict[tuple, object] = {}
 _once_lock = RLock()
 
+# Of the streams, whatever the size of the input.
+FILES_PER_TRIGGER = 2
+STATE_PARTITIONS = 8
+
 
 def once(spark: SparkSession, name: str, sf_dir: str, build):
-    """The result of ``build``, kept for the application and the data folder."""
-    slot = (app_id(spark), name, sf_dir)
+    """The result of ``build``, kept for the application and the data folder as it is."""
+    tables = ("lineitem", "orders", "events")
+    changed = tuple(modified(spark, f"{sf_dir}/{t}.parquet") for t in tables)
+    slot = (app_id(spark), name, sf_dir, changed)
     with _once_lock:
         if slot not in _once:
             _once[slot] = build()
@@ -62,6 +69,12 @@ def prepared_zones(spark, d):
     return P.add_zones(prepared(spark, d), zones(spark, d))
 
 
+def prepared_pickup(spark, d):
+    """With the pickup zone alone, which is all that some reports read."""
+    zone = small_side(zones(spark, d))
+    return join_role(prepared(spark, d), zone, "PULocationID", "LocationID", "PU")
+
+
 # --- sources and sinks ---------------------------------------------------
 
 
@@ -77,6 +90,13 @@ def scan_csv(spark, d):
     return load_table(spark, path, "csv", P.ZONE_SCHEMA)
 
 
+def scan_csv_inferred(spark, d):
+    """Zones by way of CSV, every type taken from the file."""
+    path = scratch_path(spark, "zones-csv")
+    save_table(zones(spark, d), path, "csv")
+    return load_table(spark, path, "csv")
+
+
 def load_any(spark, d):
     """Suppliers by way of CSV with inferred types, beside their nation from parquet."""
     path = scratch_path(spark, "supplier-csv")
@@ -97,36 +117,30 @@ def sink_parquet_roundtrip(spark, d):
 
 
 def topic(spark, d):
-    """Folder of the news topic, which is written once, and its number of files."""
+    """Folder of the news topic, which is written once."""
 
     def build():
         path = scratch_path(spark, "topic")
-        return path, write_topic(news(spark, d), path)
+        write_topic(news(spark, d), path)
+        return path
 
     return once(spark, "topic", d, build)
 
 
-def state_partitions(spark, files: int) -> int:
-    """One per topic file of up to a million events, at most what the session allows."""
-    return min(files, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
-def event_stream(spark, d, batches: int = 4):
-    """The parsed topic in about ``batches`` micro-batches, and its state partitions."""
-    path, files = topic(spark, d)
-    per_trigger = str(max(1, -(-files // batches)))
-    events = read_events(spark, "text", path=path, maxFilesPerTrigger=per_trigger)
-    return events, state_partitions(spark, files)
+def event_stream(spark, d):
+    """The parsed topic, ``FILES_PER_TRIGGER`` files a micro-batch."""
+    return read_events(
+        spark, "text", path=topic(spark, d), maxFilesPerTrigger=str(FILES_PER_TRIGGER)
+    )
 
 
 def stream_source_json(spark, d):
-    events, _ = event_stream(spark, d)
-    return plain_times(run_append(events, scratch_path(spark, "events")))
+    return plain_times(run_append(event_stream(spark, d), scratch_path(spark, "events")))
 
 
 def ml_model_roundtrip(spark, d):
-    """Predictions of a tuned forest for the test rows, before and after save and load."""
-    model = tuned(spark, d, "forest")
+    """Whether a tuned forest predicts the same for a test row after save and load."""
+    model = tuned(spark, d, "cv_forest")
     path = scratch_path(spark, "model")
     R.save_model(model, path)
     test = assembled_test(spark, d, R.LEAKY, "total_amount")
@@ -134,8 +148,6 @@ def ml_model_roundtrip(spark, d):
     after = R.load_tuned(path).transform(before)
     return after.select(
         *KEY,
-        "total_amount",
-        "prediction",
         (F.col("prediction") == F.col("saved_prediction")).alias("same"),
     )
 
@@ -225,6 +237,10 @@ def sample_rows(spark, d):
     return prepared(spark, d).select(*KEY, "total_amount").sample(False, 0.01, 42)
 
 
+def sample_of_keys(spark, d):
+    return sample_by_key(prepared(spark, d).select(*KEY, "total_amount"), SPLIT_WEIGHTS)
+
+
 def train_test_split(spark, d):
     return assign_split(prepared(spark, d).select(*KEY), SPLIT_WEIGHTS)
 
@@ -256,12 +272,11 @@ def complete_stream(transform, post=None, rank=None):
     """A query over the topic in complete mode, its result sorted by ``rank``."""
 
     def run(spark, d):
-        events, partitions = event_stream(spark, d)
-        result = transform(events)
+        result = transform(event_stream(spark, d))
         if rank and post is None:
             result = N.ranked(result, rank)
-        out = run_complete(result, scratch_path(spark, "stream"), post, partitions)
-        return plain_times(N.ranked(out, rank) if rank else out)
+        out = run_complete(result, scratch_path(spark, "stream"), post, STATE_PARTITIONS)
+        return plain_times(N.ranked(out, rank) if rank and post else out)
 
     return run
 
@@ -275,10 +290,28 @@ def batch_twin(transform, rank=None):
 
 
 def stream_device_usage_append(spark, d):
-    """Closed windows only. All input is one micro-batch, so no event is late."""
-    events, partitions = event_stream(spark, d, batches=1)
-    counted = N.device_usage(events.withWatermark("timestamp", "10 minutes"))
-    return plain_times(run_append(counted, scratch_path(spark, "stream"), partitions))
+    """Closed windows only. The topic is in order of time, so no event is late."""
+    events = event_stream(spark, d).withWatermark("timestamp", "10 minutes")
+    path = scratch_path(spark, "stream")
+    return plain_times(run_append(N.device_usage(events), path, STATE_PARTITIONS))
+
+
+def stream_active_sessions_append(spark, d):
+    """Exact sessions of closed windows; both steps forget the windows they closed."""
+    events = event_stream(spark, d).withWatermark("timestamp", "10 minutes")
+    path = scratch_path(spark, "stream")
+    return plain_times(run_append(N.closed_sessions(events), path, STATE_PARTITIONS))
+
+
+def active_sessions_error(spark, d):
+    """Exact counts, and whether the estimate lies within three deviations."""
+    events = news(spark, d)
+    keys = ["window_start", "window_end", "location"]
+    estimate = N.active_sessions(events).withColumnRenamed("active_sessions", "estimate")
+    both = N.active_sessions_exact(events).join(estimate, keys)
+    exact = F.col("active_sessions")
+    within = F.abs(F.col("estimate") - exact) <= 3 * 0.05 * exact + 1
+    return plain_times(both.select(*keys, "active_sessions", within.alias("within")))
 
 
 # --- regression -------------------------------------------------------------------
@@ -291,10 +324,6 @@ def processed(spark, d):
     def build():
         path = scratch_path(spark, "training")
         labelled = assign_split(P.with_trip_time(prepared(spark, d)), SPLIT_WEIGHTS)
-        # A small table arrives as one file split; training should use all cores.
-        cores = spark.sparkContext.defaultParallelism
-        if table(spark, d, "lineitem").rdd.getNumPartitions() < cores:
-            labelled = labelled.repartition(cores)
         save_table(labelled, path, partition_by=["split"])
         return path
 
@@ -302,8 +331,10 @@ def processed(spark, d):
 
 
 def parts(spark, d):
+    """Train rows in partitions that do not follow from the machine, and test rows."""
     data = processed(spark, d)
-    return tuple(data.filter(F.col("split") == part).drop("split") for part in ("train", "test"))
+    train, test = (data.filter(F.col("split") == p).drop("split") for p in ("train", "test"))
+    return R.steady(train, KEY), test
 
 
 def assembled_test(spark, d, features, label):
@@ -326,32 +357,80 @@ def scored(kind, label, features, scale=False):
     return run
 
 
-# Smaller than the full grids in ``regression.GRIDS``, whose 28 and 21 fits are
-# for real tuning runs.
-CHECK_GRIDS = {
-    "forest": {"numTrees": [10, 20], "maxDepth": [5]},
-    "boosted": {"maxDepth": [3, 5], "maxIter": [5]},
+# Tuning jobs: estimator, label, features.
+TUNED = {
+    "cv_forest": ("forest", "total_amount", R.LEAKY),
+    "cv_gbt": ("boosted", "total_amount", R.LEAKY),
+    "cv_distance": ("forest", "trip_distance", R.DISTANCE),
 }
 
 
-def tuned(spark, d, kind):
-    train, _ = parts(spark, d)
-    return R.cross_validate(
-        train, kind, "total_amount", R.LEAKY, SPLIT_WEIGHTS, CHECK_GRIDS[kind]
-    )
+def tuned(spark, d, name):
+    """A model tuned over its full grid, once per session, on a bounded number of rows."""
+    kind, label, features = TUNED[name]
+
+    def build():
+        train, _ = parts(spark, d)
+        rows = R.steady(R.bounded(R.complete_rows(train, features, label), KEY), KEY)
+        return R.cross_validate(rows, kind, label, features, SPLIT_WEIGHTS, maxMemoryInMB=1024)
+
+    return once(spark, name, d, build)
 
 
-def cv_scores(kind):
+def cv_scores(name):
     def run(spark, d):
-        scores = R.grid_scores(tuned(spark, d, kind), table(spark, d, "lineitem"))
-        names = sorted(CHECK_GRIDS[kind])
+        scores = R.grid_scores(tuned(spark, d, name), table(spark, d, "lineitem"))
+        names = sorted(R.GRIDS[TUNED[name][0]])
         return scores.select(
-            *(F.col("params")[name].alias(name) for name in names), "avg_rmse", "std_rmse"
+            *(F.col("params")[n].alias(n) for n in names), "avg_rmse", "std_rmse"
         )
 
     return run
 
 
+# One feature of few values: trees that see all rows and features predict the mean of
+# its group, so these models can be recomputed in SQL.
+ONE_CODE = R.FeatureSet(("payment_type",))
+ONE_NUMBER = R.FeatureSet(("trip_distance",))
+EXACT = {
+    "linear": {"regParam": 0.0, "maxIter": 25},
+    "tree": {},
+    "forest": {"numTrees": 3, "bootstrap": False, "featureSubsetStrategy": "all"},
+    "boosted": {"maxIter": 1},
+}
+
+
+def exact_model(kind, label):
+    """Predictions for the test rows of a model that SQL can recompute."""
+    features = ONE_NUMBER if kind == "linear" else ONE_CODE
+
+    def run(spark, d):
+        train, test = parts(spark, d)
+        model = R.fit(train, kind, label, features, **EXACT[kind])
+        predictions = R.predict(model, test, features, label)
+        return predictions.select(*KEY, F.round("prediction", 6).alias("prediction"))
+
+    return run
+
+
+def exact_cv(spark, d):
+    """Fold scores of trees that predict group means."""
+    train, _ = parts(spark, d)
+    grid = {"maxDepth": [4, 5]}
+    model = R.cross_validate(train, "tree", "tip_amount", ONE_CODE, SPLIT_WEIGHTS, grid, 3)
+    return R.grid_scores(model, train).select(
+        F.col("params")["maxDepth"].alias("maxDepth"), F.round("avg_rmse", 6).alias("avg_rmse")
+    )
+
+
+def exact_top100(spark, d):
+    train, test = parts(spark, d)
+    model = R.fit(train, "tree", "total_amount", ONE_CODE)
+    predictions = R.predict(model, test, ONE_CODE, "total_amount")
+    largest = R.top_predictions(predictions, "total_amount", KEY)
+    return largest.withColumn("prediction", F.round("prediction", 6))
+
+
 def prediction_top100(spark, d):
     train, test = parts(spark, d)
     model = R.fit(train, "forest", "total_amount", R.LEAKY)
@@ -400,7 +479,7 @@ def normalize_features(spark, d):
 
 QUERIES = {
     # named batch queries
-    "revenue_by_hour_zone": lambda s, d: reports.revenue_by_hour_zone(prepared_zones(s, d)),
+    "revenue_by_hour_zone": lambda s, d: reports.revenue_by_hour_zone(prepared_pickup(s, d)),
     "prepare_trips": prepared_zones,
     "zone_pair_counts": lambda s, d: reports.zone_pair_counts(prepared_zones(s, d)),
     "fastest_trips": lambda s, d: reports.fastest_trips(prepared_zones(s, d)),
@@ -413,6 +492,7 @@ QUERIES = {
     # sources and sinks
     "scan_parquet": scan_parquet,
     "scan_csv": scan_csv,
+    "scan_csv_inferred": scan_csv_inferred,
     "load_table": load_any,
     "sink_parquet_roundtrip": sink_parquet_roundtrip,
     "stream_source_json": stream_source_json,
@@ -432,6 +512,7 @@ QUERIES = {
     "drop_null_rows": drop_null_rows,
     "numeric_columns": numeric_columns_of_trips,
     "sample_rows": sample_rows,
+    "sample_of_keys": sample_of_keys,
     "train_test_split": train_test_split,
     # joins
     "join_pickup_zone": join_pickup_zone,
@@ -462,6 +543,8 @@ QUERIES = {
     "stream_article_spikes": complete_stream(N.article_spikes),
     "stream_bot_users": complete_stream(N.bot_users),
     "stream_device_usage_append": stream_device_usage_append,
+    "stream_active_sessions_append": stream_active_sessions_append,
+    "active_sessions_error": active_sessions_error,
     # regression
     "onehot_codes": onehot_codes,
     "assemble_features": assemble_features,
@@ -475,8 +558,17 @@ QUERIES = {
     "ml_gbt_total": scored("boosted", "total_amount", R.LEAKY),
     "ml_tip": scored("linear", "tip_amount", R.CLEAN, scale=True),
     "ml_duration": scored("forest", "triptime", R.CLEAN),
-    "ml_cv_forest": cv_scores("forest"),
-    "ml_cv_gbt": cv_scores("boosted"),
+    "ml_cv_forest": cv_scores("cv_forest"),
+    "ml_cv_gbt": cv_scores("cv_gbt"),
+    "ml_cv_distance": cv_scores("cv_distance"),
+    "ml_exact_linear": exact_model("linear", "total_amount"),
+    "ml_exact_tree": exact_model("tree", "total_amount"),
+    "ml_exact_tree_tip": exact_model("tree", "tip_amount"),
+    "ml_exact_forest_distance": exact_model("forest", "trip_distance"),
+    "ml_exact_forest_duration": exact_model("forest", "triptime"),
+    "ml_exact_boosted": exact_model("boosted", "total_amount"),
+    "ml_exact_cv": exact_cv,
+    "ml_exact_top100": exact_top100,
     "ml_model_roundtrip": ml_model_roundtrip,
     "prediction_top100": prediction_top100,
 }

@@ -7,7 +7,10 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from checks.oracle import ORACLE
+from checks.queries import QUERIES, TUNED
+from fareloom.plans import regression
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -27,7 +30,7 @@ ROWS_ONLY = {
     "ml_duration",
     "ml_cv_forest",
     "ml_cv_gbt",
-    "ml_model_roundtrip",
+    "ml_cv_distance",
     "prediction_top100",
 }
 
@@ -45,23 +48,24 @@ def in_name_order(rows, columns):
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, sf_dir, duck, name):
-    df = queries()[name](spark, sf_dir)
-    cursor = duck.execute(oracle_sql()[name])
+    df = QUERIES[name](spark, sf_dir)
+    cursor = duck.execute(ORACLE[name])
     columns = [column[0] for column in cursor.description]
     assert sorted(df.columns) == sorted(columns)
     assert in_name_order(df.collect(), df.columns) == in_name_order(cursor.fetchall(), columns)
 
 
 def test_only_random_or_fitted_queries_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
 
 
 @pytest.mark.parametrize("name", sorted(n for n in ROWS_ONLY if n.startswith("ml_cv")))
 def test_tuning_scores_every_grid_point(spark, sf_dir, name):
-    rows = queries()[name](spark, sf_dir).collect()
-    assert len(rows) == 2
+    rows = QUERIES[name](spark, sf_dir).collect()
+    grid = regression.GRIDS[TUNED[name.removeprefix("ml_")][0]]
+    assert len(rows) == math.prod(map(len, grid.values()))
     assert all(0 < row.avg_rmse < 10 and row.std_rmse >= 0 for row in rows)
 
 
@@ -78,19 +82,19 @@ def test_tuning_scores_every_grid_point(spark, sf_dir, name):
     ],
 )
 def test_scores_are_in_bounds(spark, sf_dir, name, best_r2):
-    (row,) = queries()[name](spark, sf_dir).collect()
+    (row,) = QUERIES[name](spark, sf_dir).collect()
     assert row["rows"] > 1000
     assert best_r2 < row.r2 < 1
     assert 0 < row.mae <= row.rmse and math.isfinite(row.rmse)
 
 
 def test_reloaded_model_predicts_the_same(spark, sf_dir):
-    rows = queries()["ml_model_roundtrip"](spark, sf_dir).collect()
+    rows = QUERIES["ml_model_roundtrip"](spark, sf_dir).collect()
     assert len(rows) > 1000 and all(row.same for row in rows)
 
 
 def test_largest_labels_come_first(spark, sf_dir):
-    rows = queries()["prediction_top100"](spark, sf_dir).collect()
+    rows = QUERIES["prediction_top100"](spark, sf_dir).collect()
     assert [row["index"] for row in rows] == list(range(100))
     labels = [row.total_amount for row in rows]
     assert labels == sorted(labels, reverse=True)
