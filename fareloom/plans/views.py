@@ -26,7 +26,8 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trip per order line.
 
     Orders and customers are joined first, so the large line table is
-    shuffled once by order and never by customer.
+    shuffled by order and never by customer. Once suppliers are too many to be
+    sent to all tasks, it is shuffled by supplier as well.
     """
     riders = table(spark, sf_dir, "orders").join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
