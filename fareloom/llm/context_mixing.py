@@ -7,9 +7,14 @@ context: the last 0 to 4 bytes of the word, in tables of fixed size that count t
 different words of all training documents. Their log-odds are mixed with weights
 that the gate of the bit selects; the weights follow the prediction error, word by
 word. That gives the probability of any spelling. A token's probability mixes it
-with the token's share of all training tokens, by a rate that fits the training
+with the token's share of the training tokens, by a rate that fits the training
 tokens when each is left out of its own count.
 
+Shares follow the kind of a text, such as its language. Training documents have
+theirs in a column; a text that is scored is given the kind under which its frequent
+words are likeliest, and its score pays for saying which, so that the scores of all
+texts still add up to no more than 1.
+
 Tables and weights are of fixed size. What grows with the corpus, the vocabulary
 and its counts, is never gathered: it meets the documents in a join by word.
 """
@@ -41,6 +46,9 @@ GATES = 8 * CONFIDENCE * CONFIDENCE
 INPUTS = len(TABLE_BITS) + 1
 RATES = (0.02, 0.005)  # of the weights, first and second time over the words
 BINS_PER_UNIT = 10
+MAX_KINDS = 7  # most frequent kinds; the rest is one more
+FREQUENT = 2000  # words that tell the kind of a text
+OWN_KIND = 0.9  # part of a share that comes from the text's kind
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWERED = str.maketrans(UPPER, UPPER.lower())
 
@@ -149,27 +157,72 @@ def tokens(text: str | None) -> list[str]:
     return WORD.findall((text or "").translate(LOWERED))
 
 
-def vocabulary(docs: DataFrame) -> DataFrame:
-    """(word, c): tokens of all documents with their counts in training documents."""
+def with_kind(docs: DataFrame) -> tuple[DataFrame, int]:
+    """``docs`` with their kind as a number below the second result."""
+    training = docs.filter(~held_out(F.col("doc_id")) & F.col("kind").isNotNull())
+    most = training.groupBy("kind").count().orderBy(F.desc("count"), "kind").limit(MAX_KINDS)
+    names = [r["kind"] for r in most.collect()]
+    number = F.lit(len(names))
+    for i, name in enumerate(names):
+        number = F.when(F.col("kind") == name, i).otherwise(number)
+    return docs.withColumn("kind", number), len(names) + 1
+
+
+def vocabulary(docs: DataFrame, kinds: int) -> DataFrame:
+    """(word, c, c0, c1, ...): tokens of all documents with their counts in training
+    documents, and in those of each kind."""
 
     def run(batches):
         for batch in batches:
             for piece in by_chunks(batch, "text"):
-                counts: dict[str, int] = {}
-                for doc_id, text in zip(
-                    piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True
-                ):
+                by_kind: dict[int, dict[str, int]] = {}
+                for doc_id, text, kind in zip(*(c.to_pylist() for c in piece.columns), strict=True):
+                    counts = by_kind.setdefault(kind, {})
                     one = int(fold(doc_id) != HELD_OUT)
                     for word in tokens(text):
                         counts[word] = counts.get(word, 0) + one
                     counts[END] = counts.get(END, 0) + one
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-                    ["word", "c"],
-                )
+                for kind, counts in by_kind.items():
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(list(counts), pa.string()),
+                            pa.array(list(counts.values()), pa.int64()),
+                            pa.array(np.full(len(counts), kind, np.int32)),
+                        ],
+                        ["word", "c", "kind"],
+                    )
+
+    counted = docs.select("doc_id", "text", "kind").mapInArrow(run, "word string, c long, kind int")
+    own = [
+        F.sum(F.when(F.col("kind") == k, F.col("c")).otherwise(0)).alias(f"c{k}") for k in range(kinds)
+    ]
+    return stored(counted.groupBy("word").agg(F.sum("c").alias("c"), *own), "vocabulary")
+
+
+@dataclass
+class Kinds:
+    """Log probabilities of frequent words under each kind, and of the kinds."""
 
-    counted = docs.mapInArrow(run, "word string, c long")
-    return stored(counted.groupBy("word").agg(F.sum("c").alias("c")), "vocabulary")
+    words: dict[str, int]
+    log_p: np.ndarray
+    prior: np.ndarray
+
+    @classmethod
+    def of_words(cls, words: DataFrame, n: int, sizes: list[int]) -> Kinds:
+        top = words.filter("c > 0").orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
+        held = np.array([[r[f"c{k}"] for k in range(len(sizes))] for r in top], float)
+        share = np.array([r["c"] for r in top], float)[:, None] / max(n, 1)
+        held = held.reshape(len(top), len(sizes))
+        log_p = np.log((held + share) / (np.array(sizes) + 1.0))
+        prior = (np.array(sizes) + 1.0) / (n + len(sizes))
+        return cls({r["word"]: i for i, r in enumerate(top)}, log_p, np.log(prior))
+
+    def of_text(self, counts: dict[str, int]) -> int:
+        hits = [(self.words[w], tf) for w, tf in counts.items() if w in self.words]
+        if not hits:
+            return int(np.argmax(self.prior))
+        rows, times = zip(*hits, strict=True)
+        return int(np.argmax(self.prior + np.array(times) @ self.log_p[list(rows)]))
 
 
 def dealt(words: DataFrame, n: int) -> DataFrame:
@@ -257,7 +310,7 @@ def refined(words: DataFrame, mixer: Mixer, rate: float) -> np.ndarray:
 
 
 def with_spelling(words: DataFrame, mixer: Mixer) -> DataFrame:
-    """(word, c, spelling): the logarithm of each word's spelling probability."""
+    """``words`` with spelling, the logarithm of each word's spelling probability."""
     shared = words.sparkSession.sparkContext.broadcast(mixer)
 
     def run(batches):
@@ -266,27 +319,39 @@ def with_spelling(words: DataFrame, mixer: Mixer) -> DataFrame:
             found = [shared.value.log_prob(part) for part in batches_of(names)]
             spelling = np.concatenate(found) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(spelling)], ["word", "c", "spelling"]
+                [*batch.columns, pa.array(spelling)], [*batch.schema.names, "spelling"]
             )
 
-    return stored(
-        words.select("word", "c").mapInArrow(run, "word string, c long, spelling double"), "spelled"
-    )
+    names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema)
+    return stored(words.mapInArrow(run, f"{names}, spelling double"), "spelled")
 
 
-def share_rate(words: DataFrame, n: int) -> float:
+def share_of(kind: int, n: int, sizes: list[int], less: int = 0) -> Column:
+    """A word's share of the training tokens for texts of a kind; with ``less`` 1 as
+    if it had occurred once less in a text of that kind."""
+    whole = (F.col("c") - less) / F.lit(max(n - less, 1))
+    own = F.greatest(F.col(f"c{kind}") - less, F.lit(0)) / F.lit(max(sizes[kind] - less, 1))
+    return own * OWN_KIND + whole * (1 - OWN_KIND) if sizes[kind] else whole
+
+
+def share_rate(words: DataFrame, n: int, sizes: list[int]) -> float:
     """Weight of a token's own share beside its spelling, by expectation and
     maximisation over the training tokens, each left out of its count."""
     if n < 2:
         return 0.5
-    ratio = F.log((F.col("c") - 1) / F.lit(n - 1)) - F.col("spelling")
+
+    def binned(kind):
+        ratio = F.log(share_of(kind, n, sizes, 1)) - F.col("spelling")
+        bounded = F.least(F.lit(200.0), F.greatest(F.lit(-200.0), ratio))
+        number = F.when(F.col("c") > 1, F.round(bounded * BINS_PER_UNIT)).cast("int")
+        return F.struct(number.alias("bin"), F.col(f"c{kind}").alias("c"))
+
+    each = F.explode(F.array(*(binned(k) for k in range(len(sizes)))))
     bins = (
         words.filter("c > 0")
-        .select(
-            F.when(F.col("c") > 1, F.round(F.least(F.lit(200.0), F.greatest(F.lit(-200.0), ratio)) * BINS_PER_UNIT))
-            .cast("int").alias("bin"),
-            "c",
-        )
+        .select(each.alias("b"))
+        .select("b.*")
+        .filter("c > 0")
         .groupBy("bin")
         .agg(F.sum("c").alias("c"))
         .collect()  # one row per bin
@@ -300,15 +365,16 @@ def share_rate(words: DataFrame, n: int) -> float:
     return rate
 
 
-def token_rows(docs: DataFrame) -> DataFrame:
-    """(row, word, tf) per different token of a document, one of them its end, which
-    also carries doc_id, the number of tokens and of bytes."""
+def token_rows(docs: DataFrame, told: Kinds) -> DataFrame:
+    """(row, word, tf, kind) per different token of a document, one of them its end,
+    which also carries doc_id, the number of tokens and of bytes."""
+    shared = docs.sparkSession.sparkContext.broadcast(told)
 
     def run(batches):
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
             for piece in by_chunks(batch, "text"):
-                words, times, rows, ids, sizes, lengths = [], [], [], [], [], []
+                words, times, rows, kinds, ids, sizes, lengths = [], [], [], [], [], [], []
                 for doc_id, text in zip(
                     piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True
                 ):
@@ -320,6 +386,7 @@ def token_rows(docs: DataFrame) -> DataFrame:
                     times += counts.values()
                     number += 1
                     rows.append(np.full(len(counts), number))
+                    kinds.append(np.full(len(counts), shared.value.of_text(counts), np.int32))
                     for column, value in (
                         (ids, doc_id), (sizes, len(found) + 1), (lengths, len((text or "").encode()))
                     ):
@@ -333,12 +400,13 @@ def token_rows(docs: DataFrame) -> DataFrame:
                         pa.array(ids, pa.int64()),
                         pa.array(sizes, pa.int64()),
                         pa.array(lengths, pa.int64()),
+                        pa.array(np.concatenate(kinds)),
                     ],
-                    ["row", "word", "tf", "doc_id", "n_tokens", "n_bytes"],
+                    ["row", "word", "tf", "doc_id", "n_tokens", "n_bytes", "kind"],
                 )
 
-    kinds = "row long, word string, tf long, doc_id long, n_tokens long, n_bytes long"
-    return docs.mapInArrow(run, kinds)
+    schema = "row long, word string, tf long, doc_id long, n_tokens long, n_bytes long, kind int"
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -346,7 +414,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
-def scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scores(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    kind_col: str | None = "lang",
+) -> DataFrame:
     """Scores of every row by a model of the rows that are not held out.
 
     doc_id, held_out, n_tokens, n_known (tokens seen in training), train_tokens,
@@ -355,29 +428,44 @@ def scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     A null text counts as empty: its one token is the end. A row with a null id is
     not held out. Repeated rows train once each and give repeated rows. An empty
-    table gives an empty result; columns other than the two named are ignored.
+    table gives an empty result; other columns are ignored. ``kind_col`` is read from
+    training rows only, where null is a kind as well; None does without kinds.
     """
     ship(df.sparkSession)
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    words = vocabulary(docs)
-    n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
+    kind = F.col(kind_col).cast("string") if kind_col else F.lit(None).cast("string")
+    docs = df.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), kind.alias("kind")
+    )
+    docs, kinds = with_kind(docs)
+    words = vocabulary(docs, kinds)
+    own = [F.coalesce(F.sum(f"c{k}"), F.lit(0)) for k in range(kinds)]
+    n, v, *sizes = words.agg(
+        F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), *own
+    ).first()
+    told = Kinds.of_words(words, n, sizes)
     training = dealt(words.filter("c > 0"), v)
     mixer = Mixer.of_counts(*slot_counts(training))
     for rate in RATES:
         mixer.weights = refined(training, mixer, rate)
     known = with_spelling(words, mixer)
-    rate = share_rate(known, n)
-    share = F.log(F.col("c") / F.lit(max(n, 1))) + math.log(rate)
+    rate = share_rate(known, n, sizes)
     other = F.col("spelling") + math.log(1 - rate)
-    most = F.greatest(share, other)  # greatest passes over the null of log(0)
-    mixed = most + F.log(F.exp(share - most) + F.exp(other - most))
+
+    def mixed(kind):
+        share = F.log(share_of(kind, n, sizes)) + math.log(rate)
+        most = F.greatest(share, other)
+        both = most + F.log(F.exp(share - most) + F.exp(other - most))
+        # An end comes once a text and pays for the text's kind.
+        kind_cost = F.when(F.col("word") == END, float(told.prior[kind])).otherwise(0.0)
+        return (F.when(F.col("c") > 0, both).otherwise(other) + kind_cost) / math.log(10)
+
     scored = known.select(
         "word",
         (F.col("c") > 0).cast("int").alias("known"),
         F.log10((F.col("c") + 0.5) / F.lit(n + 0.5 * (v + 1))).alias("base"),
-        (F.when(F.col("c") > 0, mixed).otherwise(other) / math.log(10)).alias("own"),
+        F.array(*(mixed(k) for k in range(kinds))).alias("by_kind"),
     )
-    joined = token_rows(docs).join(scored.hint("shuffle_hash"), "word")
+    joined = token_rows(docs, told).join(scored.hint("shuffle_hash"), "word")
     tf = F.col("tf")
     total = joined.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"),
@@ -385,7 +473,7 @@ def scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.max("n_bytes").alias("n_bytes"),
         F.sum(tf * F.col("known")).alias("n_known"),
         F.sum(tf * F.col("base")).alias("base_score"),
-        F.sum(tf * F.col("own")).alias("score"),
+        F.sum(tf * F.get("by_kind", F.col("kind"))).alias("score"),
     )
     return total.select(
         "doc_id",

@@ -43,7 +43,7 @@ def rows():
 
 
 def test_fixed_columns_equal_brute_force(spark, rows):
-    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, lang string")
     got = {r.doc_id: r for r in M.scores(df).collect()}
     wanted = brute(rows)
     assert got.keys() == wanted.keys()
@@ -62,9 +62,11 @@ def test_fixed_columns_equal_brute_force(spark, rows):
 def test_held_out_texts_train_nothing(spark, rows):
     changed = [(i, "entirely different qqq" if brute([(i, t)])[i][0] else t) for i, t in rows]
     schema = "doc_id long, text string"
-    first = {r.doc_id: r.score for r in M.scores(spark.createDataFrame(rows, schema)).collect()}
-    other = {r.doc_id: r for r in M.scores(spark.createDataFrame(changed, schema)).collect()}
-    assert all(math.isclose(first[i], r.score, rel_tol=1e-9) for i, r in other.items() if not r.held_out)
+    first, other = (
+        {r.doc_id: r for r in M.scores(spark.createDataFrame(t, schema), kind_col=None).collect()}
+        for t in (rows, changed)
+    )
+    assert all(math.isclose(first[i].score, r.score, rel_tol=1e-9) for i, r in other.items() if not r.held_out)
 
 
 def test_bytes_are_a_distribution(monkeypatch):
@@ -100,9 +102,27 @@ def test_mixing_learns():
 
 def test_edge_rows(spark):
     table = [(None, "a b"), (1, None), (2, ""), (3, "Word " * 50_000), (4, "x" * 100_000), (4, "y"), (4, "y")]
-    df = spark.createDataFrame(table, "doc_id long, text string").withColumn("score", F.lit("x"))
+    df = spark.createDataFrame(table, "doc_id long, text string").withColumns(
+        {"score": F.lit("x"), "lang": F.when(F.col("doc_id") > 2, "en")}
+    )
     got = sorted((r.doc_id or 0, r.n_tokens, r.bits_per_byte is None) for r in M.scores(df).collect())
     assert got == [
         (0, 3, False), (1, 1, True), (2, 1, True), (3, 50_001, False), (4, 2, False), (4, 2, False), (4, 2, False),
     ]
     assert M.scores(df.limit(0)).count() == 0
+
+
+def test_kinds_of_texts_raise_the_score(spark):
+    random.seed(12)
+    own = {k: [f"{k}{c}{d}" for c in "abcdefgh" for d in "uvwxyz"] for k in "pq"}
+    rows = [
+        (i, " ".join(random.choices(own["pq"[i % 2]], k=40)), "pq"[i % 2] if i % 3 else None)
+        for i in range(300)
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    total = {}
+    for name in ("lang", None):
+        found = M.scores(df, kind_col=name).filter("held_out").agg(F.sum("score"), F.sum("base_score"))
+        total[name] = found.first()
+    assert total["lang"][0] > total[None][0]
+    assert total["lang"][0] > total["lang"][1]
