@@ -7,10 +7,15 @@ token) add up to more than H, one segment keeps within its allowance: it is foun
 by the hash of its tokens, or of its tokens without one. A cost model chooses the
 allowances of each band. Sets with a signature in common are compared exactly.
 
-Allowances add up to H + 1 + z. A set may then leave out segments with at most
-one token, which say little, as long as they are z at most: two sets that link
-have z + 1 segments within their allowance, so one that both keep is among them.
-A set with more of them keeps all.
+Allowances add up to H + 1 + z. A set may then leave out empty segments, which say
+nothing, as long as they are z at most: two sets that link have z + 1 segments
+within their allowance, so one that both keep is among them. A set with more of
+them keeps all.
+
+Two sets differ in no more tokens if some tokens are passed over in both, so any
+choice of tokens may be left out of the segments. Those that a sample of texts of
+quite different sizes has in common, such as shared lines, are: they would bring
+sets together that share nothing else. Comparison always takes all tokens.
 """
 
 from __future__ import annotations
@@ -32,7 +37,11 @@ from fareloom.llm.components import connected_components
 
 COLLISION = 20.0  # cost of a segment with one token at most, in signatures
 BLOCK = 1000  # sets of a cluster compared in one task, with those of another block
-MAX_WORDS = 300_000  # word hashes kept by a task
+SAMPLE = 10_000  # documents in which common tokens are sought
+MAX_COMMON = 50_000
+SALTS = 16  # keys over which the rows of one set are dealt
+MARKS = 1 << 24  # bits that say which texts are wanted again
+MAX_WORDS = 150_000  # word hashes kept by a task
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -47,6 +56,11 @@ class Rule:
     def link(self, same: int, a: int, b: int) -> bool:
         return self.den * same >= self.num * (a + b - same)
 
+    @property
+    def far_bands(self) -> int:
+        """Bands between sizes of which one is about twice the other."""
+        return max(3, math.ceil(math.log(2) / math.log(self.den / self.num)))
+
     def most_different(self, a: int, b: int) -> int:
         """Tokens in one of two linked sets only, at most."""
         return (self.den - self.num) * (a + b) // (self.den + self.num)
@@ -79,7 +93,7 @@ def scheme(rule: Rule, low: int, high: int) -> Scheme:
         spare = 0
         while exact:
             mean = size / (exact + spare + 2 * loose)
-            weak = (exact + spare) * math.exp(-mean) * (1 + mean)
+            weak = (exact + spare) * math.exp(-mean)
             if spare >= min(weak + 3 * math.sqrt(weak), need):
                 break
             spare += 1
@@ -93,10 +107,19 @@ def scheme(rule: Rule, low: int, high: int) -> Scheme:
     return best[1]
 
 
-def signatures(tokens: np.ndarray, rule: Rule) -> np.ndarray:
-    """Signatures of a set under the schemes of its band and the next larger one."""
-    starts = band_starts(rule, 1 << max(4, (len(tokens) * 2).bit_length()))
-    band = int(np.searchsorted(starts, len(tokens), side="right")) - 1
+def band_of(size: int, rule: Rule) -> tuple[int, tuple[int, ...]]:
+    starts = band_starts(rule, 1 << max(4, (size * 2).bit_length()))
+    return int(np.searchsorted(starts, size, side="right")) - 1, starts
+
+
+def signatures(tokens: np.ndarray, rule: Rule, common: np.ndarray) -> np.ndarray:
+    """Signatures of a set under the schemes of its band and the next larger one.
+
+    ``common`` holds the tokens to pass over, in order."""
+    band, starts = band_of(len(tokens), rule)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
+        tokens = tokens[common[at] != tokens]
     out = []
     for number in (band, band + 1):
         own = scheme(rule, starts[max(number - 1, 0)], starts[number + 1] - 1)
@@ -111,7 +134,7 @@ def signatures(tokens: np.ndarray, rule: Rule) -> np.ndarray:
         held = np.bincount(segment, minlength=len(total))
         name = splitmix(np.arange(len(total), dtype=np.uint64) + seed)
         keep = np.ones(len(total), bool)
-        weak = held[: own.equal] <= 1
+        weak = held[: own.equal] == 0
         if weak.sum() <= own.spare:
             keep[: own.equal] = ~weak
         out.append(splitmix(total + name)[keep])
@@ -150,7 +173,40 @@ def set_key(tokens: np.ndarray) -> int:
     return int(key.view(np.int64)[0])
 
 
-def signed_sets(df: DataFrame, rule: Rule) -> DataFrame:
+def common_tokens(docs: DataFrame, rule: Rule) -> np.ndarray:
+    """At most ``MAX_COMMON`` tokens that texts of quite different sizes share, from
+    about ``SAMPLE`` documents chosen by the hash of their text."""
+    n = docs.count()
+    share = F.pmod(F.xxhash64("text_hash"), F.lit(1 << 20)) * n < SAMPLE * (1 << 20)
+
+    def run(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            for piece in by_chunks(batch, "text"):
+                sets = [shingles(t, rule.words, hashes) for t in piece.column(0).to_pylist()]
+                bands = [np.full(len(x), band_of(len(x), rule)[0]) for x in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(sets).view(np.int64)), pa.array(np.concatenate(bands))],
+                    ["token", "band"],
+                )
+
+    rows = (
+        docs.filter(share)
+        .select("text")
+        .mapInArrow(run, "token long, band long")
+        .groupBy("token")
+        .agg(F.max("band") - F.min("band").alias("spread"), F.count("*").alias("n"))
+        .toDF("token", "spread", "n")
+        .filter(F.col("spread") >= rule.far_bands)
+        .orderBy(F.desc("n"), "token")
+        .limit(MAX_COMMON)
+        .select("token")
+        .toArrow()
+    )
+    return np.sort(rows["token"].to_numpy().view(np.uint64))
+
+
+def signed_sets(df: DataFrame, rule: Rule, common: np.ndarray) -> DataFrame:
     """doc_id, text_hash, n, key and signatures per row, written to the shared folder.
 
     A set's signatures are given once per partition, so copies add one row for each
@@ -168,7 +224,7 @@ def signed_sets(df: DataFrame, rule: Rule) -> DataFrame:
                     sizes.append(len(tokens))
                     keys.append(key)
                     new = len(tokens) > 0 and key not in seen
-                    found.append(signatures(tokens, rule) if new else np.zeros(0, np.int64))
+                    found.append(signatures(tokens, rule, common) if new else np.zeros(0, np.int64))
                     seen.add(key)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate(([0], np.cumsum([len(x) for x in found]))), pa.int32()),
@@ -191,7 +247,7 @@ def candidate_edges(signed: DataFrame) -> DataFrame:
     return rows.withColumn("b", before).filter("a <> b").select("a", "b").distinct()
 
 
-def verified_links(rule: Rule):
+def verified_links(rule: Rule, common: np.ndarray):
     """Links between the sets of one task, as few as join what they join."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -212,7 +268,7 @@ def verified_links(rule: Rule):
         left, right = [], []
         for i, tokens in enumerate(sets):
             tried = set()
-            for s in signatures(tokens, rule).tolist():
+            for s in signatures(tokens, rule, common).tolist():
                 for j in index[s]:
                     if j in tried or root(i) == root(j):
                         continue
@@ -232,21 +288,45 @@ def verified_links(rule: Rule):
     return run
 
 
-def sets_of(texts: DataFrame, rule: Rule) -> DataFrame:
-    """(key, tokens) of each text."""
+def marked(hashes: DataFrame) -> np.ndarray:
+    """A bit for each of ``MARKS`` remainders of ``text_hash`` that occurs."""
+    place = F.pmod("text_hash", F.lit(MARKS)) + 1  # bitmap functions count from 1
+    rows = (
+        hashes.groupBy(F.bitmap_bucket_number(place).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+        .collect()  # MARKS bits at most
+    )
+    bits = np.zeros((MARKS // 32_768, 4096), np.uint8)
+    for row in rows:
+        bits[row["bucket"] - 1] = np.frombuffer(row["bits"], np.uint8)
+    return bits.ravel()
+
+
+def sets_of(docs: DataFrame, bits: np.ndarray, rule: Rule) -> DataFrame:
+    """(key, tokens) of the texts whose hash is marked in ``bits``, and of some more.
+
+    Texts stay where they are: only sets are sent on, once per partition."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
-        hashes = WordHashes()
+        hashes, seen = WordHashes(), set()
         for batch in batches:
             for piece in by_chunks(batch, "text"):
-                found = [shingles(t, rule.words, hashes) for t in piece.column(0).to_pylist()]
+                place = piece.column(0).to_numpy() % MARKS
+                wanted = shared.value[place >> 3] >> (place & 7).astype(np.uint8) & 1
+                keys, sets = [], []
+                for i in np.flatnonzero(wanted).tolist():
+                    tokens = shingles(piece.column(1)[i].as_py(), rule.words, hashes)
+                    key = set_key(tokens)
+                    if key not in seen:
+                        seen.add(key)
+                        keys.append(key)
+                        sets.append(tokens.tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_key(x) for x in found], pa.int64()),
-                     pa.array([x.tobytes() for x in found], pa.binary())],
-                    ["key", "tokens"],
-                )
+                    [pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], ["key", "tokens"]
+                )
 
-    return texts.select("text").mapInArrow(run, "key long, tokens binary")
+    return docs.select("text_hash", "text").mapInArrow(run, "key long, tokens binary")
 
 
 def linked_sets(
@@ -261,7 +341,8 @@ def linked_sets(
     docs = df.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
     ).withColumn("text_hash", F.xxhash64("text"))
-    signed = signed_sets(docs, rule)
+    common = common_tokens(docs, rule)
+    signed = signed_sets(docs, rule, common)
     clusters = connected_components(candidate_edges(signed))
     blocks = clusters.groupBy("component").count()
     blocks = clusters.join(blocks, "component").select(
@@ -271,8 +352,7 @@ def linked_sets(
     )
     one_text = signed.filter("n > 0").groupBy("key").agg(F.min("text_hash").alias("text_hash"))
     wanted = stored(blocks.join(one_text, "key"), "wanted")
-    texts = docs.join(wanted.select("text_hash"), "text_hash", "left_semi")
-    sets = sets_of(texts, rule).groupBy("key").agg(F.min("tokens").alias("tokens"))
+    sets = sets_of(docs, marked(wanted), rule).groupBy("key").agg(F.min("tokens").alias("tokens"))
     block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     dealt = (
         wanted.select("key", "cluster", "blocks", block.alias("block"))
@@ -280,7 +360,7 @@ def linked_sets(
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .groupBy("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     )
-    links = stored(dealt.applyInArrow(verified_links(rule), "a long, b long"), "links")
+    links = stored(dealt.applyInArrow(verified_links(rule, common), "a long, b long"), "links")
     return signed.drop("signatures"), connected_components(links)
 
 
@@ -298,34 +378,48 @@ def jaccard_components(
     as 64-bit hashes of their shingles and known by a 64-bit key.
     """
     signed, components = linked_sets(df, rule, id_col, text_col)
-    found = signed.join(components, signed["key"] == components["node"], "left").select(
-        "doc_id", "n", F.coalesce("component", "key").alias("component")
-    )
-    smallest = (
-        found.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    some, none = signed.filter("n > 0"), signed.filter("n = 0")
+    keys = by_component(
+        some, components, F.count("*").alias("copies"), F.min("doc_id").alias("least")
     )
-    some = (
-        found.filter("n > 0")
-        .join(smallest, "component")
-        .select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    smallest = keys.groupBy("component").agg(F.min("least").alias("component_id"))
+    # Rows alone with their set need no look-up; those of a set with many copies are
+    # dealt out over SALTS keys.
+    shared = (
+        keys.join(smallest, "component")
+        .filter("copies > 1 OR linked")
+        .select("key", "component_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        .withColumn("found", F.lit(True))
     )
-    none = found.filter("n = 0").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")
+    salt = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS)).cast("int")
+    rows = some.withColumn("salt", salt).join(shared, ["key", "salt"], "left")
+    return rows.select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("found"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+    ).union(none.select("doc_id", "n", "doc_id"))
+
+
+def by_component(some: DataFrame, components: DataFrame, *measures) -> DataFrame:
+    """A row per key: its component, whether it is linked, and ``measures`` of its rows."""
+    keys = some.groupBy("key").agg(*measures)
+    found = keys.join(components, keys["key"] == components["node"], "left")
+    return found.select(
+        *keys.columns,
+        F.col("node").isNotNull().alias("linked"),
+        F.coalesce("component", "key").alias("component"),
     )
-    return some.union(none)
 
 
 def one_of_each(df: DataFrame, rule: Rule, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` without near copies: of each component the row with the smallest id
     (null ids last), then the smallest text hash. Rows without words all stay."""
     signed, components = linked_sets(df, rule, id_col, text_col)
-    found = signed.filter("n > 0").join(
-        components, signed["key"] == components["node"], "left"
-    )
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    keys = by_component(signed.filter("n > 0"), components, F.min(order).alias("first"))
     kept = (
-        found.groupBy(F.coalesce("component", "key"))
-        .agg(F.min(order).alias("k"))
+        keys.groupBy("component")
+        .agg(F.min("first").alias("k"))
         .select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_hash").alias("kept_hash"))
     )
     wordless = ~F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))

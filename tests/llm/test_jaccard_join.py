@@ -83,8 +83,18 @@ def test_linked_sets_share_a_signature(rule):
                         break
                     b = trial
                 c = np.array(sorted(b), np.uint64)
-                both = np.intersect1d(J.signatures(np.sort(a), rule), J.signatures(c, rule))
-                assert len(both), (size, len(b))
+                for common in (np.zeros(0, np.uint64), np.sort(a)[::3]):
+                    own = [J.signatures(x, rule, common) for x in (np.sort(a), c)]
+                    assert len(np.intersect1d(*own)), (size, len(b))
+
+
+def test_common_tokens_are_shared_by_different_sizes(spark):
+    line = "one line that many texts of any size hold"
+    rows = [(i, " ".join([f"a{i}x{k}" for k in range(5 + 9 * i)] + [line])) for i in range(12)]
+    rows += [(20 + i, " ".join(f"copy{k}" for k in range(30)) + f" end{i}") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_hash", F.xxhash64("text"))
+    got = J.common_tokens(df, Rule(3, 80, 100))
+    assert set(got.tolist()) == set(shingles(line, 3, WordHashes()).tolist())
 
 
 def test_edge_rows(spark):
