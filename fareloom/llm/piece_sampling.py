@@ -22,6 +22,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ from fareloom.llm.common import by_chunks, splitmix
 MODEL = "piece_bpe_32k.model"
 THETA = 0.5  # exponent on the piece probabilities; 0 draws uniformly
 SEED = 20_240_501
-CHUNK_BYTES = 3_000_000
+CHUNK_BYTES = 2_000_000
 MARK = "▁"
 LITERAL = "\udc81"  # stands for a literal mark; no valid text holds a lone surrogate
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -76,6 +77,9 @@ class PieceLattice:
                 if node == len(piece_at):
                     piece_at.append(-1)
             piece_at[node] = i
+        self.piece_bytes = np.frombuffer(b"".join(self.spelling), np.uint8)
+        self.piece_size = np.array([len(x) for x in self.spelling])
+        self.piece_start = np.cumsum(self.piece_size) - self.piece_size
         keys = np.array([a << 21 | c for a, c in edges], np.int64)
         order = np.argsort(keys)
         self.edge_keys = keys[order]
@@ -232,6 +236,22 @@ class PieceLattice:
         """The text, exactly, of ids that ``encode`` gave."""
         return b"".join(map(self.spelling.__getitem__, ids))[1:].decode()
 
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """UTF-8 of all texts in a row, and where each ends; text i is spelled by the
+        ids up to ``ends[i]``."""
+        sizes = self.piece_size[ids]
+        upto = np.concatenate(([0], np.cumsum(sizes)))
+        step = np.ones(int(upto[-1]), np.int64)
+        if len(ids):
+            first = self.piece_start[ids]
+            step[0] = first[0]
+            step[upto[1:-1]] = first[1:] - first[:-1] - sizes[:-1] + 1
+        data = self.piece_bytes[np.cumsum(step)]
+        starts = np.concatenate(([0], ends[:-1]))
+        spaces = upto[starts[starts < ends]]  # every text begins with a space of its own
+        text_ends = upto[ends] - np.cumsum(starts < ends)
+        return np.delete(data, spaces), text_ends
+
 
 @functools.cache
 def lattice(path: str, theta: float) -> PieceLattice:
@@ -276,15 +296,27 @@ def decoded(df: DataFrame, model: str = MODEL, theta: float = THETA) -> DataFram
     def run(batches):
         own = lattice(public_tokenizers.path(model), theta)
         for batch in batches:
-            texts, sums = [], []
-            for ids in batch.column(2):
-                values = None if ids.as_py() is None else ids.values.to_numpy()
-                texts.append(None if values is None else own.decode(values.tolist()))
-                sums.append(None if values is None else zlib.crc32(values.astype("<u4").tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string()), pa.array(sums, pa.int64())],
-                [*batch.schema.names, "decoded", "ids_crc32"],
-            )
+            for piece in by_chunks(batch, "text", CHUNK_BYTES):
+                lists = piece.column(2)
+                ids = lists.flatten().to_numpy().astype("<u4")
+                valid = lists.is_valid()
+                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+                ends = np.cumsum(sizes)
+                data, text_ends = own.decode_all(ids, ends)
+                offsets = np.concatenate(([0], text_ends)).astype(np.int32)
+                texts = pa.StringArray.from_buffers(
+                    len(sizes), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))
+                )
+                sums = [zlib.crc32(ids[e - n : e]) for e, n in zip(ends.tolist(), sizes.tolist())]
+                nothing = pa.scalar(None)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *piece.columns,
+                        pc.if_else(valid, texts, nothing.cast(pa.string())),
+                        pc.if_else(valid, pa.array(sums, pa.int64()), nothing.cast(pa.int64())),
+                    ],
+                    [*piece.schema.names, "decoded", "ids_crc32"],
+                )
 
     kinds = "doc_id long, text string, ids array<int>, log_prob double"
     return df.mapInArrow(run, f"{kinds}, decoded string, ids_crc32 long")
