@@ -24,10 +24,12 @@ from __future__ import annotations
 import math
 import zlib
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -196,7 +198,8 @@ def vocabulary(docs: DataFrame, kinds: int) -> DataFrame:
     own = [
         F.sum(F.when(F.col("kind") == k, F.col("c")).otherwise(0)).alias(f"c{k}") for k in range(kinds)
     ]
-    return stored(counted.groupBy("word").agg(F.sum("c").alias("c"), *own), "vocabulary")
+    whole = reduce(add, (F.col(f"c{k}") for k in range(kinds)))
+    return stored(counted.groupBy("word").agg(*own).withColumn("c", whole), "vocabulary")
 
 
 @dataclass
@@ -322,6 +325,7 @@ def with_spelling(words: DataFrame, mixer: Mixer) -> DataFrame:
                 [*batch.columns, pa.array(spelling)], [*batch.schema.names, "spelling"]
             )
 
+    words = words.select("word", *(c for c in words.columns if c != "word"))
     names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema)
     return stored(words.mapInArrow(run, f"{names}, spelling double"), "spelled")
 
@@ -443,10 +447,11 @@ def scores(
         F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), *own
     ).first()
     told = Kinds.of_words(words, n, sizes)
-    training = dealt(words.filter("c > 0"), v)
+    training = dealt(words.filter("c > 0"), v).persist(StorageLevel.DISK_ONLY)
     mixer = Mixer.of_counts(*slot_counts(training))
     for rate in RATES:
         mixer.weights = refined(training, mixer, rate)
+    training.unpersist()
     known = with_spelling(words, mixer)
     rate = share_rate(known, n, sizes)
     other = F.col("spelling") + math.log(1 - rate)
