@@ -25,7 +25,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 # Text handled at once inside a task. Only the longest single text goes beyond it.
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 4_000_000
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:

@@ -33,7 +33,7 @@ END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 OPEN_WINDOWS = 512
 SEQUENCES_PER_PARTITION = 1 << 40
-MAX_WORDS = 300_000  # entries of a table of encoded words before it is put aside
+MAX_WORDS = 120_000  # entries of a table of encoded words before it is put aside
 ROWS_PER_BATCH = 20_000
 
 COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -235,12 +235,17 @@ def good_documents(
     """The rows of ``df`` that ``quality`` keeps, with all their columns."""
     if model.weights is None:
         return df
-    whole = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
     own = df.select(
-        whole, F.col(text_col).alias("text"), site(host_col).alias("host"), site(path_col).alias("path")
+        F.col(text_col).alias("text"), site(host_col).alias("host"), site(path_col).alias("path")
+    )
+    scored = scored_documents(own, model, "text", "p").select("host", "path", "p")
+    rates = stored(site_rates(scored), "rates")
+    name = "p"
+    while name in df.columns:
+        name += "_"
+    whole = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
+    rows = scored_documents(df, model, text_col, name).select(
+        whole, site(host_col).alias("host"), site(path_col).alias("path"), F.col(name).alias("p")
     )
-    narrow = scored_documents(own.drop("row"), model, "text", "p")
-    rates = stored(site_rates(narrow.drop("text")), "rates")
-    scored = scored_documents(own, model, "text", "p").drop("text")
     _, p = posterior(F.col("p"), model)
-    return scored.join(rates, ["host", "path"]).filter(p >= cut).select("row.*")
+    return rows.join(rates, ["host", "path"]).filter(p >= cut).select("row.*")

@@ -33,8 +33,8 @@ from fareloom.llm.common import id_and_text, map_texts
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
 CHUNK = 64  # characters of a chunk
-MAX_STATES = 400_000  # states kept by a task; beyond it they are made anew
-MAX_WORDS = 400_000  # word counts kept by a task
+MAX_STATES = 250_000  # states kept by a task; beyond it they are made anew
+MAX_WORDS = 200_000  # word counts kept by a task
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 

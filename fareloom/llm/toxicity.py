@@ -29,7 +29,7 @@ MIN_LIFT = 10  # times as frequent in toxic documents as in others, with 1 added
 EDGES = ".,;:!?\"'()[]{}<>|#*$%&-_"
 WORDS_NEEDED = 3  # marked words that the choice of marks seeks in a toxic document
 PRIOR_WEIGHT = 1.5  # of a mark before the fit
-MAX_WORDS = 300_000  # word weights kept by a task
+MAX_WORDS = 100_000  # word weights kept by a task
 
 SCHEMA = "doc_id long, n_marked long, p_toxic double, severity double, grade int, rejected boolean"
 
