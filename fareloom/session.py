@@ -63,6 +63,21 @@ def modified(spark: SparkSession, path: str) -> int:
     return system.getFileStatus(there).getModificationTime()
 
 
+def file_times(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Visible files of ``folder`` and when they changed; none if it is not there."""
+    system, there = _file_system(spark, folder)
+    found = system.listStatus(there) if system.exists(there) else []
+    times = {f.getPath().getName(): f.getModificationTime() for f in found if f.isFile()}
+    return {name: t for name, t in times.items() if not name.startswith(("_", "."))}
+
+
+def set_file_times(spark: SparkSession, folder: str, times: dict[str, int]) -> None:
+    """Let files of ``folder`` look changed at these milliseconds."""
+    system, there = _file_system(spark, folder)
+    for name, time in times.items():
+        system.setTimes(spark._jvm.org.apache.hadoop.fs.Path(there, name), time, -1)
+
+
 def app_id(spark: SparkSession) -> str:
     return spark.conf.get("spark.app.id")
 

@@ -199,6 +199,42 @@ def test_written_topic_reads_back_whole(spark, topic, tmp_path):
     )
 
 
+@pytest.mark.parametrize("query", [news.device_usage, news.closed_sessions])
+def test_no_event_of_a_written_topic_is_late(spark, tmp_path, query):
+    """Several partitions out of order in time, over hours: more than two files a slice."""
+    n = 30_000
+    second = (F.col("id") * 7919) % n
+    fields = {name: F.lit("x") for name in FIELDS} | {
+        "timestamp": F.timestamp_seconds(F.lit(1_704_067_200) + second),
+        "device_type": F.concat(F.lit("d"), F.col("id") % 3),
+        "location": F.concat(F.lit("l"), F.col("id") % 5),
+        "session_id": F.concat(F.lit("s"), F.col("id") % 77),
+    }
+    events = spark.range(0, n, 1, 6).select(*(c.alias(name) for name, c in fields.items()))
+    path = str(tmp_path / "topic")
+    files = write_topic(events, path, max_records_per_file=1_500)
+    assert files >= 20
+    names = sorted(os.listdir(path), key=lambda f: os.stat(f"{path}/{f}").st_mtime_ns)
+    spans = []
+    for name in names:
+        if name.startswith("part-"):
+            with open(f"{path}/{name}") as f:
+                times = [json.loads(line)["timestamp"] for line in f]
+            spans.append((min(times), max(times)))
+    assert len(spans) == files
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+    stream = read_events(spark, "text", path=path, maxFilesPerTrigger="2")
+    got = run_append(query(stream.withWatermark("timestamp", "10 minutes")), str(tmp_path / "run"))
+    wanted = {news.closed_sessions: news.active_sessions_exact}.get(query, query)(events)
+    last = got.agg(F.max("window_end")).first()[0]
+    assert last > datetime(2024, 1, 1, 8)
+    wanted = wanted.filter(F.col("window_end") <= F.lit(last))
+    assert sorted(map(tuple, got.select(*wanted.columns).collect())) == sorted(
+        map(tuple, wanted.collect())
+    )
+
+
 def test_console_stream_keeps_its_state_on_disk(spark, topic, tmp_path):
     before = {key: spark.conf.get(key, None) for key in DISK_STATE}
     ranked = news.ranked(news.device_usage(stream_of(spark, topic)))
