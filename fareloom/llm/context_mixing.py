@@ -3,26 +3,30 @@
 A text is a sequence of tokens: its words in lower case, then one end. A token is
 spelled as bytes that end in a space (the end is one line feed), a byte as eight
 bits. For every bit several predictors look up how often it was 1 under a hashed
-context: the last 0 to 4 bytes of the word, in tables of fixed size that count the
-different words of all training documents. Their log-odds are mixed with weights
-that the gate of the bit selects; the weights follow the prediction error, word by
-word. That gives the probability of any spelling. A token's probability mixes it
-with the token's share of the training tokens, by a rate that fits the training
-tokens when each is left out of its own count.
-
-Shares follow the kind of a text, such as its language. Training documents have
-theirs in a column; a text that is scored is given the kind under which its frequent
-words are likeliest, and its score pays for saying which, so that the scores of all
-texts still add up to no more than 1.
-
-Tables and weights are of fixed size. What grows with the corpus, the vocabulary
-and its counts, is never gathered: it meets the documents in a join by word.
+context: the last 0 to 4 bytes of the word; all of the word's bytes so far; these
+with the kind of the text; with the word before; and with the two words before. The
+tables count every token of the training texts where it stands. Log-odds of the
+predictors are mixed with weights that the gate of the bit selects; the weights
+follow the prediction error through the training texts in their order, each token
+left out of the counts while they learn from it.
+
+Tokens of a chunk of texts that agree in word, words before and kind are predicted
+once and counted as often as they occur, which changes no sum.
+
+The kind of a text is such as its language. Training documents have theirs in a
+column; in a text that is scored, every token is given the kind under which the
+frequent words before it are likeliest, so that nothing has to be said about kinds and
+the scores of all texts add up to no more than 1. The first token has no kind.
+
+The word tables grow with the training tokens up to a limit. The vocabulary and its
+counts are never gathered: they meet the documents in a join by word.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 from functools import reduce
 from operator import add
@@ -37,20 +41,24 @@ from fareloom.llm.common import WORD, by_chunks, ship, splitmix, stored
 
 FOLDS, HELD_OUT = 5, 1
 END = "\n"
-TABLE_BITS = (16, 16, 18, 20, 20)  # slots of the tables for the last 0, 1, ... bytes
-OFFSETS = np.concatenate(([0], np.cumsum([1 << b for b in TABLE_BITS])))
-SLOTS = int(OFFSETS[-1])
+BYTE_ORDERS = 4
+# Slots of the tables for the last 0, 1, ... bytes, then for the word so far, that with
+# the kind, with the word before, with the two before: these grow to MAX_WORD_BITS.
+TABLE_BITS = (16, 16, 18, 20, 20, 20, 20, 20, 20)
+MAX_WORD_BITS = 22
+SLOTS = sum(1 << b for b in TABLE_BITS)
 SEGMENT = 4096  # slots that travel together
-WORDS_PER_PART = 500_000  # different words of a partition that counts or learns
-BATCH_BYTES = 40_000  # spelled bytes between two steps of the weights
+PART_BYTES = 32_000_000  # text of a partition that counts or learns
+BATCH_BYTES = 40_000  # spelled bytes looked up at once
+LEARN_BYTES = 4_000  # spelled bytes between two steps of the weights
 CONFIDENCE = 4  # classes of what a predictor has seen
-GATES = 8 * CONFIDENCE * CONFIDENCE
+GATES = 8 * CONFIDENCE**3
 INPUTS = len(TABLE_BITS) + 1
-RATES = (0.02, 0.005)  # of the weights, first and second time over the words
-BINS_PER_UNIT = 10
+RATES = (0.02, 0.005)  # of the weights, first and second time over the texts
 MAX_KINDS = 7  # most frequent kinds; the rest is one more
+UNTOLD = MAX_KINDS + 1  # in place of a kind, at the first token
 FREQUENT = 2000  # words that tell the kind of a text
-OWN_KIND = 0.9  # part of a share that comes from the text's kind
+BASE = np.uint64(0x100000001B3)
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWERED = str.maketrans(UPPER, UPPER.lower())
 
@@ -61,89 +69,188 @@ def spelled(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(parts), np.uint8), np.fromiter(map(len, parts), np.int64, len(parts))
 
 
-def contexts(data: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-    """A hash of the last 0, 1, ... bytes before each byte, within its word."""
-    at = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+def places(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place of each byte in its word, a hash of the word up to it, and of whole words."""
+    starts = np.cumsum(sizes) - sizes
+    at = np.arange(len(data)) - np.repeat(starts, sizes)
+    power = np.cumprod(np.full(at.max(initial=0) + 1, BASE, np.uint64))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[at], out=sums[1:])
+    return at, sums[:-1] - np.repeat(sums[starts], sizes), sums[starts + sizes] - sums[starts]
+
+
+def contexts(
+    data: np.ndarray, sizes: np.ndarray, before: np.ndarray | None = None
+) -> list[np.ndarray]:
+    """Hashes of what comes before each byte, one per table. ``before`` has three rows
+    with a value per word: kind of the text, word before, and the one before that."""
+    at, so_far, _ = places(data, sizes)
     out, value = [np.zeros(len(data), np.uint64)], np.zeros(len(data), np.uint64)
-    for back in range(1, len(TABLE_BITS)):
-        before = np.zeros(len(data), np.uint64)
-        before[back:] = data[:-back].astype(np.uint64) + np.uint64(1)
-        before[at < back] = 0  # the word begins here
-        value = splitmix(value + before * np.uint64(0x100000001B3))
+    for back in range(1, BYTE_ORDERS + 1):
+        last = np.zeros(len(data), np.uint64)
+        last[back:] = data[:-back].astype(np.uint64) + np.uint64(1)
+        last[at < back] = 0  # the word begins here
+        value = splitmix(value + last * BASE)
         out.append(value)
+    if before is None:
+        before = np.zeros((3, len(sizes)), np.uint64)
+    kind, one, two = before
+    one = splitmix(one)
+    for words in (np.zeros_like(one), splitmix(kind), one, splitmix(one + two)):
+        out.append(splitmix(so_far + np.repeat(words, sizes)))
     return out
 
 
-def bit_slots(hashes: list[np.ndarray], node: np.ndarray) -> np.ndarray:
+def bit_slots(
+    hashes: list[np.ndarray], node: np.ndarray, table_bits: tuple[int, ...] = TABLE_BITS
+) -> np.ndarray:
     """Slot of each predictor for the next bit, given the bits so far (``node``)."""
-    rows = []
-    for order, (value, bits) in enumerate(zip(hashes, TABLE_BITS, strict=True)):
+    rows, offset = [], 0
+    for value, bits in zip(hashes, table_bits, strict=True):
         mixed = splitmix(value + node * np.uint64(0x9E3779B97F4A7C15))
-        rows.append((mixed >> np.uint64(64 - bits)).astype(np.int64) + OFFSETS[order])
+        rows.append((mixed >> np.uint64(64 - bits)).astype(np.int64) + offset)
+        offset += 1 << bits
     return np.array(rows)
 
 
+def bits_for(n: int, v: int) -> tuple[int, ...]:
+    """Bits of the tables for ``n`` training tokens, ``v`` of them different."""
+    words, pairs = (
+        min(MAX_WORD_BITS, max(TABLE_BITS[-1], math.ceil(math.log2(16 * max(x, 1))))) for x in (v, n)
+    )
+    return (*TABLE_BITS[: BYTE_ORDERS + 1], words, words, pairs, pairs)
+
+
 @dataclass
 class Mixer:
-    """Log-odds and confidence of every slot, and the weights of every gate."""
+    """Zeros (real) and ones (imaginary) that every slot saw, and each gate's weights."""
 
-    log_odds: np.ndarray
-    seen: np.ndarray
+    counts: np.ndarray
     weights: np.ndarray
+    table_bits: tuple[int, ...] = TABLE_BITS
 
     @classmethod
-    def of_counts(cls, zeros: np.ndarray, ones: np.ndarray) -> Mixer:
-        total = zeros + ones
-        odds = np.log((ones + 0.4) / (zeros + 0.4)).astype(np.float32)
-        seen = np.searchsorted([0.5, 3.5, 30.5], total).astype(np.uint8)
-        weights = np.full((GATES, INPUTS), 0.35)
+    def of_counts(
+        cls, zeros: np.ndarray, ones: np.ndarray, table_bits: tuple[int, ...] = TABLE_BITS
+    ) -> Mixer:
+        counts = np.empty(len(zeros), np.complex64)
+        counts.real, counts.imag = zeros, ones
+        weights = np.full((GATES, INPUTS), 0.2)
         weights[:, -1] = 0.0
-        return cls(odds, seen, weights)
+        return cls(counts, weights, table_bits)
 
-    def bits(self, words: list[str]):
-        """(inputs, gates, bits) for the eight bits of every spelled byte in turn."""
+    def bits(self, words: list[str], before: np.ndarray | None = None, less: int = 0):
+        """(inputs, gates, bits) for the eight bits of every spelled byte in turn; with
+        ``less`` 1 as if the word had not been counted this time."""
         data, sizes = spelled(words)
-        hashes = contexts(data, sizes)
+        hashes = contexts(data, sizes, before)
         node = np.ones(len(data), np.uint64)
         for k in range(8):
-            slots = bit_slots(hashes, node)
-            inputs = np.ones((INPUTS, len(data)))
-            inputs[:-1] = self.log_odds[slots]
-            gate = (k * CONFIDENCE + self.seen[slots[-1]]) * CONFIDENCE + self.seen[slots[-2]]
             bit = (data >> np.uint8(7 - k)) & np.uint8(1)
-            yield inputs, gate.astype(np.int64), bit
+            held = self.counts[bit_slots(hashes, node, self.table_bits)]
+            zeros, ones = held.real, held.imag
+            if less:
+                zeros = np.maximum(zeros - (bit == 0), 0)
+                ones = np.maximum(ones - bit, 0)
+            inputs = np.ones((INPUTS, len(data)))
+            inputs[:-1] = np.log((ones + np.float32(0.4)) / (zeros + np.float32(0.4)))
+            gate = np.full(len(data), k)
+            for seen in (zeros[-3:] + ones[-3:])[::-1]:
+                level = (seen > 0.5).astype(np.int64) + (seen > 3.5) + (seen > 30.5)
+                gate = gate * CONFIDENCE + level
+            yield inputs, gate, bit
             node = node * np.uint64(2) + bit
 
     def mixed(self, inputs: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        link = (self.weights[gate].T * inputs).sum(axis=0)
+        link = np.einsum("ni,in->n", self.weights[gate], inputs)
         return np.clip(link, -18, 18)
 
-    def learn(self, words: list[str], rate: float) -> None:
+    def learn(
+        self,
+        words: list[str],
+        rate: float,
+        before: np.ndarray | None = None,
+        times: np.ndarray | None = None,
+    ) -> None:
         """One step of every gate's weights for the words of a batch."""
-        for inputs, gate, bit in self.bits(words):
-            error = bit - 1 / (1 + np.exp(-self.mixed(inputs, gate)))
-            hits = np.maximum(np.bincount(gate, minlength=GATES), 1)
+        if times is None:
+            times = np.ones(len(words))
+        weight = np.repeat(times, spelled(words)[1])
+        for inputs, gate, bit in self.bits(words, before, 1):
+            error = weight * (bit - 1 / (1 + np.exp(-self.mixed(inputs, gate))))
+            hits = np.maximum(np.bincount(gate, weight, GATES), 1)
             for i in range(INPUTS):
                 step = np.bincount(gate, error * inputs[i], GATES)
                 self.weights[:, i] += rate * step / np.sqrt(hits)
 
-    def log_prob(self, words: list[str]) -> np.ndarray:
+    def log_prob(self, words: list[str], before: np.ndarray | None = None) -> np.ndarray:
         """Natural logarithm of the probability of each word's spelling."""
         data, sizes = spelled(words)
         total = np.zeros(len(data))
-        for inputs, gate, bit in self.bits(words):
+        for inputs, gate, bit in self.bits(words, before):
             link = self.mixed(inputs, gate)
-            total -= np.logaddexp(0.0, np.where(bit == 1, -link, link))
+            total -= np.log1p(np.exp(np.where(bit == 1, -link, link)))
         return np.add.reduceat(total, np.cumsum(sizes) - sizes) if len(words) else np.zeros(0)
 
 
-def batches_of(words: list[str]):
-    """Runs of words of about ``BATCH_BYTES`` spelled bytes."""
+@dataclass
+class Passage:
+    """Different tokens of some texts with what stands before each, how often they
+    occur, and which of them every token of the texts is."""
+
+    words: list[str]
+    before: np.ndarray
+    times: np.ndarray
+    which: np.ndarray
+
+    @classmethod
+    def of_texts(cls, texts: list[list[str]], kinds: np.ndarray) -> Passage:
+        """``texts`` as tokens, each with its end; a kind for every token."""
+        flat = [w for t in texts for w in t]
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        whole = splitmix(places(*spelled(flat))[2])
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        before = np.zeros((3, len(flat)), np.uint64)
+        before[0] = np.where(place > 0, kinds, UNTOLD)
+        for row, back in ((1, 1), (2, 2)):
+            before[row, back:] = whole[:-back]
+            before[row, place < back] = 0
+        key = before[0]
+        for part in (before[1], before[2], whole):
+            key = splitmix(key + part)
+        _, first, which, times = np.unique(
+            key, return_index=True, return_inverse=True, return_counts=True
+        )
+        rank = np.argsort(np.argsort(first))  # keep the order of the texts
+        first = np.sort(first)
+        by_first = np.empty(len(times), np.int64)
+        by_first[rank] = times
+        return cls([flat[i] for i in first], before[:, first], by_first, rank[which])
+
+    def batches(self, limit: int = BATCH_BYTES):
+        """(words, before, times) by about ``limit`` spelled bytes."""
+        start = 0
+        for part in batches_of(self.words, limit):
+            stop = start + len(part)
+            yield part, self.before[:, start:stop], self.times[start:stop]
+            start = stop
+
+
+def training_passages(batches):
+    """Passages of (doc_id, text, kind) batches."""
+    for batch in batches:
+        for piece in by_chunks(batch, "text"):
+            texts = [[*tokens(t), END] for t in piece.column(1).to_pylist()]
+            yield Passage.of_texts(texts, np.repeat(piece.column(2).to_numpy(), list(map(len, texts))))
+
+
+def batches_of(words: list[str], limit: int = BATCH_BYTES):
+    """Runs of words of about ``limit`` spelled bytes."""
     run, size = [], 0
     for word in words:
         run.append(word)
         size += len(word) + 1
-        if size >= BATCH_BYTES:
+        if size >= limit:
             yield run
             run, size = [], 0
     if run:
@@ -220,46 +327,54 @@ class Kinds:
         prior = (np.array(sizes) + 1.0) / (n + len(sizes))
         return cls({r["word"]: i for i, r in enumerate(top)}, log_p, np.log(prior))
 
-    def of_text(self, counts: dict[str, int]) -> int:
-        hits = [(self.words[w], tf) for w, tf in counts.items() if w in self.words]
-        if not hits:
-            return int(np.argmax(self.prior))
-        rows, times = zip(*hits, strict=True)
-        return int(np.argmax(self.prior + np.array(times) @ self.log_p[list(rows)]))
+    def of_tokens(self, found: list[str]) -> np.ndarray:
+        """Likeliest kind at each token, by the frequent words before it."""
+        rows = np.fromiter((self.words.get(w, -1) for w in found), np.int64, len(found))
+        told = np.zeros((len(found), len(self.prior)))
+        told[rows >= 0] = self.log_p[rows[rows >= 0]]
+        told = np.cumsum(told, axis=0) - told
+        return np.argmax(self.prior + told, axis=1)
 
 
-def dealt(words: DataFrame, n: int) -> DataFrame:
-    """The words in parts and an order that follow from the words alone."""
-    parts = max(1, math.ceil(n / WORDS_PER_PART))
-    key = F.xxhash64("word")
-    return words.select("word").repartition(parts, "word").sortWithinPartitions(key, "word")
+def dealt(docs: DataFrame, n_bytes: int) -> DataFrame:
+    """Training documents in parts and an order that follow from the documents alone."""
+    parts = max(1, math.ceil(n_bytes / PART_BYTES))
+    key = F.xxhash64("doc_id", "text", "kind")
+    training = docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", "kind")
+    return training.repartition(parts, key).sortWithinPartitions(key, "doc_id", "kind")
 
 
-def slot_counts(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """How often each slot saw a 0 and a 1 over the different ``words``."""
+def slot_counts(docs: DataFrame, table_bits: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """How often each slot saw a 0 and a 1 over all tokens of ``docs``."""
+    slots_in_all = sum(1 << b for b in table_bits)
 
     def run(batches):
-        zeros, ones = np.zeros(SLOTS), np.zeros(SLOTS)
-        for batch in batches:
-            for part in batches_of(batch.column(0).to_pylist()):
+        both = np.zeros((2, slots_in_all), np.uint32)
+        for passage in training_passages(batches):
+            for part, before, times in passage.batches():
                 data, sizes = spelled(part)
-                hashes = contexts(data, sizes)
+                weight = np.repeat(times, sizes).astype(np.uint32)
+                hashes = contexts(data, sizes, before)
                 node = np.ones(len(data), np.uint64)
                 for k in range(8):
                     bit = (data >> np.uint8(7 - k)) & np.uint8(1)
-                    slots = bit_slots(hashes, node)
-                    for table, chosen in ((zeros, bit == 0), (ones, bit == 1)):
-                        np.add.at(table, slots[:, chosen].ravel(), 1.0)
+                    slots = bit_slots(hashes, node, table_bits)
+                    for value in (0, 1):
+                        chosen = bit == value
+                        at = slots[:, chosen]
+                        np.add.at(both[value], at.ravel(), np.tile(weight[chosen], len(at)))
                     node = node * np.uint64(2) + bit
-        both = np.stack([zeros, ones]).reshape(2, -1, SEGMENT)
+        both = both.reshape(2, -1, SEGMENT)
         used = np.flatnonzero(both.any(axis=(0, 2)))
         spread = TaskContext.get().partitionId() % 32
-        rows = [both[:, i].astype("<f8").tobytes() for i in used.tolist()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int64()), pa.array(np.full(len(used), spread), pa.int64()),
-             pa.array(rows, pa.binary())],
-            ["segment", "spread", "counts"],
-        )
+        for i in range(0, len(used), 256):
+            some = used[i : i + 256]
+            rows = [both[:, j].astype("<f8").tobytes() for j in some.tolist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.int64()), pa.array(np.full(len(some), spread), pa.int64()),
+                 pa.array(rows, pa.binary())],
+                ["segment", "spread", "counts"],
+            )
 
     def total(table: pa.Table) -> pa.Table:
         held = sum(np.frombuffer(x.as_py(), "<f8") for x in table["counts"])
@@ -272,27 +387,27 @@ def slot_counts(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         )
 
     schema = "segment long, spread long, counts binary"
-    found = words.mapInArrow(run, schema)
+    found = docs.mapInArrow(run, schema)
     found = found.groupBy("segment", "spread").applyInArrow(total, schema)
     found = found.groupBy("segment").applyInArrow(total, schema)
-    out = np.zeros((2, SLOTS // SEGMENT, SEGMENT))
-    for row in found.toLocalIterator():  # at most SLOTS / SEGMENT rows
+    out = np.zeros((2, slots_in_all // SEGMENT, SEGMENT), np.float32)
+    for row in found.toLocalIterator():  # at most one row per segment
         out[:, row["segment"]] = np.frombuffer(row["counts"], "<f8").reshape(2, SEGMENT)
     return out[0].ravel(), out[1].ravel()
 
 
-def refined(words: DataFrame, mixer: Mixer, rate: float) -> np.ndarray:
-    """Weights after every part of the words moved its own copy, averaged."""
-    shared = words.sparkSession.sparkContext.broadcast(mixer)
+def refined(docs: DataFrame, mixer: Mixer, rate: float) -> np.ndarray:
+    """Weights after every part of the texts moved its own copy, averaged."""
+    shared = docs.sparkSession.sparkContext.broadcast(mixer)
 
     def run(batches):
         start = shared.value
-        own = Mixer(start.log_odds, start.seen, start.weights.copy())
+        own = Mixer(start.counts, start.weights.copy(), start.table_bits)
         n = 0
-        for batch in batches:
-            for part in batches_of(batch.column(0).to_pylist()):
-                own.learn(part, rate)
-                n += len(part)
+        for passage in training_passages(batches):
+            for part, before, times in passage.batches(LEARN_BYTES):
+                own.learn(part, rate, before, times)
+            n += len(passage.which)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(own.weights.size)), pa.array(own.weights.ravel() * n),
              pa.array(np.full(own.weights.size, float(n)))],
@@ -300,7 +415,7 @@ def refined(words: DataFrame, mixer: Mixer, rate: float) -> np.ndarray:
         )
 
     rows = (
-        words.mapInArrow(run, "i long, w double, n double")
+        docs.mapInArrow(run, "i long, w double, n double")
         .groupBy("i")
         .agg(F.sum("w").alias("w"), F.sum("n").alias("n"))
         .orderBy("i")
@@ -312,87 +427,34 @@ def refined(words: DataFrame, mixer: Mixer, rate: float) -> np.ndarray:
     return np.array([r["w"] / r["n"] for r in rows]).reshape(mixer.weights.shape)
 
 
-def with_spelling(words: DataFrame, mixer: Mixer) -> DataFrame:
-    """``words`` with spelling, the logarithm of each word's spelling probability."""
-    shared = words.sparkSession.sparkContext.broadcast(mixer)
-
-    def run(batches):
-        for batch in batches:
-            names = batch.column(0).to_pylist()
-            found = [shared.value.log_prob(part) for part in batches_of(names)]
-            spelling = np.concatenate(found) if found else np.zeros(0)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(spelling)], [*batch.schema.names, "spelling"]
-            )
-
-    words = words.select("word", *(c for c in words.columns if c != "word"))
-    names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema)
-    return stored(words.mapInArrow(run, f"{names}, spelling double"), "spelled")
-
-
-def share_of(kind: int, n: int, sizes: list[int], less: int = 0) -> Column:
-    """A word's share of the training tokens for texts of a kind; with ``less`` 1 as
-    if it had occurred once less in a text of that kind."""
-    whole = (F.col("c") - less) / F.lit(max(n - less, 1))
-    own = F.greatest(F.col(f"c{kind}") - less, F.lit(0)) / F.lit(max(sizes[kind] - less, 1))
-    return own * OWN_KIND + whole * (1 - OWN_KIND) if sizes[kind] else whole
-
-
-def share_rate(words: DataFrame, n: int, sizes: list[int]) -> float:
-    """Weight of a token's own share beside its spelling, by expectation and
-    maximisation over the training tokens, each left out of its count."""
-    if n < 2:
-        return 0.5
-
-    def binned(kind):
-        ratio = F.log(share_of(kind, n, sizes, 1)) - F.col("spelling")
-        bounded = F.least(F.lit(200.0), F.greatest(F.lit(-200.0), ratio))
-        number = F.when(F.col("c") > 1, F.round(bounded * BINS_PER_UNIT)).cast("int")
-        return F.struct(number.alias("bin"), F.col(f"c{kind}").alias("c"))
-
-    each = F.explode(F.array(*(binned(k) for k in range(len(sizes)))))
-    bins = (
-        words.filter("c > 0")
-        .select(each.alias("b"))
-        .select("b.*")
-        .filter("c > 0")
-        .groupBy("bin")
-        .agg(F.sum("c").alias("c"))
-        .collect()  # one row per bin
-    )
-    odds = np.array([0.0 if r["bin"] is None else math.exp(r["bin"] / BINS_PER_UNIT) for r in bins])
-    weight = np.array([r["c"] for r in bins], float)
-    rate = 0.5
-    for _ in range(200):
-        rate = float((weight * rate * odds / (rate * odds + 1 - rate)).sum() / weight.sum())
-        rate = min(1 - 1e-6, max(1e-6, rate))
-    return rate
-
-
-def token_rows(docs: DataFrame, told: Kinds) -> DataFrame:
-    """(row, word, tf, kind) per different token of a document, one of them its end,
-    which also carries doc_id, the number of tokens and of bytes."""
-    shared = docs.sparkSession.sparkContext.broadcast(told)
+def token_rows(docs: DataFrame, told: Kinds, mixer: Mixer) -> DataFrame:
+    """(row, word, tf) per different token of a document, one of them its end, which
+    also carries doc_id, the number of tokens and of bytes, and the score."""
+    shared = docs.sparkSession.sparkContext.broadcast((told, mixer))
 
     def run(batches):
+        kinds_of, model = shared.value
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
             for piece in by_chunks(batch, "text"):
-                words, times, rows, kinds, ids, sizes, lengths = [], [], [], [], [], [], []
-                for doc_id, text in zip(
-                    piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True
-                ):
-                    counts: dict[str, int] = {END: 1}
-                    found = tokens(text)
-                    for word in found:
-                        counts[word] = counts.get(word, 0) + 1
+                names, texts = piece.column(0).to_pylist(), piece.column(1).to_pylist()
+                parted = [[*tokens(t), END] for t in texts]
+                counted = [Counter([END, *t[:-1]]) for t in parted]  # its end comes first
+                kinds = np.concatenate([kinds_of.of_tokens(t) for t in parted])
+                passage = Passage.of_texts(parted, kinds)
+                each = np.concatenate([model.log_prob(w, b) for w, b, _ in passage.batches()])
+                starts = np.cumsum([0, *(len(t) for t in parted[:-1])])
+                score = np.add.reduceat(each[passage.which], starts)
+                words, times, rows, ids, sizes, lengths, scores_ = [], [], [], [], [], [], []
+                for i, counts in enumerate(counted):
                     words += counts
                     times += counts.values()
                     number += 1
                     rows.append(np.full(len(counts), number))
-                    kinds.append(np.full(len(counts), shared.value.of_text(counts), np.int32))
                     for column, value in (
-                        (ids, doc_id), (sizes, len(found) + 1), (lengths, len((text or "").encode()))
+                        (ids, names[i]), (sizes, len(parted[i])),
+                        (lengths, len((texts[i] or "").encode())),
+                        (scores_, float(score[i]) / math.log(10)),
                     ):
                         column.append(value)
                         column += [None] * (len(counts) - 1)
@@ -404,12 +466,12 @@ def token_rows(docs: DataFrame, told: Kinds) -> DataFrame:
                         pa.array(ids, pa.int64()),
                         pa.array(sizes, pa.int64()),
                         pa.array(lengths, pa.int64()),
-                        pa.array(np.concatenate(kinds)),
+                        pa.array(scores_, pa.float64()),
                     ],
-                    ["row", "word", "tf", "doc_id", "n_tokens", "n_bytes", "kind"],
+                    ["row", "word", "tf", "doc_id", "n_tokens", "n_bytes", "score"],
                 )
 
-    schema = "row long, word string, tf long, doc_id long, n_tokens long, n_bytes long, kind int"
+    schema = "row long, word string, tf long, doc_id long, n_tokens long, n_bytes long, score double"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -447,30 +509,19 @@ def scores(
         F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), *own
     ).first()
     told = Kinds.of_words(words, n, sizes)
-    training = dealt(words.filter("c > 0"), v).persist(StorageLevel.DISK_ONLY)
-    mixer = Mixer.of_counts(*slot_counts(training))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    training = dealt(docs, size).persist(StorageLevel.DISK_ONLY)
+    table_bits = bits_for(n, v)
+    mixer = Mixer.of_counts(*slot_counts(training, table_bits), table_bits)
     for rate in RATES:
         mixer.weights = refined(training, mixer, rate)
     training.unpersist()
-    known = with_spelling(words, mixer)
-    rate = share_rate(known, n, sizes)
-    other = F.col("spelling") + math.log(1 - rate)
-
-    def mixed(kind):
-        share = F.log(share_of(kind, n, sizes)) + math.log(rate)
-        most = F.greatest(share, other)
-        both = most + F.log(F.exp(share - most) + F.exp(other - most))
-        # An end comes once a text and pays for the text's kind.
-        kind_cost = F.when(F.col("word") == END, float(told.prior[kind])).otherwise(0.0)
-        return (F.when(F.col("c") > 0, both).otherwise(other) + kind_cost) / math.log(10)
-
-    scored = known.select(
+    known = words.select(
         "word",
         (F.col("c") > 0).cast("int").alias("known"),
         F.log10((F.col("c") + 0.5) / F.lit(n + 0.5 * (v + 1))).alias("base"),
-        F.array(*(mixed(k) for k in range(kinds))).alias("by_kind"),
     )
-    joined = token_rows(docs, told).join(scored.hint("shuffle_hash"), "word")
+    joined = token_rows(docs, told, mixer).join(known.hint("shuffle_hash"), "word")
     tf = F.col("tf")
     total = joined.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"),
@@ -478,7 +529,7 @@ def scores(
         F.max("n_bytes").alias("n_bytes"),
         F.sum(tf * F.col("known")).alias("n_known"),
         F.sum(tf * F.col("base")).alias("base_score"),
-        F.sum(tf * F.get("by_kind", F.col("kind"))).alias("score"),
+        F.max("score").alias("score"),
     )
     return total.select(
         "doc_id",

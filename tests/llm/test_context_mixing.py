@@ -126,3 +126,21 @@ def test_kinds_of_texts_raise_the_score(spark):
         total[name] = found.first()
     assert total["lang"][0] > total[None][0]
     assert total["lang"][0] > total["lang"][1]
+
+
+def test_the_order_of_words_counts(spark):
+    """Texts of the same words in their usual order score higher than out of order."""
+    random.seed(3)
+    names = [f"w{i}" for i in range(40)]
+    text = lambda: " ".join(n for i in random.choices(range(0, 38, 2), k=25) for n in names[i : i + 2])
+    held = [i for i in range(1000) if M.fold(i) == M.HELD_OUT]
+    rows = [(i, text()) for i in range(400) if i not in held]
+    usual = text()
+    mixed = usual.split()
+    random.shuffle(mixed)
+    df = spark.createDataFrame([*rows, (held[0], usual), (held[1], " ".join(mixed))], "doc_id long, text string")
+    got = {r.doc_id: r for r in M.scores(df, kind_col=None).collect()}
+    a, b = got[held[0]], got[held[1]]
+    assert math.isclose(a.base_score, b.base_score, rel_tol=1e-9)
+    assert a.score > b.score + 10
+    assert a.score > a.base_score + 10
