@@ -185,3 +185,16 @@ def test_encoder_default_has_a_slot_less(spark):
         for how in ("keep", "error")
     ]
     assert sizes == [5, 4]
+
+
+def test_registered_tuning_sees_all_training_rows(spark, sf_dir, monkeypatch):
+    from checks import queries as Q
+
+    seen = {}
+    monkeypatch.setattr(Q.R, "TUNING_ROWS", 10)
+    monkeypatch.setattr(Q.R, "bounded", lambda df, keys, limit=10: df.limit(limit))
+    monkeypatch.setattr(Q.R, "cross_validate", lambda rows, *a, **b: seen.setdefault("n", rows.count()))
+    monkeypatch.setattr(Q, "once", lambda spark, name, d, build: build())
+    Q.tuned(spark, sf_dir, "cv_forest")
+    kind, label, features = Q.TUNED["cv_forest"]
+    assert seen["n"] == Q.R.complete_rows(Q.parts(spark, sf_dir)[0], features, label).count() > 10
