@@ -22,8 +22,9 @@ CANDIDATES_PER_BLOCK = 4096
 QUERIES_PER_BLOCK = 1024
 DIMENSIONS_PER_STEP = 8
 EXACT = 2.0**53  # integers below it are exact as doubles
+LARGEST = 2.0**62  # products below it are exact as 64-bit integers
 
-SCHEMA = "query_id long, vec_id long, score long"
+SCHEMA = "query_id long, query_key long, vec_id long, score long"
 
 
 def usable(vector: Column) -> Column:
@@ -87,26 +88,42 @@ class Block:
         return self.ids[alive[best]], score[best]
 
 
+class WholeBlock:
+    """Candidates whose products may pass 2**53, compared in 64-bit integers."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray):
+        self.ids, self.rows = ids, rows.astype(np.int64)
+
+    def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the k best, ties to the smaller id."""
+        score = self.rows @ query.astype(np.int64)
+        alive = np.flatnonzero(self.ids != own)
+        best = alive[np.lexsort((self.ids[alive], -score[alive]))[:k]]
+        return self.ids[best], score[best]
+
+
 def search_pair(k: int):
     def run(key, candidates: pa.Table, queries: pa.Table) -> pa.Table:
         width = max(
             (pc.max(pc.list_value_length(t["vec"])).as_py() or 0)
             for t in (candidates, queries)
         ) if candidates.num_rows and queries.num_rows else 0
-        out: list[list[np.ndarray]] = [[], [], []]
+        out: list[list[np.ndarray]] = [[], [], [], []]
         if candidates.num_rows and queries.num_rows:
             rows, asked = matrix(candidates["vec"], width), matrix(queries["vec"], width)
             most = np.abs(rows).max(initial=0) * np.abs(asked).max(initial=0) * max(width, 1)
-            if most >= EXACT:
-                raise ValueError("inner products beyond 2**53 are not exact here")
-            block = Block(candidates["id"].to_numpy(), rows)
-            for own, query in zip(queries["id"].to_numpy(), asked, strict=True):
+            if most >= LARGEST:
+                raise ValueError("inner products beyond 2**62 do not fit the score")
+            block = (Block if most < EXACT else WholeBlock)(candidates["id"].to_numpy(), rows)
+            owns, keys = queries["id"].to_numpy(), queries["key"].to_numpy()
+            for own, key_, query in zip(owns, keys, asked, strict=True):
                 ids, score = block.search(query, own, k)
                 out[0].append(np.full(len(ids), own))
-                out[1].append(ids)
-                out[2].append(score.astype(np.int64))
+                out[1].append(np.full(len(ids), key_))
+                out[2].append(ids)
+                out[3].append(score.astype(np.int64))
         arrays = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), arrays, strict=True)))
+        return pa.table(dict(zip(("query_id", "query_key", "vec_id", "score"), arrays, strict=True)))
 
     return run
 
@@ -127,9 +144,11 @@ def top_k(
 
     Rows with a null id, a null vector or a null or non-finite component take no
     part. Missing components of a shorter vector count as 0, so an empty vector
-    scores 0. Repeated candidate rows count one by one; of rows with the same id,
-    one serves as query (the smallest vector). An empty table, or one without
-    queries, gives an empty result. Products that reach 2**53 raise an error.
+    scores 0. Repeated candidate rows count one by one; query rows with the
+    same id each give k rows if their vectors differ, and one set if they are equal. An
+    empty table, or one without queries, gives an empty result. Products that may reach
+    2**53 are compared as integers; those that may reach 2**62, as a score is a 64-bit
+    number, raise an error.
 
     Queries and candidates meet as blocks of bounded size, one task per pair of
     blocks; every pair of blocks returns k rows for each of its queries.
@@ -141,25 +160,25 @@ def top_k(
         ),
         F.coalesce(is_query, F.lit(False)).alias("asks"),
     )
-    queries = clean.filter("asks").groupBy("id").agg(F.min("vec").alias("vec"))
+    queries = clean.filter("asks").select("id", "vec", F.xxhash64("id", "vec").alias("key")).distinct()
     total = clean.agg(F.count("*"), F.count_if("asks")).first()
     parts = max(1, math.ceil(total[0] / CANDIDATES_PER_BLOCK))
     query_parts = max(1, math.ceil(total[1] / QUERIES_PER_BLOCK))
     # Repeated ids are spread by their vector as well.
     part = F.pmod(F.xxhash64("id", "vec"), F.lit(parts)).cast("int")
-    query_part = F.pmod(F.xxhash64("id"), F.lit(query_parts)).cast("int")
+    query_part = F.pmod(F.col("key"), F.lit(query_parts)).cast("int")
     candidates = clean.select(
         "id", "vec", part.alias("c"), F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))).alias("q")
     )
     queries = queries.select(
-        "id", "vec", query_part.alias("q"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("c")
+        "id", "vec", "key", query_part.alias("q"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("c")
     )
     found = (
         candidates.groupBy("c", "q")
         .cogroup(queries.groupBy("c", "q"))
         .applyInArrow(search_pair(k), SCHEMA)
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)

@@ -49,3 +49,16 @@ def test_edge_rows(spark):
     assert result(spark, []) == []
     assert result(spark, [(1, [1.0])]) == []
     assert result(spark, [(0, [1.0])]) == []
+
+
+def test_every_vector_of_an_id_asks_and_large_products_are_exact(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [2.0**28, 3.0]), (3, [3.0, 2.0**28 + 1]), (4, [2.0**28, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = top_k(df, F.col("vec_id") == 1, 1, scale=2**8).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == [
+        (1, 1, 2, 2**44), (1, 1, 3, 2**44 + 2**16),
+    ]
+    got = top_k(df, F.col("vec_id") == 2, 2, scale=1).collect()
+    assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank)] == [
+        (4, 2**56 + 6), (3, 3 * (2**28 + 1) + 3 * 2**28),
+    ]
