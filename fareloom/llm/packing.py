@@ -6,18 +6,16 @@ of windows at that level) squared, full and empty windows not counted. An array
 holds the number of windows at each level, so a choice is one look over it.
 
 Every partition packs its own rows and numbers its own sequences. Once it holds
-``OPEN_WINDOWS`` partly filled windows, and at its end, it cuts what they hold
-into full windows; the last rest goes to sequences whose length is a power of
-two, which need no padding. No row is moved between machines.
+``OPEN_WINDOWS`` partly filled windows, and at its end, the fullest of them are
+filled from the emptiest one, of which a document is cut only if it does not fit
+whole; the last rest goes to sequences whose length is a power of two, which need no
+padding. No row is moved between machines.
 """
 
 from __future__ import annotations
 
-import functools
-import os
 import zlib
 from collections import deque
-from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
@@ -26,91 +24,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from fareloom.llm.common import by_chunks, id_and_text
-from fareloom.llm.token_counts import counter
+from fareloom.llm.word_ids import word_ids
 
 WINDOW = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-OPEN_WINDOWS = 512
+OPEN_WINDOWS = 4096
 SEQUENCES_PER_PARTITION = 1 << 40
-MAX_WORDS = 120_000  # entries of a table of encoded words before it is put aside
 ROWS_PER_BATCH = 20_000
 
 COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 SCHEMA = ", ".join(f"{name} long" for name in COLUMNS)
 
 
-def recall(wanted: set, known: dict, old: dict) -> list:
-    """Copy from ``old`` to ``known`` what is wanted; the rest, in order."""
-    wanted.difference_update(known)
-    again = wanted.intersection(old)
-    known.update((x, old[x]) for x in again)
-    return sorted(wanted.difference(again))
-
-
-class WordIds(dict):
-    """Ids of words as little-endian unsigned 32-bit integers.
-
-    The tokenizer drops white space before it looks at the words, so a text's ids
-    are those of its parts between ASCII spaces, one after the other. New parts are
-    split further into what the tokenizer encodes alone, and the library encodes
-    those among these that are new.
-    """
-
-    def __init__(self, path: str):
-        super().__init__()
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.counter = counter(path)
-        self.units: dict[str, bytes] = {}
-        # What was known before the last time that a table was full.
-        self.old_words: dict[bytes, bytes] = {}
-        self.old_units: dict[str, bytes] = {}
-
-    def _encode(self, text: str):
-        return self.counter.library.encode(text, add_special_tokens=False)
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self._encode(text).ids, "<u4").tobytes()
-
-    def learn_units(self, units: list[str]) -> None:
-        for i in range(0, len(units), 1000):
-            part = units[i : i + 1000]
-            found = self._encode(" ".join(part))
-            ids, number = np.array(found.ids, "<u4"), np.array(found.word_ids)
-            pieces = np.split(ids, np.flatnonzero(np.diff(number)) + 1)
-            if len(pieces) == len(part):
-                self.units.update((u, x.tobytes()) for u, x in zip(part, pieces, strict=True))
-            else:  # a unit that the library parts again
-                self.units.update((u, self._ids(u)) for u in part)
-
-    def learn(self, words: list[bytes]) -> None:
-        plain = [w.decode() for w in words if b"<|" not in w]
-        for word in words:
-            if b"<|" in word:
-                self[word] = self._ids(word.decode())
-        if not plain:
-            return
-        units, ends = self.counter.words_of(plain)
-        if len(self.units) > MAX_WORDS:
-            self.old_units, self.units = self.units, {}
-        self.learn_units(recall(set(units), self.units, self.old_units))
-        coded = list(map(self.units.__getitem__, units))
-        start = 0
-        for word, end in zip(plain, ends.tolist(), strict=True):
-            self[word.encode()] = b"".join(coded[start:end])
-            start = end
-
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """Ids of each text; null counts as empty."""
-        parted = [t.encode().split() if t else [] for t in texts]
-        if len(self) > MAX_WORDS:
-            self.old_words = dict(self)
-            self.clear()
-        self.learn(recall(set().union(*parted), self, self.old_words))
-        for words in parted:
-            yield np.frombuffer(b"".join(map(self.__getitem__, words)), np.uint32)
-
-
 class Packer:
     """Windows of one partition. Pieces are (doc_id, start, ids, doc_tokens)."""
 
@@ -152,7 +78,7 @@ class Packer:
         if start < total:
             self.place((doc_id, start, ids[start:].copy(), total))
         if self.n_open > self.limit:
-            self.merge()
+            self.fill(self.limit // 2)
 
     def place(self, piece: tuple) -> None:
         size = len(piece[2])
@@ -163,25 +89,41 @@ class Packer:
             self.levels[level] -= 1
             self.n_open -= 1
         pieces.append(piece)
-        level += size
+        self.put(pieces)
+
+    def put(self, pieces: list[tuple]) -> None:
+        level = sum(len(p[2]) for p in pieces)
         if level == self.window:
             self.close(pieces)
-        else:
-            self.open.setdefault(level, deque()).append(pieces)
-            self.levels[level] += 1
-            self.n_open += 1
+            return
+        self.open.setdefault(level, deque()).append(pieces)
+        self.levels[level] += 1
+        self.n_open += 1
 
-    def merge(self) -> None:
-        """Cut what the open windows hold into full ones; a rest stays open."""
-        pieces = deque(p for level in sorted(self.open) for w in self.open[level] for p in w)
+    def fill(self, keep: int) -> None:
+        """Close windows until ``keep`` are open: the fullest takes from the emptiest."""
+        windows = deque(w for level in sorted(self.open) for w in self.open[level])
         self.open.clear()
         self.levels[:] = 0
         self.n_open = 0
-        rest = self.cut(pieces, self.window)
-        if rest:
-            level = sum(len(p[2]) for p in rest)
-            self.open[level] = deque([rest])
-            self.levels[level] = self.n_open = 1
+        while len(windows) > keep:
+            target = windows.pop()
+            room = self.window - sum(len(p[2]) for p in target)
+            while room and windows:
+                donor = windows[0]
+                doc_id, start, ids, total = donor.pop()
+                cut = max(0, len(ids) - room)  # what stays behind
+                target.append((doc_id, start + cut, ids[cut:], total))
+                room -= len(ids) - cut
+                if cut:
+                    donor.append((doc_id, start, ids[:cut], total))
+                elif not donor:
+                    windows.popleft()
+            self.put(target)
+            if room:
+                break
+        for pieces in windows:
+            self.put(pieces)
 
     def cut(self, pieces: deque, size: int) -> list[tuple]:
         """Close sequences of ``size`` ids from ``pieces``; what is left over."""
@@ -199,7 +141,7 @@ class Packer:
         return held
 
     def finish(self) -> None:
-        self.merge()
+        self.fill(0)
         rest = [p for windows in self.open.values() for w in windows for p in w]
         size = self.window // 2
         while rest and size:
@@ -209,11 +151,6 @@ class Packer:
         self.open.clear()
 
 
-@functools.cache
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
-
-
 def pack(
     df: DataFrame,
     vocabulary: str = VOCABULARY,
@@ -238,7 +175,6 @@ def pack(
 
     def run(batches):
         packer = Packer(TaskContext.get().partitionId() * SEQUENCES_PER_PARTITION, window)
-        end = np.array([end_id], np.uint32)
         words = word_ids(public_tokenizers.path(vocabulary))
 
         def written() -> pa.RecordBatch:
@@ -249,9 +185,11 @@ def pack(
 
         for batch in batches:
             for piece in by_chunks(batch, "text"):
-                ids = piece.column(0).to_pylist()
-                for doc_id, own in zip(ids, words.encode(piece.column(1).to_pylist()), strict=True):
-                    packer.add(doc_id, np.concatenate([own, end]))
+                ids, ends = words.encode(piece.column(1).to_pylist(), end_id)
+                start = 0
+                for doc_id, end in zip(piece.column(0).to_pylist(), ends.tolist(), strict=True):
+                    packer.add(doc_id, ids[start:end])
+                    start = end
                 if len(packer.done) >= ROWS_PER_BATCH:
                     yield written()
         packer.finish()

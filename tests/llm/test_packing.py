@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from fareloom.llm.packing import Packer, WordIds, pack
+from fareloom.llm import word_ids
+from fareloom.llm.packing import Packer, pack
+from fareloom.llm.word_ids import WordIds
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -46,15 +48,24 @@ def check_pieces(rows, wanted, window=4096):
     return padding
 
 
-def test_word_ids_equal_the_library():
+def test_word_ids_equal_the_library(monkeypatch):
     texts = [
         "It's a 'test', we'll see: don't''t <|endoftext|>x <|startoftext|> y<|endoftext|>",
         None,
         "",
         "İstanbul ΣΑΣ é ́x 日本語 \x85 z ​😀",
     ]
-    got = [x.tolist() for x in WordIds(PATH).encode(texts)]
-    assert got == [library_ids(t)[:-1] for t in texts]
+    ids, ends = WordIds(PATH).encode(texts)
+    assert [x.tolist() for x in np.split(ids, ends)[:-1]] == [library_ids(t)[:-1] for t in texts]
+    # Tables that are begun anew again and again give the same.
+    monkeypatch.setattr(word_ids, "MAX_WORDS", 3)
+    monkeypatch.setattr(word_ids, "MAX_UNITS", 4)
+    words = WordIds(PATH)
+    for _ in range(2):
+        for text in texts:
+            ids, ends = words.encode([text, text], 2)
+            assert ids.tolist() == 2 * library_ids(text) and ends[0] == len(ids) // 2
+    assert words.encode([], 2)[0].tolist() == []
 
 
 def test_packer_keeps_every_id_and_pads_nothing():
@@ -65,12 +76,27 @@ def test_packer_keeps_every_id_and_pads_nothing():
             n = random.choice([1, 2, 33, 40, 63, 64, 65, 200, random.randrange(1, 64)])
             wanted[i] = [random.randrange(50_000) for _ in range(n)]
             packer.add(i, np.array(wanted[i], np.uint32))
-            assert packer.n_open <= limit + 1
+            assert packer.n_open <= limit
             assert packer.levels.sum() == packer.n_open
         packer.finish()
         assert check_pieces(packer.done, wanted, 64) == 0
 
 
+def test_rest_windows_cut_few_documents():
+    """Documents that fit a window and still lie in more than one piece."""
+    random.seed(3)
+    packer, wanted = Packer(0, 4096), {}
+    for i in range(3000):
+        wanted[i] = [1] * random.choice([random.randrange(50, 400), random.randrange(400, 4000)])
+        packer.add(i, np.array(wanted[i], np.uint32))
+    packer.finish()
+    assert check_pieces(packer.done, wanted) == 0
+    pieces = defaultdict(int)
+    for row in packer.done:
+        pieces[row[0]] += 1
+    assert sum(n > 1 for n in pieces.values()) < 0.02 * len(wanted)
+
+
 def test_level_with_least_sum_of_squares():
     random.seed(4)
     packer = Packer(0, 32)
