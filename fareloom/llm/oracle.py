@@ -193,8 +193,99 @@ SELECT id AS record_id, url, t AS fetched_at, response_id, status,
 FROM judged
 """
 
+# The crc32 of a list of bytes goes through a table of 256 numbers, which is computed.
+CRC_STEP = "list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)"
+OP11 = f"""
+WITH RECURSIVE crc AS (
+  SELECT list({CRC_STEP} ORDER BY b) AS step FROM (SELECT unnest(range(256)) AS b)
+), run AS (
+  SELECT doc_id, word, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS word
+    FROM documents) GROUP BY ALL
+), spelled AS (
+  SELECT word, n, flatten(list_transform(string_split(concat(doc_id, ':', word), ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT]
+                   ELSE [195, unicode(c)::BIGINT - 64] END)) AS bytes
+  FROM run
+), hashed AS (
+  SELECT word, n, xor(list_reduce(bytes,
+    lambda c, b: xor(c >> 8, step[xor(c & 255, b) + 1]), 4294967295), 4294967295) AS h
+  FROM spelled, crc
+), word AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 97 <> 0 THEN word
+                ELSE substr(word, 1, (h % length(word))::INT)
+                     || substr(word, (h % length(word))::INT + 2) END AS word, n
+    FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS z
+  FROM (SELECT *, unnest(range(1, length(word) + 1))::INT AS i FROM word)
+), near AS (
+  SELECT x.word, y.word AS other, y.n FROM cut x JOIN cut y USING (i, a, z)
+  WHERE x.word <> y.word
+  UNION
+  SELECT x.word, y.word, y.n FROM cut x JOIN word y ON y.word = x.a || x.z
+  UNION
+  SELECT y.word, x.word, x.n FROM cut x JOIN word y ON y.word = x.a || x.z
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-n, encode(other))) AS form, max(n) AS form_n
+  FROM near GROUP BY word
+), chosen AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+         CASE WHEN b.form_n >= 2 * w.n THEN b.form END AS form,
+         CASE WHEN b.form_n >= 2 * w.n THEN b.form_n END AS form_n
+  FROM word w LEFT JOIN best b USING (word)
+), path AS (
+  SELECT word, form AS at FROM chosen WHERE form IS NOT NULL
+  UNION ALL
+  SELECT p.word, c.form FROM path p JOIN chosen c ON c.word = p.at WHERE c.form IS NOT NULL
+), ended AS (
+  SELECT p.word, p.at AS root FROM path p JOIN chosen c ON c.word = p.at WHERE c.form IS NULL
+)
+SELECT c.word, c.form, coalesce(e.root, c.word) AS root, c.n, c.n_near, c.form_n
+FROM chosen c LEFT JOIN ended e USING (word)
+"""
+
+OP13 = """
+WITH term AS (
+  SELECT 'd' AS kind, doc_id AS id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM documents
+  UNION ALL
+  SELECT 'q', item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))
+  FROM benchmark
+), bag AS (
+  SELECT kind, id, term, count(*) AS tf FROM term GROUP BY ALL
+), size AS (
+  SELECT id, sum(tf)::BIGINT AS n FROM bag WHERE kind = 'd' GROUP BY id
+), whole AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM size
+), weight AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM bag, whole WHERE kind = 'd' GROUP BY term
+), worth AS (
+  SELECT id, term, (w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))))::BIGINT AS v
+  FROM bag JOIN size USING (id) JOIN weight USING (term), whole WHERE kind = 'd'
+), score AS (
+  SELECT q.id AS item_id, d.id AS doc_id, sum(q.tf * d.v)::BIGINT AS score
+  FROM bag q JOIN worth d USING (term) WHERE q.kind = 'q' GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank
+  FROM score WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLE = {
     "op10_warc_revisits": OP10,
+    "op11_spelling_variants": OP11,
+    "op13_ranked_search": OP13,
     "op2_repetition_coverage": OP2,
     "op7_exact_topk": OP7,
     "op8_jaccard_join": OP8,

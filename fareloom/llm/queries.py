@@ -8,15 +8,19 @@ from fareloom.llm.common import documents
 from fareloom.llm.context_mixing import scores
 from fareloom.llm.jaccard_join import jaccard_components
 from fareloom.llm.labelled import labelled_sample
+from fareloom.llm.lexical_search import ranked_search
 from fareloom.llm.oracle import ORACLE
 from fareloom.llm.packing import pack
 from fareloom.llm.piece_sampling import decoded, encode_sampled
 from fareloom.llm.repetition import repetition_coverage
 from fareloom.llm.site_quality import fit_quality, quality
+from fareloom.llm.spelling import spelling_variants
 from fareloom.llm.token_counts import token_counts
+from fareloom.llm.token_files import read_token_files, write_token_files
 from fareloom.llm.topk_search import top_k
 from fareloom.llm.toxicity import fit_severity, severity
 from fareloom.llm.warc_revisits import resolve_revisits, visits
+from fareloom.session import scratch_path
 
 
 def op1_token_counts(spark, sf_dir):
@@ -82,6 +86,21 @@ def op10_warc_revisits(spark, sf_dir):
     )
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling_variants(documents(spark, sf_dir))
+
+
+def op12_token_files(spark, sf_dir):
+    """Digest of all documents, from the files that were written."""
+    path = scratch_path(spark, "token-files")
+    write_token_files(documents(spark, sf_dir), path)
+    return read_token_files(spark, path, "digest")
+
+
+def op13_ranked_search(spark, sf_dir):
+    return ranked_search(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_repetition_coverage": op2_repetition_coverage,
@@ -93,6 +112,9 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op10_warc_revisits": op10_warc_revisits,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_token_files": op12_token_files,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
