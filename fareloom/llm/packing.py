@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from fareloom.llm.common import by_chunks, id_and_text
-from fareloom.llm.word_ids import word_ids
+from fareloom.llm.word_ids import MAX_WORDS, word_ids
 
 WINDOW = 4096
 END_ID = 2
@@ -156,6 +156,7 @@ def pack(
     vocabulary: str = VOCABULARY,
     end_id: int = END_ID,
     window: int = WINDOW,
+    table_words: int = MAX_WORDS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -169,13 +170,15 @@ def pack(
     are packed one by one; an empty table gives an empty result; columns other
     than the two named are ignored. A text of any length is packed whole.
 
+    A task remembers the ids of ``table_words`` words, which only saves time.
+
     The result follows from the order of rows within partitions, so read ``df``
     from files: a task that runs again then packs the same rows the same way.
     """
 
     def run(batches):
         packer = Packer(TaskContext.get().partitionId() * SEQUENCES_PER_PARTITION, window)
-        words = word_ids(public_tokenizers.path(vocabulary))
+        words = word_ids(public_tokenizers.path(vocabulary), table_words)
 
         def written() -> pa.RecordBatch:
             columns = zip(*packer.done, strict=True) if packer.done else [[] for _ in COLUMNS]

@@ -282,7 +282,10 @@ class TokenCounter:
     def words_of(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """The words of all texts in normal form, and how many lie before each text's
         end. Special strings are left out."""
-        texts = [self.prepare(t) for t in texts]
+        return self.split([self.prepare(t) for t in texts])
+
+    def split(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """The same of texts in normal form without special strings."""
         codes = self._known_codes(texts)
         if self.expanding and any(c in t for t in texts for c in self.expanding):
             for char, lower in self.expanding.items():

@@ -11,15 +11,16 @@ from __future__ import annotations
 
 import functools
 import os
+import unicodedata
 from itertools import chain, repeat
 
 import numpy as np
 
 from fareloom.llm.token_counts import byte_symbols, counter
 
-# Entries of the two tables; one with more is begun anew with the next texts.
-MAX_WORDS = 350_000
-MAX_UNITS = 300_000
+# Words that a task remembers, some 400 bytes each with their units; beyond it, it
+# begins anew with the next texts.
+MAX_WORDS = 1_000_000
 
 
 def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -67,7 +68,8 @@ class Table(dict):
 
 
 class WordIds:
-    def __init__(self, path: str):
+    def __init__(self, path: str, max_words: int = MAX_WORDS):
+        self.max_words = max_words
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.counter = counter(path)
         self.words, self.units = Table(), Table()
@@ -77,12 +79,15 @@ class WordIds:
 
     def learn_units(self, units: list[str]) -> None:
         tokenize = self.counter.library.model.tokenize
-        each = [
-            [t.id for t in tokenize(u if u.isascii() else u.encode().decode("latin-1").translate(SPELL))]
-            for u in units
-        ]
-        sizes = np.fromiter(map(len, each), np.int64, len(each))
-        self.units.learn(units, np.fromiter(chain.from_iterable(each), np.uint32, sizes.sum()), sizes)
+        ids, sizes = [], []
+        for unit in units:
+            if not unit.isascii():
+                unit = unit.encode().decode("latin-1").translate(SPELL)
+            found = tokenize(unit)
+            sizes.append(len(found))
+            for token in found:
+                ids.append(token.id)
+        self.units.learn(units, np.array(ids, np.uint32), np.array(sizes, np.int64))
 
     def learn(self, words: list[bytes]) -> None:
         special = [w for w in words if b"<|" in w]
@@ -92,9 +97,11 @@ class WordIds:
             words = [w for w in words if b"<|" not in w]
         if not words:
             return
-        if len(self.units) > MAX_UNITS:
+        if len(self.units) > self.max_words * 3 // 5:
             self.units = Table()
-        units, ends = self.counter.words_of([w.decode() for w in words])
+        texts = [w.decode() for w in words]
+        normal = unicodedata.is_normalized("NFC", " ".join(texts))
+        units, ends = (self.counter.split if normal else self.counter.words_of)(texts)
         self.learn_units(list(set(units).difference(self.units)))
         numbers = np.fromiter(map(self.units.__getitem__, units), np.int64, len(units))
         ids, sizes = self.units.runs.of(numbers)
@@ -108,7 +115,7 @@ class WordIds:
         Null counts as empty."""
         parted = [t.encode().split() if t else [] for t in texts]
         words = list(chain.from_iterable(parted))
-        if len(self.words) > MAX_WORDS:
+        if len(self.words) > self.max_words:
             self.words = Table()
         numbers = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
         unknown = np.flatnonzero(numbers < 0)
@@ -125,5 +132,5 @@ class WordIds:
 
 
 @functools.cache
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def word_ids(path: str, max_words: int = MAX_WORDS) -> WordIds:
+    return WordIds(path, max_words)
