@@ -40,7 +40,7 @@ FORMAT = "token_files"
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 # Tokens of a shard; a single longer document makes a longer one.
-SHARD_IDS = 1 << 21
+SHARD_IDS = 1 << 22
 INDEX = "index.parquet"
 INDEX_SCHEMA = pa.schema([("name", pa.string()), ("start", pa.int64()), ("n_ids", pa.int64())])
 ROWS_PER_BATCH = 10_000

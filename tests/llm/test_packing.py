@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from fareloom.llm import word_ids
 from fareloom.llm.packing import Packer, pack
 from fareloom.llm.word_ids import WordIds
 
@@ -65,6 +66,16 @@ def test_word_ids_equal_the_library():
     assert words.encode([], 2)[0].tolist() == []
 
 
+def test_words_with_one_hash_and_long_texts(monkeypatch):
+    texts = ["one two", None, "three " * 50 + "x" * 90, "two one", "one"]
+    monkeypatch.setattr(word_ids, "SLICE", 40)  # slices end at spaces
+    ids, ends = WordIds(PATH).encode(texts, 2)
+    assert [x.tolist() for x in np.split(ids, ends)[:-1]] == [library_ids(t) for t in texts]
+    monkeypatch.setattr(word_ids, "hashed", lambda data, starts, sizes: sizes.astype(np.uint64) % 2)
+    ids, ends = WordIds(PATH).encode(texts, 2)
+    assert [x.tolist() for x in np.split(ids, ends)[:-1]] == [library_ids(t) for t in texts]
+
+
 def test_packer_keeps_every_id_and_pads_nothing():
     random.seed(2)
     for limit in (4, 64):
