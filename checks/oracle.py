@@ -250,10 +250,25 @@ TOP_MEANS = over(
           GROUP BY payment_type) m USING (payment_type)
     WHERE NOT trains AND total_amount IS NOT NULL ORDER BY total_amount DESC, {KEY} LIMIT 100""",
 )
+TERMS = ", ".join(
+    ["{'n': '1', 'v': 1E0}"]
+    + [f"{{'n': '{c}', 'v': CAST({c} AS DOUBLE)}}" for c in CLEAN[:4]]
+    + [f"{{'n': concat('{c}=', {c}), 'v': 1E0}}" for c in CODES]
+    + ["{'n': 'label', 'v': total_amount}"]
+)
+MOMENTS = over(
+    "prepared",
+    f"""SELECT fold, t[i].n AS a, t[j].n AS b, round(sum(t[i].v * t[j].v), 4) + 0E0 AS total
+    FROM (SELECT CAST(fold AS INT) AS fold, [{TERMS}] AS t FROM ({LABELLED}) l
+          WHERE trains AND {not_null([*CLEAN, "total_amount"])}) r,
+     (SELECT i, unnest(range(i, 11)) AS j FROM (SELECT unnest(range(1, 11)) AS i)) p
+    GROUP BY ALL""",
+)
 CLOSED = f"(SELECT max(timestamp) - INTERVAL '10' MINUTE FROM ({NEWS}) n)"
 
 ORACLE = {
     "ml_exact_linear": LINE,
+    "ml_moments": MOMENTS,
     "ml_exact_tree": group_means("total_amount"),
     "ml_exact_tree_tip": group_means("tip_amount"),
     "ml_exact_forest_distance": group_means("trip_distance"),

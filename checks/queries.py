@@ -11,7 +11,7 @@ from threading import RLock
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.functions import day_name, elapsed, speed, total
+from fareloom.functions import day_name, elapsed, key_bucket, speed, total
 from fareloom.operators import (
     assign_split,
     correlation_matrix,
@@ -26,7 +26,9 @@ from fareloom.operators.joins import role_of
 from fareloom.operators.topk import with_speed
 from fareloom.plans import news as N
 from fareloom.plans import prepare as P
+from fareloom.plans import moments as M
 from fareloom.plans import regression as R
+from fareloom.plans import tuning as T
 from fareloom.plans import reports
 from fareloom.plans.views import SPLIT_WEIGHTS, TRIP_KEY, news, table, trips, zones
 from fareloom.session import app_id, modified, scratch_path
@@ -140,10 +142,13 @@ def stream_source_json(spark, d):
 
 def ml_model_roundtrip(spark, d):
     """Whether a tuned forest predicts the same for a test row after save and load."""
-    model = tuned(spark, d, "cv_forest")
+    kind, label, features = TUNED["cv_forest"]
+    rows, bins = folded(spark, d, "cv_forest")
+    model = T.tune(rows, kind, label, {"numTrees": [5, 10], "maxDepth": [5]})
     path = scratch_path(spark, "model")
     R.save_model(model, path)
-    test = assembled_test(spark, d, R.LEAKY, "total_amount")
+    _, test = parts(spark, d)
+    test = T.in_bins(R.complete_rows(test, features, label), bins).select(*KEY, "features")
     before = model.transform(test).withColumnRenamed("prediction", "saved_prediction")
     after = R.load_tuned(path).transform(before)
     return after.select(
@@ -331,16 +336,14 @@ def processed(spark, d):
 
 
 def parts(spark, d):
-    """Train rows in partitions that do not follow from the machine, and test rows."""
+    """Train rows in buckets that do not follow from the machine, and test rows."""
     data = processed(spark, d)
     train, test = (data.filter(F.col("split") == p).drop("split") for p in ("train", "test"))
-    return R.steady(train, KEY), test
 
+    def build():
+        return R.training_table(train, KEY, scratch_path(spark, "train"))
 
-def assembled_test(spark, d, features, label):
-    _, test = parts(spark, d)
-    (assembler,) = R.feature_stages(features)
-    return assembler.transform(test).select(*KEY, label, "features")
+    return once(spark, "train", d, build), test
 
 
 def scored(kind, label, features, scale=False):
@@ -365,14 +368,24 @@ TUNED = {
 }
 
 
+def folded(spark, d, name):
+    """Training rows of a tuning job as (features, label, fold), and the stages that make
+    the features."""
+    kind, label, features = TUNED[name]
+    train, _ = parts(spark, d)
+    rows = R.complete_rows(train, features, label)
+    bins = T.fit_bins(rows, features)
+    fold = key_bucket(SPLIT_WEIGHTS, R.FOLDS[kind], shift=10)
+    return T.in_bins(rows, bins).select("features", label, fold.alias("fold")), bins
+
+
 def tuned(spark, d, name):
     """A model tuned over its full grid, once per session, on all training rows."""
-    kind, label, features = TUNED[name]
+    kind, label, _ = TUNED[name]
 
     def build():
-        train, _ = parts(spark, d)
-        rows = R.steady(R.complete_rows(train, features, label), KEY)
-        return R.cross_validate(rows, kind, label, features, SPLIT_WEIGHTS, maxMemoryInMB=1024)
+        rows, _ = folded(spark, d, name)
+        return T.tune(rows, kind, label, maxMemoryInMB=1024, cacheNodeIds=True)
 
     return once(spark, name, d, build)
 
@@ -392,6 +405,7 @@ def cv_scores(name):
 # its group, so these models can be recomputed in SQL.
 ONE_CODE = R.FeatureSet(("payment_type",))
 ONE_NUMBER = R.FeatureSet(("trip_distance",))
+RIDGE_FOLDS, RIDGE_PENALTIES = 3, (0.0, 0.01, 0.1, 1.0)
 EXACT = {
     "linear": {"regParam": 0.0, "maxIter": 25},
     "tree": {},
@@ -423,6 +437,23 @@ def exact_cv(spark, d):
     )
 
 
+def linear_moments(spark, d):
+    """Sums of products of all terms of the linear model, by fold of the train rows."""
+    train, _ = parts(spark, d)
+    fold = key_bucket(SPLIT_WEIGHTS, RIDGE_FOLDS, shift=10)
+    return M.moments(train, R.CLEAN, "total_amount", fold)
+
+
+def ml_moments(spark, d):
+    return linear_moments(spark, d).withColumn("total", F.round("total", 4) + 0.0)
+
+
+def ml_ridge_cv(spark, d):
+    """Fold scores of the linear model for several penalties, from one pass."""
+    scores = M.ridge_scores(linear_moments(spark, d), RIDGE_PENALTIES)
+    return spark.createDataFrame(scores, "penalty double, avg_rmse double, std_rmse double")
+
+
 def exact_top100(spark, d):
     train, test = parts(spark, d)
     model = R.fit(train, "tree", "total_amount", ONE_CODE)
@@ -561,6 +592,8 @@ QUERIES = {
     "ml_cv_forest": cv_scores("cv_forest"),
     "ml_cv_gbt": cv_scores("cv_gbt"),
     "ml_cv_distance": cv_scores("cv_distance"),
+    "ml_moments": ml_moments,
+    "ml_ridge_cv": ml_ridge_cv,
     "ml_exact_linear": exact_model("linear", "total_amount"),
     "ml_exact_tree": exact_model("tree", "total_amount"),
     "ml_exact_tree_tip": exact_model("tree", "tip_amount"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -75,22 +76,33 @@ GRIDS = {
 FOLDS = {"forest": 3, "boosted": 5}
 
 
-# Partitions that training reads, whatever the machine: forests and sums of doubles
-# follow the partitioning of their input. A parameter of ``steady``; raise it with
-# the data, not with the cores.
-TRAIN_PARTITIONS = 8
-# Labelled rows that tuning uses at most; the grids and folds are never cut.
-TUNING_ROWS = 5_000
+# Rows that a task of a training job reads, about. Forests and sums of doubles follow the
+# partitioning of their input, so it follows from the data and not from the cores.
+ROWS_PER_BUCKET = 25_000
 
 
-def steady(df: DataFrame, keys: Sequence[str], partitions: int = TRAIN_PARTITIONS) -> DataFrame:
-    """``df`` in partitions and an order that follow from ``keys`` alone."""
-    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
-
+def training_table(
+    rows: DataFrame, keys: Sequence[str], path: str, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
+    """``rows`` written as a table of buckets of their key, sorted within each.
 
-def bounded(df: DataFrame, keys: Sequence[str], limit: int = TUNING_ROWS) -> DataFrame:
-    """At most ``limit`` rows, those with the smallest hash of their key."""
-    return df.orderBy(F.xxhash64(*keys), *keys).limit(limit)
+    The number of buckets grows with the rows. A reader gets one partition per bucket,
+    whatever the machine, without a shuffle.
+    """
+    spark = rows.sparkSession
+    buckets = max(1, -(-rows.count() // rows_per_bucket))
+    name = f"training_{uuid.uuid4().hex}"
+    (
+        rows.repartition(buckets, *keys)
+        .write.bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .option("path", path)
+        .saveAsTable(name)
+    )
+    # Else Spark reads buckets as plain files where no join asks for them, and where the
+    # key is not read. The filter keeps all rows and the key.
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    return spark.table(name).filter(F.hash(*keys) >= -(1 << 31))
 
 
 def onehot(codes: Sequence[str], handle_invalid: str = "keep") -> OneHotEncoder:
@@ -183,7 +195,7 @@ def cross_validate(
     fold_weights: Mapping[str, int] | None = None,
     grid: Mapping[str, Sequence] | None = None,
     folds: int | None = None,
-    parallelism: int = 8,
+    parallelism: int | None = None,
     encoder: PipelineModel | None = None,
     **overrides,
 ) -> CrossValidatorModel:
@@ -192,8 +204,11 @@ def cross_validate(
     Features are assembled once, outside the folds, by ``encoder``, the fitted
     feature stages. With ``fold_weights`` the
     fold of a row follows from its key, so a retried task cannot move rows
-    between folds; without, Spark draws the folds at random.
+    between folds; without, Spark draws the folds at random. Every grid point is
+    fitted on its own, ``parallelism`` at a time (by default one for every two cores);
+    ``tuning.tune`` takes fewer fits for forests and boosted trees.
     """
+    parallelism = parallelism or max(1, train.sparkSession.sparkContext.defaultParallelism // 2)
     folds = folds or FOLDS[kind]
     encoder = encoder or fit_features(train, features)
     data = encoder.transform(train).select(

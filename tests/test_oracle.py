@@ -27,6 +27,7 @@ ROWS_ONLY = {
     "ml_forest_distance",
     "ml_gbt_total",
     "ml_tip",
+    "ml_ridge_cv",
     "ml_duration",
     "ml_cv_forest",
     "ml_cv_gbt",

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from conftest import plan_of
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -150,11 +151,14 @@ def test_top_predictions_with_ties(spark):
     assert [(r["index"], r.id) for r in rows] == [(i, i) for i in range(100)]
 
 
-def test_models_do_not_follow_the_file_splits(spark, sf_dir):
-    """Core counts change how files are split; ``steady`` undoes that."""
+def test_models_do_not_follow_the_file_splits(spark, sf_dir, monkeypatch):
+    """Core counts change how files are split; the training table undoes that."""
+    from checks import queries as Q
     from checks.queries import KEY, parts
 
     seen = []
+    monkeypatch.setattr(R.training_table, "__defaults__", (1000,))  # several buckets
+    monkeypatch.setattr(Q, "once", lambda s, name, d, build: build())
     for splits in ("1", "7"):
         spark.conf.set("spark.sql.files.minPartitionNum", splits)
         try:
@@ -187,14 +191,34 @@ def test_encoder_default_has_a_slot_less(spark):
     assert sizes == [5, 4]
 
 
+def test_training_table_grows_with_the_rows_and_not_with_the_cores(spark, tmp_path):
+    df = spark.range(1000).select("id", (F.col("id") % 7).alias("v"))
+    for rows, buckets in ((1000, 1), (300, 4), (100, 10)):
+        table = R.training_table(df, ["id"], str(tmp_path / f"t{rows}"), rows)
+        for setting in ("1", "7"):
+            spark.conf.set("spark.sql.files.minPartitionNum", setting)
+            try:
+                read = table.select("*")  # planned anew
+                assert read.rdd.getNumPartitions() == buckets
+                assert table.select("v").rdd.getNumPartitions() == buckets
+                held = read.withColumn("p", F.spark_partition_id()).collect()
+            finally:
+                spark.conf.unset("spark.sql.files.minPartitionNum")
+            assert len(held) == 1000
+            assert held == sorted(held, key=lambda r: (r.p, r.id))  # sorted within each
+        assert "Exchange" not in plan_of(table)
+    assert R.training_table(df.limit(0), ["id"], str(tmp_path / "none")).count() == 0
+
+
 def test_registered_tuning_sees_all_training_rows(spark, sf_dir, monkeypatch):
     from checks import queries as Q
 
     seen = {}
-    monkeypatch.setattr(Q.R, "TUNING_ROWS", 10)
-    monkeypatch.setattr(Q.R, "bounded", lambda df, keys, limit=10: df.limit(limit))
-    monkeypatch.setattr(Q.R, "cross_validate", lambda rows, *a, **b: seen.setdefault("n", rows.count()))
-    monkeypatch.setattr(Q, "once", lambda spark, name, d, build: build())
+    monkeypatch.setattr(Q.T, "tune", lambda rows, *a, **b: seen.setdefault("n", rows.count()))
+    before, own = Q.once, {"cv_forest"}
+    monkeypatch.setattr(
+        Q, "once", lambda s, name, d, build: build() if name in own else before(s, name, d, build)
+    )
     Q.tuned(spark, sf_dir, "cv_forest")
-    kind, label, features = Q.TUNED["cv_forest"]
+    _, label, features = Q.TUNED["cv_forest"]
     assert seen["n"] == Q.R.complete_rows(Q.parts(spark, sf_dir)[0], features, label).count() > 10

@@ -1,0 +1,150 @@
+"""Tuning with fewer fits, and linear fits from sums of products."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
+from pyspark.sql import functions as F
+
+from fareloom.plans import moments as M
+from fareloom.plans import regression as R
+from fareloom.plans import tuning as T
+
+PLAIN = R.FeatureSet(("x", "y"))
+CODED = R.FeatureSet(("x", "y"), ("code",))
+
+
+@pytest.fixture(scope="module")
+def rows(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("data") / "rows")
+    x, y = F.col("id") * 7919 % 101, F.col("id") * 104729 % 53
+    spark.range(900).select(
+        "id",
+        x.cast("double").alias("x"),
+        F.when(F.col("id") % 50 != 49, y.cast("double")).alias("y"),
+        (F.col("id") % 4).cast("int").alias("code"),
+        (x * 0.3 - y * F.when(x > 50, 0.5).otherwise(-0.2) + (F.col("id") % 4) * 4).alias("label"),
+        (F.floor(F.col("id") / 10) % 3).cast("int").alias("fold"),
+    ).repartition(2, "id").sortWithinPartitions("id").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def data(rows):
+    return T.in_bins(rows, T.fit_bins(rows, PLAIN)).select("features", "label", "fold")
+
+
+def test_bins_are_few_whole_numbers_in_order(rows):
+    binned = T.fit_bins(rows, PLAIN, 8).transform(rows)
+    assert binned.count() == rows.filter("y IS NOT NULL").count()
+    pairs = sorted({(r.x, r.x_bin) for r in binned.collect()})
+    numbers = [b for _, b in pairs]
+    assert numbers == sorted(numbers) and set(numbers) == set(map(float, range(8)))
+
+
+def test_boosted_scores_equal_separate_fits(data):
+    grid = {"maxDepth": [2, 3], "maxIter": [2, 4]}
+    model = T.tune(data, "boosted", "label", grid, folds=3)
+    learner = R.estimator("boosted", "label")
+    for point, mean in zip(model.getEstimatorParamMaps(), model.avgMetrics, strict=True):
+        settings = {p.name: v for p, v in point.items()}
+        errors = []
+        for fold in range(3):
+            fitted = R.estimator("boosted", "label", **settings).fit(data.filter(F.col("fold") != fold))
+            held_out = fitted.transform(data.filter(F.col("fold") == fold))
+            errors.append(R.metrics(held_out, "label").head().rmse)
+        assert mean == pytest.approx(np.mean(errors))
+    best = int(np.argmin(model.avgMetrics))
+    chosen = {p.name: v for p, v in model.getEstimatorParamMaps()[best].items()}
+    assert (model.bestModel.getMaxDepth(), model.bestModel.getNumTrees) == (
+        chosen["maxDepth"], chosen["maxIter"],
+    )
+    assert learner.getMaxDepth() != 99
+
+
+def test_cut_trees_equal_trees_fitted_to_that_depth(spark, data):
+    """One tree without draws is the same to any depth it is grown."""
+    deep = RandomForestRegressor(
+        labelCol="label", numTrees=1, maxDepth=6, bootstrap=False, featureSubsetStrategy="all"
+    ).fit(data)
+    errors = T.forest_errors(deep, data, "label", [0, 2, 4, 6], [1])
+    for depth in (2, 4, 6):
+        shallow = DecisionTreeRegressor(labelCol="label", maxDepth=depth).fit(data)
+        assert errors[depth, 1] == pytest.approx(R.metrics(shallow.transform(data), "label").head().rmse)
+    assert errors[0, 1] == pytest.approx(
+        np.sqrt(data.agg(F.var_pop("label")).first()[0])
+    )
+
+
+def test_whole_forest_equals_spark_and_first_trees_their_mean(data):
+    forest = R.estimator("forest", "label", numTrees=6, maxDepth=5).fit(data)
+    errors = T.forest_errors(forest, data, "label", [5], [2, 6])
+    assert errors[5, 6] == pytest.approx(R.metrics(forest.transform(data), "label").head().rmse)
+    two = data
+    for i in range(2):
+        two = forest.trees[i].setPredictionCol(f"p{i}").transform(two)
+    two = two.withColumn("prediction", (F.col("p0") + F.col("p1")) / 2)
+    assert errors[5, 2] == pytest.approx(R.metrics(two, "label").head().rmse)
+
+
+def test_forest_scores_lie_near_separate_fits(data):
+    """Other draws of rows: within a tenth on 900 rows."""
+    grid = {"maxDepth": [3, 6], "numTrees": [5, 15]}
+    model = T.tune(data, "forest", "label", grid, folds=3)
+    for point, mean in zip(model.getEstimatorParamMaps(), model.avgMetrics, strict=True):
+        settings = {p.name: v for p, v in point.items()}
+        errors = []
+        for fold in range(3):
+            fitted = R.estimator("forest", "label", **settings).fit(data.filter(F.col("fold") != fold))
+            held_out = fitted.transform(data.filter(F.col("fold") == fold))
+            errors.append(R.metrics(held_out, "label").head().rmse)
+        assert mean == pytest.approx(np.mean(errors), rel=0.1)
+
+
+def test_tuned_model_survives_a_reload(data, tmp_path):
+    model = T.tune(data, "forest", "label", {"numTrees": [2, 3]}, folds=2)
+    path = str(tmp_path / "model")
+    R.save_model(model, path)
+    again = R.load_tuned(path)
+    assert again.avgMetrics == pytest.approx(model.avgMetrics)
+    pairs = [sorted(m.transform(data).select("label", "prediction").collect()) for m in (model, again)]
+    assert pairs[0] == pairs[1]
+    assert len(R.grid_scores(model, data).collect()) == 2
+    with pytest.raises(ValueError):
+        T.tune(data, "forest", "label", {"maxBins": [8]})
+
+
+@pytest.mark.parametrize("penalty", [0.0, 0.1, 2.0])
+def test_ridge_from_sums_equals_the_estimator(rows, penalty):
+    known = M.Moments.of(M.moments(rows, PLAIN, "label"))
+    got = dict(zip(known.names, M.ridge(known.without(None), penalty)))
+    fitted = R.fit(rows, "linear", "label", PLAIN, regParam=penalty).stages[-1]
+    assert got["1"] == pytest.approx(fitted.intercept)
+    assert [got["x"], got["y"]] == pytest.approx(list(fitted.coefficients))
+
+
+def test_folds_by_subtraction_equal_fits_fold_by_fold(rows):
+    totals = M.moments(rows, CODED, "label", F.col("fold"))
+    ((penalty, mean, spread),) = M.ridge_scores(totals, [0.1])
+    whole = rows.na.drop()
+    errors = []
+    for fold in range(3):
+        known = M.Moments.of(M.moments(whole.filter(F.col("fold") != fold), CODED, "label"))
+        weights = dict(zip(known.names, M.ridge(known.without(None), 0.1)))
+        score = F.lit(weights["1"]) + F.col("x") * weights["x"] + F.col("y") * weights["y"]
+        for code in range(4):
+            score += F.when(F.col("code") == code, weights[f"code={code}"]).otherwise(0.0)
+        held_out = whole.filter(F.col("fold") == fold).withColumn("prediction", score)
+        errors.append(R.metrics(held_out, "label").head().rmse)
+    assert (mean, spread) == pytest.approx((np.mean(errors), np.std(errors)))
+
+
+def test_terms_are_bounded_and_constant_columns_take_no_part(spark, rows):
+    totals = M.moments(rows, CODED, "label")
+    with pytest.raises(ValueError):
+        M.Moments.of(totals, limit=3)
+    same = M.Moments.of(M.moments(rows.withColumn("y", F.lit(3.0)), PLAIN, "label"))
+    weights = dict(zip(same.names, M.ridge(same.without(None), 0.0)))
+    line = rows.agg(F.regr_slope("label", "x"), F.regr_intercept("label", "x")).first()
+    assert (weights["x"], weights["1"], weights["y"]) == pytest.approx((line[0], line[1], 0.0))
