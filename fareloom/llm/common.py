@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.session import scratch_path
+from fareloom.session import delete, scratch_path
 
 # Characters that part words; ``bytes.split()`` and this pattern agree on them.
 SPACES = " \t\n\v\f\r"
@@ -49,6 +49,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def replaced(df: DataFrame, label: str, old: list[str]) -> DataFrame:
+    """``stored``, after which the folders ``old`` are deleted; the new one is put there."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    for folder in old:
+        delete(df.sparkSession, folder)
+    old[:] = [path]
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def by_chunks(batch: pa.RecordBatch, texts: str, limit: int = CHUNK_BYTES) -> Iterator:
     """Slices of ``batch`` whose ``texts`` hold about ``limit`` bytes, one row at least."""
     n = batch.num_rows

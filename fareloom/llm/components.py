@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import stored
+from fareloom.llm.common import replaced
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -15,13 +15,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Large-star and small-star steps take turns until the edges stay the same, which
     takes a number of rounds that grows with the logarithm of the nodes. A step
     keeps no neighbourhood together: the smallest neighbour is an aggregate that
-    is joined back. Every round is written to the shared folder.
+    is joined back. Every round is written to the shared folder, where it takes the
+    place of the one before.
     """
-    edges = stored(
+    folder: list[str] = []
+    edges = replaced(
         edges.filter("a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct(),
         "edges",
+        folder,
     )
     before = fingerprint(edges)
     while before[0]:
@@ -36,7 +39,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(small, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         moved = moved.union(small.select("a", F.col("m").alias("b"))).distinct()
-        edges = stored(moved, "edges")
+        edges = replaced(moved, "edges", folder)
         after = fingerprint(edges)
         if after == before:
             break

@@ -5,7 +5,15 @@ segments. Two sets that link differ in at most H tokens, so if the segments'
 allowances (1 for a segment that must be equal, 2 for one that may differ in one
 token) add up to more than H, one segment keeps within its allowance: it is found
 by the hash of its tokens, or of its tokens without one. A cost model chooses the
-allowances of each band. Sets with a signature in common are compared exactly.
+allowances of each band. Sets with a signature in common are candidates.
+
+A candidate pair is compared by bitmaps first: every bit that is set in one of them only
+stands for a token that is in one of the sets only, so pairs with too many such bits
+cannot link. What is left is compared exactly, but never all pairs of a group: each set is
+compared with the nearest of those before it, what links is one component, and only
+sets of one signature in different components are looked at again, a few nearest
+pairs of each two components at a time, until every pair of a signature is linked,
+in one component, or refuted.
 
 Allowances add up to H + 1 + z. A set may then leave out empty segments, which say
 nothing, as long as they are z at most: two sets that link have z + 1 segments
@@ -22,7 +30,6 @@ from __future__ import annotations
 
 import functools
 import math
-from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,11 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fareloom.llm.common import LOWER, by_chunks, splitmix, stored
+from fareloom.llm.common import LOWER, by_chunks, replaced, splitmix, stored
 from fareloom.llm.components import connected_components
 
 COLLISION = 20.0  # cost of a segment with one token at most, in signatures
-BLOCK = 1000  # sets of a cluster compared in one task, with those of another block
+BLOCK = 1000  # sets of a signature compared in one task, with those of another block
+NEAREST, MORE = 8, 16  # pairs of two components compared at first, and times as many next
+BITS_PER_TOKEN = 4
 SAMPLE = 10_000  # documents in which common tokens are sought
 MAX_COMMON = 50_000
 SALTS = 16  # keys over which the rows of one set are dealt
@@ -206,18 +215,31 @@ def common_tokens(docs: DataFrame, rule: Rule) -> np.ndarray:
     return np.sort(rows["token"].to_numpy().view(np.uint64))
 
 
+def bitmap(tokens: np.ndarray) -> bytes:
+    """Bits that the tokens set, so many that most tokens have one of their own."""
+    size = 1 << max(6, (BITS_PER_TOKEN * len(tokens) - 1).bit_length())
+    bits = np.zeros(size, bool)
+    bits[tokens & np.uint64(size - 1)] = True
+    return np.packbits(bits).tobytes()
+
+
+def folded(bits: bytes, size: int) -> np.ndarray:
+    """The bitmap of ``size`` bytes that the same tokens set."""
+    return np.bitwise_or.reduce(np.frombuffer(bits, np.uint64).reshape(-1, size // 8))
+
+
 def signed_sets(df: DataFrame, rule: Rule, common: np.ndarray) -> DataFrame:
-    """doc_id, text_hash, n, key and signatures per row, written to the shared folder.
+    """doc_id, text_hash, n, key, signatures and bits per row, written to the shared folder.
 
-    A set's signatures are given once per partition, so copies add one row for each
-    partition at most.
+    A set's signatures and bitmap are given once per partition, so copies add one row for
+    each partition at most.
     """
 
     def run(batches):
         hashes, seen = WordHashes(), set()
         for batch in batches:
             for piece in by_chunks(batch, "text"):
-                sizes, keys, found = [], [], []
+                sizes, keys, found, bits = [], [], [], []
                 for text in piece.column(2).to_pylist():
                     tokens = shingles(text, rule.words, hashes)
                     key = set_key(tokens)
@@ -225,6 +247,7 @@ def signed_sets(df: DataFrame, rule: Rule, common: np.ndarray) -> DataFrame:
                     keys.append(key)
                     new = len(tokens) > 0 and key not in seen
                     found.append(signatures(tokens, rule, common) if new else np.zeros(0, np.int64))
+                    bits.append(bitmap(tokens) if new else None)
                     seen.add(key)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate(([0], np.cumsum([len(x) for x in found]))), pa.int32()),
@@ -232,60 +255,156 @@ def signed_sets(df: DataFrame, rule: Rule, common: np.ndarray) -> DataFrame:
                 )
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), piece.column(1), pa.array(sizes, pa.int64()),
-                     pa.array(keys, pa.int64()), lists],
-                    ["doc_id", "text_hash", "n", "key", "signatures"],
+                     pa.array(keys, pa.int64()), lists, pa.array(bits, pa.binary())],
+                    ["doc_id", "text_hash", "n", "key", "signatures", "bits"],
                 )
 
-    schema = "doc_id long, text_hash long, n long, key long, signatures array<long>"
+    schema = "doc_id long, text_hash long, n long, key long, signatures array<long>, bits binary"
     return stored(df.select("doc_id", "text_hash", "text").mapInArrow(run, schema), "signed")
 
 
-def candidate_edges(signed: DataFrame) -> DataFrame:
-    """(a, b): each key with the one before it under every signature they share."""
-    rows = signed.select(F.explode("signatures").alias("s"), F.col("key").alias("a"))
-    before = F.lag("a").over(Window.partitionBy("s").orderBy("a"))
-    return rows.withColumn("b", before).filter("a <> b").select("a", "b").distinct()
-
-
-def verified_links(rule: Rule, common: np.ndarray):
-    """Links between the sets of one task, as few as join what they join."""
-
-    def run(table: pa.Table) -> pa.Table:
-        keys = table["key"].to_numpy()
-        order = np.argsort(keys)
-        keys = keys[order]
-        data = table["tokens"].combine_chunks()
-        sets = [np.frombuffer(data[int(i)].as_buffer(), np.uint64) for i in order]
-        parent = list(range(len(sets)))
-
-        def root(i):
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
-        index = defaultdict(list)
-        left, right = [], []
-        for i, tokens in enumerate(sets):
-            tried = set()
-            for s in signatures(tokens, rule, common).tolist():
-                for j in index[s]:
-                    if j in tried or root(i) == root(j):
-                        continue
-                    tried.add(j)
-                    small, large = sorted((len(tokens), len(sets[j])))
-                    if rule.den * small < rule.num * large:
-                        continue
-                    at = np.searchsorted(sets[j], tokens)
-                    at[at == len(sets[j])] = 0
-                    if rule.link(int((sets[j][at] == tokens).sum()), small, large):
-                        left.append(keys[i])
-                        right.append(keys[j])
-                        parent[root(i)] = root(j)
-                index[s].append(i)
-        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
-
-    return run
+def sharing(signed: DataFrame) -> DataFrame:
+    """(s, key, before): sets that share a signature, and the one before in each."""
+    rows = signed.select(F.explode("signatures").alias("s"), "key")
+    ordered = Window.partitionBy("s").orderBy("key")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = rows.select(
+        "s", "key",
+        F.lag("key").over(ordered).alias("before"),
+        (F.first("key").over(whole) != F.last("key").over(whole)).alias("shared"),
+    )
+    # A set comes once from every partition that holds it.
+    return placed.filter("shared AND (before IS NULL OR before <> key)").drop("shared")
+
+
+def with_sets(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """Pairs (a, b) with ``columns`` of both sets, named after the side."""
+    for side in ("a", "b"):
+        own = sets.select(F.col("key").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
+        pairs = pairs.join(own, side)
+    return pairs
+
+
+def nearest_before(members: DataFrame, bits: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b): of the sets before ``a`` in a signature the one that its bitmap is nearest
+    to, if the bitmaps let the two link."""
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for a, b, n, x, m, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                size = min(len(x), len(y))
+                distance = int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum())
+                if distance <= rule.most_different(n, m):
+                    found.append((a, b, distance))
+            columns = zip(*found, strict=True) if found else ([], [], [])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns], ["a", "b", "distance"]
+            )
+
+    pairs = members.filter("before IS NOT NULL").select(
+        F.col("key").alias("a"), F.col("before").alias("b")
+    )
+    met = with_sets(pairs.distinct(), bits, "n", "bits")
+    met = met.select("a", "b", "n_a", "bits_a", "n_b", "bits_b")
+    near = met.mapInArrow(run, "a long, b long, distance long")
+    return near.groupBy("a").agg(F.min_by("b", F.struct("distance", "b")).alias("b"))
+
+
+def compared(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b, linked) of pairs (a, b), by all tokens; written to the shared folder."""
+
+    def run(batches):
+        for batch in batches:
+            linked = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                linked.append(rule.link(len(np.intersect1d(x, y, True)), len(x), len(y)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())],
+                ["a", "b", "linked"],
+            )
+
+    met = with_sets(pairs, sets, "tokens").select("a", "b", "tokens_a", "tokens_b")
+    return stored(met.mapInArrow(run, "a long, b long, linked boolean"), "compared")
+
+
+def rivals_of(group: list[tuple], i: int, j: int, rule: Rule, limit: int) -> list[tuple]:
+    """Pairs (a, b) of a group in different components whose bitmaps let them link and that
+    are not refuted: the ``limit`` nearest of each two components. Rows of the group
+    are (key, component, block, n, bits, refuted); with two blocks i and j a pair has
+    one set of each."""
+    group.sort(key=lambda row: row[0])
+    keys, parts, blocks, sizes, bits, refuted = zip(*group, strict=True)
+    width = min(map(len, bits))
+    maps = np.array([folded(b, width) for b in bits])
+    keys, parts, blocks, sizes = (np.array(x) for x in (keys, parts, blocks, sizes))
+    found: dict[tuple[int, int], list] = {}
+    for k in range(len(keys) - 1):
+        later = parts[k + 1 :] != parts[k]
+        if i != j:
+            later &= blocks[k + 1 :] != blocks[k]
+        at = k + 1 + np.flatnonzero(later)
+        if not len(at):
+            continue
+        distance = np.bitwise_count(maps[at] ^ maps[k]).sum(axis=1, dtype=np.int64)
+        near = distance <= (rule.den - rule.num) * (sizes[at] + sizes[k]) // (rule.den + rule.num)
+        for other, d in zip(at[near].tolist(), distance[near].tolist(), strict=True):
+            if refuted[k] and int(keys[other]) in refuted[k]:
+                continue
+            two = tuple(sorted((int(parts[k]), int(parts[other]))))
+            found.setdefault(two, []).append((d, int(keys[k]), int(keys[other])))
+    return [(a, b) for own in found.values() for _, a, b in sorted(own)[:limit]]
+
+
+def crossing(
+    members: DataFrame, bits: DataFrame, labels: DataFrame, refuted: DataFrame, rule: Rule, limit: int
+) -> DataFrame:
+    """Pairs (a, b) of one signature that may link and lie in different components."""
+    own = Window.partitionBy("s")
+    block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    mixed = (
+        members.join(labels, "key")
+        .select(
+            "s", "key", "component",
+            (F.min("component").over(own) != F.max("component").over(own)).alias("mixed"),
+            F.ceil(F.count("*").over(own) / BLOCK).cast("int").alias("blocks"),
+        )
+        .filter("mixed")
+        .withColumn("block", block)
+    )
+    others = refuted.union(refuted.select("b", "a")).groupBy("a").agg(F.collect_set("b").alias("refuted"))
+    dealt = (
+        mixed.join(bits, "key")
+        .join(others.withColumnRenamed("a", "key"), "key", "left")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "s", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+            "key", "component", "block", "n", "bits", "refuted",
+        )
+    )
+
+    def run(batches):
+        held, group = None, []
+
+        def pairs():
+            found = rivals_of(group, *held[1:], rule, limit) if len(group) > 1 else []
+            columns = zip(*found, strict=True) if found else ([], [])
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:3] != held:
+                    if len(group) > 1:
+                        yield pairs()
+                    held, group = row[:3], []
+                group.append((*row[3:8], frozenset(row[8] or ())))
+        if group:
+            yield pairs()
+
+    place = ["s", "i", "j"]
+    sorted_ = dealt.repartition(*place).sortWithinPartitions(*place)
+    return sorted_.mapInArrow(run, "a long, b long").distinct()
 
 
 def marked(hashes: DataFrame) -> np.ndarray:
@@ -332,36 +451,49 @@ def sets_of(docs: DataFrame, bits: np.ndarray, rule: Rule) -> DataFrame:
 def linked_sets(
     df: DataFrame, rule: Rule, id_col: str = "doc_id", text_col: str = "text"
 ) -> tuple[DataFrame, DataFrame]:
-    """Signed rows (doc_id, text_hash, n, key) and (key, component) of linked sets.
-
-    Copies meet by key. Candidate edges only say which sets to bring together: the
-    clusters they form are cut into blocks of ``BLOCK`` sets, and each pair of
-    blocks is a task that finds and verifies its own links.
-    """
+    """Signed rows (doc_id, text_hash, n, key) and (node, component) of sets that share a
+    signature with another."""
     docs = df.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
     ).withColumn("text_hash", F.xxhash64("text"))
     common = common_tokens(docs, rule)
     signed = signed_sets(docs, rule, common)
-    clusters = connected_components(candidate_edges(signed))
-    blocks = clusters.groupBy("component").count()
-    blocks = clusters.join(blocks, "component").select(
-        F.col("node").alias("key"),
-        F.col("component").alias("cluster"),
-        F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"),
+    members = stored(sharing(signed), "members")
+    asked = members.select("key").distinct()
+    known = (
+        signed.filter("bits IS NOT NULL")
+        .join(asked, "key", "left_semi")
+        .groupBy("key")
+        .agg(F.min("n").alias("n"), F.min("bits").alias("bits"), F.min("text_hash").alias("text_hash"))
     )
-    one_text = signed.filter("n > 0").groupBy("key").agg(F.min("text_hash").alias("text_hash"))
-    wanted = stored(blocks.join(one_text, "key"), "wanted")
-    sets = sets_of(docs, marked(wanted), rule).groupBy("key").agg(F.min("tokens").alias("tokens"))
-    block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    dealt = (
-        wanted.select("key", "cluster", "blocks", block.alias("block"))
-        .join(sets, "key")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .groupBy("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    known = stored(known, "known")
+    sets = sets_of(docs, marked(known), rule).groupBy("key").agg(F.min("tokens").alias("tokens"))
+    sets = stored(sets.join(known.select("key"), "key", "left_semi"), "sets")
+    bits = known.select("key", "n", "bits")
+    labels = known.select("key", F.col("key").alias("component"))
+    folder: list[str] = []
+    checked = compared(nearest_before(members, bits, rule), sets, rule)
+    refuted, limit = checked.filter("NOT linked").select("a", "b"), NEAREST
+    while True:
+        labels = replaced(merged(labels, checked.filter("linked")), "labels", folder)
+        rivals = stored(crossing(members, bits, labels, refuted, rule, limit), "rivals")
+        if rivals.isEmpty():
+            return signed.drop("signatures", "bits"), labels.withColumnRenamed("key", "node")
+        checked = compared(rivals, sets, rule)
+        refuted = refuted.union(checked.filter("NOT linked").select("a", "b"))
+        limit *= MORE
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (key, component) after ``links`` (a, b) between keys."""
+    for side in ("a", "b"):
+        own = labels.select(F.col("key").alias(side), F.col("component").alias(f"part_{side}"))
+        links = links.join(own, side)
+    parts = connected_components(links.select(F.col("part_a").alias("a"), F.col("part_b").alias("b")))
+    parts = parts.select(F.col("node").alias("component"), F.col("component").alias("root"))
+    return labels.join(parts, "component", "left").select(
+        "key", F.coalesce("root", "component").alias("component")
     )
-    links = stored(dealt.applyInArrow(verified_links(rule, common), "a long, b long"), "links")
-    return signed.drop("signatures"), connected_components(links)
 
 
 def jaccard_components(
@@ -428,5 +560,7 @@ def one_of_each(df: DataFrame, rule: Rule, id_col: str = "doc_id", text_col: str
         whole, F.col(id_col).cast("long").alias("own_id"), F.xxhash64(text_col).alias("own_hash")
     )
     match = F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_hash") == F.col("kept_hash"))
-    single = rows.join(kept, match, "left_semi").dropDuplicates(["own_id", "own_hash"])
+    # Of rows that agree in id and text, the one whose columns hash lowest.
+    held = rows.join(kept, match, "left_semi").groupBy("own_id", "own_hash")
+    single = held.agg(F.min_by("row", F.xxhash64("row")).alias("row"))
     return single.select("row.*").union(df.filter(wordless))

@@ -57,6 +57,7 @@ def near_copies(seed, groups=12, upto=120):
 @pytest.mark.parametrize("rule", [Rule(), Rule(5, 80, 100), Rule(1, 60, 100)])
 def test_equals_brute_force(spark, monkeypatch, rule):
     monkeypatch.setattr(J, "BLOCK", 3)
+    monkeypatch.setattr(J, "NEAREST", 1)
     rows = near_copies(rule.words, 30)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert sorted(map(tuple, jaccard_components(df, rule).collect())) == brute(rows, rule)
@@ -88,6 +89,30 @@ def test_linked_sets_share_a_signature(rule):
                     assert len(np.intersect1d(*own)), (size, len(b))
 
 
+def test_bitmaps_never_refute_a_link():
+    rng = np.random.default_rng(4)
+    for size in [*range(1, 40), 63, 64, 65, 500, 5000]:
+        a = rng.integers(0, 1 << 63, size).astype(np.uint64)
+        b = np.concatenate([a[rng.random(size) > 0.1], rng.integers(0, 1 << 63, size // 8).astype(np.uint64)])
+        x, y = J.bitmap(a), J.bitmap(b)
+        width = min(len(x), len(y))
+        apart = int(np.bitwise_count(J.folded(x, width) ^ J.folded(y, width)).sum())
+        assert apart <= len(np.setxor1d(a, b))
+
+
+def test_chain_whose_ends_do_not_link(spark):
+    """Every set links with its neighbours in the chain alone: one long component, and sets
+    beside it that share passages but link with none."""
+    words = [f"w{i}" for i in range(700)]
+    rows = [(i, " ".join(words[3 * i : 3 * i + 100])) for i in range(150)]
+    rows += [(500 + i, " ".join(words[40 * i : 40 * i + 50] + [f"x{i}y{k}" for k in range(60)])) for i in range(9)]
+    rule = Rule(3, 80, 100)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(map(tuple, jaccard_components(df, rule).collect()))
+    assert got == brute(rows, rule)
+    assert len({r[2] for r in got if r[0] < 500}) == 1
+
+
 def test_common_tokens_are_shared_by_different_sizes(spark):
     line = "one line that many texts of any size hold"
     rows = [(i, " ".join([f"a{i}x{k}" for k in range(5 + 9 * i)] + [line])) for i in range(12)]
@@ -110,6 +135,9 @@ def test_edge_rows(spark):
     single = one_of_each(df, Rule(5, 80, 100))
     assert single.columns == df.columns
     assert sorted(r.doc_id for r in single.collect()) == [3, 4, 7, 8, 9, 20]
+    twins = df.filter("doc_id = 4").withColumn("n_shingles", F.explode(F.array(*map(F.lit, "pqrst"))))
+    kept = {one_of_each(twins.repartition(n, "n_shingles"), Rule(5, 80, 100)).first() for n in (1, 4)}
+    assert len(kept) == 1
 
 
 def test_shingles_of_short_texts():
