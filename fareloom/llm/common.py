@@ -96,6 +96,16 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with columns c0, c1, ... whatever they are called; ``toDF`` gives names back."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
+def number_of(df: DataFrame, name: str) -> str:
+    """What ``numbered`` calls a column; the name counts as it is written."""
+    return f"c{df.columns.index(name)}"
+
+
 def splitmix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser on unsigned 64-bit integers."""
     x = x + np.uint64(0x9E3779B97F4A7C15)

@@ -39,7 +39,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fareloom.llm.common import LOWER, by_chunks, replaced, splitmix, stored
+from fareloom.llm.common import (
+    LOWER,
+    by_chunks,
+    number_of,
+    numbered,
+    replaced,
+    splitmix,
+    stored,
+)
 from fareloom.llm.components import connected_components
 
 COLLISION = 20.0  # cost of a segment with one token at most, in signatures
@@ -545,8 +553,14 @@ def by_component(some: DataFrame, components: DataFrame, *measures) -> DataFrame
 
 def one_of_each(df: DataFrame, rule: Rule, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` without near copies: of each component the row with the smallest id
-    (null ids last), then the smallest text hash. Rows without words all stay."""
-    signed, components = linked_sets(df, rule, id_col, text_col)
+    (null ids last), then the smallest text hash, then the smallest hash of all columns.
+
+    Rows without words (null, empty, spaces) all stay, repeated ones too. Of repeated
+    rows with words one stays. An empty table gives an empty result. Further columns
+    may have any names.
+    """
+    rows, id_, text = numbered(df), number_of(df, id_col), number_of(df, text_col)
+    signed, components = linked_sets(rows, rule, id_, text)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
     keys = by_component(signed.filter("n > 0"), components, F.min(order).alias("first"))
     kept = (
@@ -554,13 +568,13 @@ def one_of_each(df: DataFrame, rule: Rule, id_col: str = "doc_id", text_col: str
         .agg(F.min("first").alias("k"))
         .select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_hash").alias("kept_hash"))
     )
-    wordless = ~F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    whole = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
-    rows = df.filter(~wordless).select(
-        whole, F.col(id_col).cast("long").alias("own_id"), F.xxhash64(text_col).alias("own_hash")
+    wordless = ~F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    worded = rows.filter(~wordless).select(
+        F.struct(*rows.columns).alias("row"),
+        F.col(id_).cast("long").alias("own_id"),
+        F.xxhash64(text).alias("own_hash"),
     )
     match = F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_hash") == F.col("kept_hash"))
-    # Of rows that agree in id and text, the one whose columns hash lowest.
-    held = rows.join(kept, match, "left_semi").groupBy("own_id", "own_hash")
+    held = worded.join(kept, match, "left_semi").groupBy("own_id", "own_hash")
     single = held.agg(F.min_by("row", F.xxhash64("row")).alias("row"))
-    return single.select("row.*").union(df.filter(wordless))
+    return single.select("row.*").union(rows.filter(wordless)).toDF(*df.columns)

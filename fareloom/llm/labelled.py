@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import stored
+from fareloom.llm.common import id_and_text, number_of, numbered, stored
 
 # Bound on the labelled rows that a classifier is fitted on.
 MAX_LABELLED = 20_000
@@ -36,7 +36,7 @@ def labelled_sample(
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(limit)
     )
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    own = id_and_text(numbered(docs), number_of(docs, id_col), number_of(docs, text_col))
     own = own.filter(F.length("text") <= MAX_CHARS)
     # The sample is bounded by ``limit`` narrow rows, so it may be sent to all tasks.
     found = own.join(F.broadcast(chosen), "doc_id")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from fareloom.llm.common import by_chunks, id_and_text
+from fareloom.llm.common import by_chunks, id_and_text, number_of, numbered
 from fareloom.llm.word_ids import MAX_WORDS, word_ids
 
 WINDOW = 4096
@@ -198,4 +198,5 @@ def pack(
         packer.finish()
         yield written()
 
-    return id_and_text(df, id_col, text_col).mapInArrow(run, SCHEMA)
+    rows = id_and_text(numbered(df), number_of(df, id_col), number_of(df, text_col))
+    return rows.mapInArrow(run, SCHEMA)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import SPACES, by_chunks, ship, stored
+from fareloom.llm.common import SPACES, by_chunks, number_of, numbered, ship, stored
 
 RIDGE = 1.0
 LEAST_STRENGTH, MOST_STRENGTH = 1.0, 1e6  # of a prior, in documents
@@ -232,20 +232,19 @@ def good_documents(
     path_col: str = "lang",
     cut: float = 0.5,
 ) -> DataFrame:
-    """The rows of ``df`` that ``quality`` keeps, with all their columns."""
+    """The rows of ``df`` that ``quality`` keeps, with all their columns, which may have
+    any names. Nulls, empty and repeated rows and tables count as there."""
     if model.weights is None:
         return df
-    own = df.select(
-        F.col(text_col).alias("text"), site(host_col).alias("host"), site(path_col).alias("path")
+    rows, text = numbered(df), number_of(df, text_col)
+    rows = rows.select(
+        "*",
+        site(number_of(df, host_col)).alias("host"),
+        site(number_of(df, path_col)).alias("path"),
     )
+    own = rows.select(F.col(text).alias("text"), "host", "path")
     scored = scored_documents(own, model, "text", "p").select("host", "path", "p")
     rates = stored(site_rates(scored), "rates")
-    name = "p"
-    while name in df.columns:
-        name += "_"
-    whole = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
-    rows = scored_documents(df, model, text_col, name).select(
-        whole, site(host_col).alias("host"), site(path_col).alias("path"), F.col(name).alias("p")
-    )
     _, p = posterior(F.col("p"), model)
-    return rows.join(rates, ["host", "path"]).filter(p >= cut).select("row.*")
+    kept = scored_documents(rows, model, text, "p").join(rates, ["host", "path"]).filter(p >= cut)
+    return kept.select(*numbered(df).columns).toDF(*df.columns)

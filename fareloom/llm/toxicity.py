@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import WORD, by_chunks, id_and_text, map_texts
+from fareloom.llm.common import WORD, by_chunks, id_and_text, map_texts, number_of, numbered
 
 GRADES = 3
 PREFIXES = (4, 5, 6)
@@ -275,13 +275,16 @@ def severity(
 
 
 def without_toxic(df: DataFrame, model: SeverityModel, text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that ``severity`` does not reject, with all their columns."""
+    """The rows of ``df`` that ``severity`` does not reject, with all their columns, which
+    may have any names. Null and empty texts stay unless the model rejects texts without
+    marks; repeated rows are judged one by one; an empty table gives an empty result."""
+    rows, text = numbered(df), number_of(df, text_col)
 
     def run(batches):
         for batch in batches:
-            for piece in by_chunks(batch, text_col):
-                at = piece.schema.get_field_index(text_col)
+            for piece in by_chunks(batch, text):
+                at = piece.schema.get_field_index(text)
                 keep = [model.score(t)[3] == 0 for t in piece.column(at).to_pylist()]
                 yield piece.filter(pa.array(keep, pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return rows.mapInArrow(run, rows.schema).toDF(*df.columns)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from fareloom.llm.common import stored
 from fareloom.llm.jaccard_join import one_of_each
 from tests.llm.test_jaccard_join import brute
@@ -49,3 +50,20 @@ def test_stages_take_empty_and_odd_tables(spark, sf_dir):
             assert name == "packing" or out.columns == odd.columns
             out.collect()
     assert one_of_each(odd, corpus_pipeline.NEAR).count() == 4
+
+
+def test_stages_take_columns_of_any_name(spark, sf_dir):
+    """Further columns that are called as internal ones, in another case, or oddly."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    inner = "p host path row own_id own_hash c0 c1 key component n s a b label found share rank P TEXT Doc_Id"
+    odd = [*inner.split(), "p.q", "back`tick", "a b"]
+    wide = docs.select("*", *(F.lit(i).alias(f"x{i}") for i in range(len(odd))))
+    wide = wide.toDF(*docs.columns, *odd)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, wide, sf_dir)
+        if name == "packing":
+            assert out.count() > 0
+            continue
+        assert out.columns == wide.columns
+        rows = out.collect()
+        assert rows and all(tuple(r)[len(docs.columns) :] == tuple(range(len(odd))) for r in rows)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -62,6 +63,43 @@ def test_thresholds_share_the_weights():
     assert abs(cuts[0] / weights[0] - 1.5) < 0.15 and abs(cuts[1] / weights[0] - 2.5) < 0.2
 
 
+def test_fit_has_the_largest_likelihood():
+    """Against the likelihood written out: no step away from the fit raises it."""
+    rng = np.random.default_rng(7)
+    n, width, levels = 300, 3, 2
+    x = rng.integers(0, 3, (n, width)).astype(float)
+    link = x @ np.array([1.0, 0.5, -0.7]) + rng.logistic(0, 1, n)
+    grades = np.searchsorted([0.5, 2.0], link)
+    rows, columns = np.nonzero(x)
+    prior = np.zeros(width)
+    weights, cuts = fit_cumulative_link(x[rows, columns], rows, columns, grades, prior, levels, 3000)
+
+    def likelihood(w, t):
+        total = -0.5 * 1e-4 * n * sum(v * v for v in w)
+        for features, grade in zip(x, grades):
+            above = [1.0, *(1 / (1 + math.exp(c - float(features @ w))) for c in t), 0.0]
+            total += math.log(above[grade] - above[grade + 1])
+        return total
+
+    best = likelihood(weights, cuts)
+    for i in range(width + levels):
+        for step in (-0.05, 0.05):
+            moved = np.concatenate([weights, cuts])
+            moved[i] += step
+            assert likelihood(moved[:width], moved[width:]) < best
+
+
+def test_expected_severity_written_out():
+    model = SeverityModel({"bad": 1.2, "awf-": 0.4}, (0.3, 1.0, 2.5))
+    link = 1.2
+    above = [1 / (1 + math.exp(t - link)) for t in model.thresholds]
+    chance = [1 - above[0], above[0] - above[1], above[1] - above[2], above[2]]
+    n, p, expected, grade = model.score("Bad, good")
+    assert (n, p) == (1, pytest.approx(above[0]))
+    assert expected == pytest.approx(sum(g * c for g, c in enumerate(chance)))
+    assert grade == sum(a >= 0.5 for a in above)
+
+
 def test_edge_rows(spark, tables):
     docs, labels = tables
     model = fit_severity(labelled_sample(docs, labels, "toxic"))
