@@ -250,6 +250,43 @@ TOP_MEANS = over(
           GROUP BY payment_type) m USING (payment_type)
     WHERE NOT trains AND total_amount IS NOT NULL ORDER BY total_amount DESC, {KEY} LIMIT 100""",
 )
+SLIDING_SPIKES = over(
+    "news",
+    """SELECT window_start, window_start + INTERVAL '10' MINUTE AS window_end,
+     article_id AS articles_with_spike_in_views, count(*) AS "count"
+    FROM (SELECT article_id, unnest([time_bucket(INTERVAL '5' MINUTE, timestamp),
+       time_bucket(INTERVAL '5' MINUTE, timestamp) - INTERVAL '5' MINUTE]) AS window_start FROM news) n
+    GROUP BY 1, 3 HAVING count(*) > 250""",
+)
+SLIDING_SESSIONS = over(
+    "news",
+    """SELECT window_start, window_start + INTERVAL '15' MINUTE AS window_end, location,
+     count(DISTINCT session_id) AS active_sessions, true AS within
+    FROM (SELECT location, session_id, time_bucket(INTERVAL '5' MINUTE, timestamp)
+           - unnest([0, 5, 10]) * INTERVAL '1' MINUTE AS window_start FROM news) n
+    GROUP BY 1, 3""",
+)
+ISLANDS = over(
+    "news",
+    """SELECT min(timestamp) AS window_start, max(timestamp) + INTERVAL '30' SECOND AS window_end,
+     user_id, count(*) AS "count" FROM (
+      SELECT user_id, timestamp,
+       sum(CASE WHEN timestamp <= before + INTERVAL '30' SECOND THEN 0 ELSE 1 END)
+         OVER (PARTITION BY user_id ORDER BY timestamp ROWS UNBOUNDED PRECEDING) AS island
+      FROM (SELECT user_id, timestamp, lag(timestamp) OVER (PARTITION BY user_id ORDER BY timestamp)
+             AS before FROM news) l) i
+    GROUP BY user_id, island""",
+)
+AS_OF = over(
+    "prepared",
+    f"""SELECT p.*, v.Zone, v.valid_from FROM (
+     SELECT {KEY}, tpep_pickup_datetime, PULocationID FROM prepared) p
+    ASOF LEFT JOIN (
+     SELECT LocationID, concat(Zone, ' ', v) AS Zone,
+      TIMESTAMP '1992-01-01 00:00:00' + (LocationID * 37 + v * 500) * INTERVAL '1' DAY AS valid_from
+     FROM ({ZONES}) z, (SELECT unnest(range(5)) AS v) n) v
+    ON p.PULocationID = v.LocationID AND p.tpep_pickup_datetime >= v.valid_from""",
+)
 TERMS = ", ".join(
     ["{'n': '1', 'v': 1E0}"]
     + [f"{{'n': '{c}', 'v': CAST({c} AS DOUBLE)}}" for c in CLEAN[:4]]
@@ -269,6 +306,22 @@ CLOSED = f"(SELECT max(timestamp) - INTERVAL '10' MINUTE FROM ({NEWS}) n)"
 ORACLE = {
     "ml_exact_linear": LINE,
     "ml_moments": MOMENTS,
+    "panes_finance_by_country": FINANCE,
+    "panes_device_usage": DEVICES,
+    "panes_article_spikes": SPIKES,
+    "panes_bot_users": BOTS,
+    "panes_sliding_spikes": SLIDING_SPIKES,
+    "sliding_sessions_error": SLIDING_SESSIONS,
+    "user_sessions": ISLANDS,
+    "stream_user_sessions_append": f"SELECT * FROM ({ISLANDS}) w WHERE window_end <= {CLOSED}",
+    "join_zone_as_of": AS_OF,
+    "sample_per_payment": over(
+        "prepared",
+        f"""SELECT {KEY}, payment_type, total_amount FROM (
+         SELECT *, row_number() OVER (PARTITION BY payment_type
+           ORDER BY md5(concat_ws('|', {KEY})), {KEY}) AS place FROM prepared) p
+        WHERE place <= 50""",
+    ),
     "ml_exact_tree": group_means("total_amount"),
     "ml_exact_tree_tip": group_means("tip_amount"),
     "ml_exact_forest_distance": group_means("trip_distance"),

@@ -21,7 +21,14 @@ from fareloom.operators import (
     numeric_columns,
     small_side,
 )
-from fareloom.operators.split import sample_by_key
+from fareloom.operators.asof import as_of
+from fareloom.operators.split import bottom_k, sample_by_key
+from fareloom.operators.windows import (
+    pane_sketches,
+    session_windows,
+    united_distinct,
+    windowed_distinct,
+)
 from fareloom.operators.joins import role_of
 from fareloom.operators.topk import with_speed
 from fareloom.plans import news as N
@@ -44,6 +51,7 @@ _once_lock = RLock()
 # Of the streams, whatever the size of the input.
 FILES_PER_TRIGGER = 2
 STATE_PARTITIONS = 8
+SESSION_GAP = "30 seconds"
 
 
 def once(spark: SparkSession, name: str, sf_dir: str, build):
@@ -246,6 +254,12 @@ def sample_of_keys(spark, d):
     return sample_by_key(prepared(spark, d).select(*KEY, "total_amount"), SPLIT_WEIGHTS)
 
 
+def sample_per_payment(spark, d):
+    """Fifty trips of each kind of payment, whatever the partitions."""
+    rows = prepared(spark, d).select(*KEY, "payment_type", "total_amount")
+    return bottom_k(rows, KEY, 50, ["payment_type"])
+
+
 def train_test_split(spark, d):
     return assign_split(prepared(spark, d).select(*KEY), SPLIT_WEIGHTS)
 
@@ -263,6 +277,26 @@ def join_both_zones(spark, d):
     return P.add_zones(fact, zones(spark, d))
 
 
+def zone_versions(spark, d):
+    """Zones that change their name every 500 days, each from another day on."""
+    days = F.expr("make_interval(0, 0, 0, LocationID * 37 + v * 500)")
+    every = zones(spark, d).select("*", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("v"))
+    return every.select(
+        "LocationID",
+        (F.expr("TIMESTAMP_NTZ '1992-01-01 00:00:00'") + days).alias("valid_from"),
+        F.concat("Zone", F.lit(" "), F.col("v").cast("string")).alias("Zone"),
+    )
+
+
+def join_zone_as_of(spark, d):
+    """Trips with the name that their pickup zone had at the time."""
+    fact = prepared(spark, d).select(*KEY, P.PICKUP, "PULocationID")
+    versions = zone_versions(spark, d)
+    return plain_times(
+        as_of(fact, versions, "PULocationID", P.PICKUP, "LocationID", "valid_from", ["Zone"])
+    )
+
+
 # --- profiles ------------------------------------------------------------------
 
 
@@ -319,6 +353,58 @@ def active_sessions_error(spark, d):
     return plain_times(both.select(*keys, "active_sessions", within.alias("within")))
 
 
+def sliding_sessions_error(spark, d):
+    """Exact sessions of sliding windows, and whether the estimate from stored sketches of
+    minutes lies within three deviations."""
+    events, keys = news(spark, d), ["window_start", "window_end", "location"]
+
+    def build():
+        path = scratch_path(spark, "sketches")
+        save_table(pane_sketches(events, "timestamp", N.PANE, ["location"], "session_id"), path)
+        return path
+
+    panes = load_table(spark, once(spark, "sketches", d, build))
+    estimate = united_distinct(panes, "15 minutes", ["location"], "5 minutes", "estimate")
+    slid = events.withColumn("timestamp", F.explode(F.array(*(
+        F.col("timestamp") - F.expr(f"INTERVAL {m} MINUTES") for m in (0, 5, 10)
+    ))))
+    starts = windowed_distinct(slid, "timestamp", "5 minutes", ["location"], "session_id", exact=True)
+    exact = starts.withColumn("window_end", F.col("window_start") + F.expr("INTERVAL 15 MINUTES"))
+    both = exact.join(estimate, keys)
+    known = F.col("distinct_count")
+    within = F.abs(F.col("estimate") - known) <= 3 * 1.04 / 64 * known + 1
+    return plain_times(both.select(*keys, known.alias("active_sessions"), within.alias("within")))
+
+
+def user_sessions(spark, d):
+    return plain_times(session_windows(news(spark, d), "timestamp", SESSION_GAP, ["user_id"]))
+
+
+def stream_user_sessions_append(spark, d):
+    """Sessions that have ended for certain, merged in state."""
+    events = event_stream(spark, d).withWatermark("timestamp", "10 minutes")
+    sessions = session_windows(events, "timestamp", SESSION_GAP, ["user_id"])
+    return plain_times(run_append(sessions, scratch_path(spark, "stream"), STATE_PARTITIONS))
+
+
+def stream_panes(spark, d):
+    """The result of the one stream behind all queries on panes."""
+
+    def build():
+        path = scratch_path(spark, "panes")
+        return run_complete(N.minute_panes(event_stream(spark, d)), path, None, STATE_PARTITIONS)
+
+    return once(spark, "panes", d, build)
+
+
+def paned(facet, width, name, slide=None, min_count=None):
+    def run(spark, d):
+        panes = stream_panes(spark, d)
+        return plain_times(N.from_panes(panes, facet, width, name, slide, min_count))
+
+    return run
+
+
 # --- regression -------------------------------------------------------------------
 
 
@@ -544,10 +630,12 @@ QUERIES = {
     "numeric_columns": numeric_columns_of_trips,
     "sample_rows": sample_rows,
     "sample_of_keys": sample_of_keys,
+    "sample_per_payment": sample_per_payment,
     "train_test_split": train_test_split,
     # joins
     "join_pickup_zone": join_pickup_zone,
     "join_both_zones": join_both_zones,
+    "join_zone_as_of": join_zone_as_of,
     # profiles
     "null_counts": lambda s, d: null_counts(profiled(s, d)),
     "describe_columns": lambda s, d: describe_columns(profiled(s, d), digits=6),
@@ -576,6 +664,19 @@ QUERIES = {
     "stream_device_usage_append": stream_device_usage_append,
     "stream_active_sessions_append": stream_active_sessions_append,
     "active_sessions_error": active_sessions_error,
+    "sliding_sessions_error": sliding_sessions_error,
+    "user_sessions": user_sessions,
+    "stream_user_sessions_append": stream_user_sessions_append,
+    # from the panes of one stream
+    "panes_finance_by_country": paned("finance", N.FINANCE_WIDTH, "location"),
+    "panes_device_usage": paned("device", N.DEVICE_WIDTH, "device_type"),
+    "panes_article_spikes": paned(
+        "article", N.SPIKE_WIDTH, N.SPIKE_COLUMN, min_count=N.SPIKE_VIEWS
+    ),
+    "panes_bot_users": paned("user", N.BOT_WIDTH, N.BOT_COLUMN, min_count=N.BOT_VIEWS),
+    "panes_sliding_spikes": paned(
+        "article", N.SPIKE_WIDTH, N.SPIKE_COLUMN, "5 minutes", N.SPIKE_VIEWS
+    ),
     # regression
     "onehot_codes": onehot_codes,
     "assemble_features": assemble_features,

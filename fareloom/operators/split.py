@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fareloom.functions import key_bucket
@@ -20,6 +21,21 @@ def sample_by_key(df: DataFrame, weights: Mapping[str, int], buckets: int = 100)
     return df.filter(key_bucket(weights, buckets, shift=7) == 0)
 
 
+def bottom_k(df: DataFrame, keys: Sequence[str], k: int, strata: Sequence[str] = ()) -> DataFrame:
+    """Exactly ``k`` rows (all, if fewer), of each stratum if ``strata`` are given: those
+    whose key hashes lowest.
+
+    The sample follows from the keys alone, not from partitions or cores, and the sample
+    of a union is a sample of the samples. Every task hands on ``k`` rows a stratum.
+    """
+    draw = F.md5(F.concat_ws("|", *(F.col(c).cast("string") for c in keys)))
+    drawn = df.withColumn("_draw", draw)
+    if not strata:
+        return drawn.orderBy("_draw", *keys).limit(k).drop("_draw")
+    place = F.row_number().over(W.partitionBy(*strata).orderBy("_draw", *keys))
+    return drawn.withColumn("_place", place).filter(F.col("_place") <= k).drop("_draw", "_place")
+
+
 def assign_split(
     df: DataFrame,
     weights: Mapping[str, int],

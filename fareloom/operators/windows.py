@@ -53,3 +53,47 @@ def windowed_distinct(
     measure = F.count_distinct(column) if exact else F.approx_count_distinct(column, rsd)
     counted = _per_window(df, ts, width, keys, measure, name)
     return counted if min_count is None else counted.filter(F.col(name) > min_count)
+
+
+def pane_sketches(
+    df: DataFrame, ts: str, pane: str, keys: Sequence[str], column: str, lg_k: int = 12
+) -> DataFrame:
+    """(pane_start, keys, sketch): a sketch of the distinct values of ``column`` per pane.
+
+    Write them once: any window made of whole panes follows from them without the
+    events. A sketch takes 2**``lg_k`` buckets; its relative deviation is about
+    1.04 / 2**(``lg_k`` / 2).
+    """
+    grouped = df.groupBy(F.window(ts, pane).alias("pane"), *keys)
+    sketched = grouped.agg(F.hll_sketch_agg(column, lg_k).alias("sketch"))
+    return sketched.select(F.col("pane.start").alias("pane_start"), *keys, "sketch")
+
+
+def united_distinct(
+    panes: DataFrame,
+    width: str,
+    keys: Sequence[str],
+    slide: str | None = None,
+    name: str = "distinct_count",
+) -> DataFrame:
+    """Estimated distinct values per window of ``pane_sketches``; ``width`` and ``slide``
+    are multiples of the pane. Sketches are united in each task before the shuffle."""
+    grouped = panes.groupBy(F.window("pane_start", width, slide).alias("window"), *keys)
+    united = grouped.agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(name))
+    return united.select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, name
+    )
+
+
+def session_windows(
+    df: DataFrame, ts: str, gap: str, keys: Sequence[str], name: str = "count"
+) -> DataFrame:
+    """Rows per session of a key: rows no further than ``gap`` from the one before belong
+    together. A session ends ``gap`` after its last row.
+
+    On a stream with a watermark, sessions merge in state and leave it when they end.
+    """
+    grouped = df.groupBy(F.session_window(ts, gap).alias("window"), *keys)
+    return grouped.agg(F.count(F.lit(1)).alias(name)).select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, name
+    )

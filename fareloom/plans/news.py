@@ -121,3 +121,45 @@ def bot_users_distinct_articles(events: DataFrame) -> DataFrame:
         name="articles",
     )
     return counted.withColumnRenamed("user_id", BOT_COLUMN)
+
+
+# Panes: one count per minute for all of these queries, kept by one stream.
+
+PANE = "1 minute"
+
+
+def facets(events: DataFrame) -> DataFrame:
+    """(timestamp, facet, name): a row for each thing that a view counts for."""
+    every = {
+        "finance": F.when(F.col("category") == "finance", F.struct(F.col("location").alias("name"))),
+        "device": F.struct(F.col("device_type").alias("name")),
+        "article": F.struct(F.col("article_id").alias("name")),
+        "user": F.struct(F.col("user_id").alias("name")),
+    }
+    rows = F.array(*(F.struct(F.lit(f).alias("facet"), n.alias("held")) for f, n in every.items()))
+    counted = events.select("timestamp", F.inline(rows)).filter("held IS NOT NULL")
+    return counted.select("timestamp", "facet", F.col("held.name").alias("name"))
+
+
+def minute_panes(events: DataFrame) -> DataFrame:
+    """Views per minute, facet and name, for a static table or a stream."""
+    return windowed_count(facets(events), "timestamp", PANE, ["facet", "name"])
+
+
+def from_panes(
+    panes: DataFrame,
+    facet: str,
+    width: str,
+    name: str,
+    slide: str | None = None,
+    min_count: int | None = None,
+) -> DataFrame:
+    """Views per window of whole panes; with ``min_count`` only groups strictly above it."""
+    own = panes.filter(F.col("facet") == facet).withColumnRenamed("name", name)
+    summed = own.groupBy(F.window("window_start", width, slide).alias("w"), name).agg(
+        F.sum("count").alias("count")
+    )
+    counted = summed.select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), name, "count"
+    )
+    return counted if min_count is None else counted.filter(F.col("count") > min_count)

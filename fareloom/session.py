@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Sessions of a hot key are merged in each task before the shuffle.
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 # Stream state on local disk, with its changes uploaded to the checkpoint, instead

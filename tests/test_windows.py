@@ -118,3 +118,52 @@ def test_top_countries_per_window(spark):
     df = views(spark, rows).withColumn("category", F.lit("finance"))
     top = news.top_countries(news.finance_by_country(df)).collect()
     assert sorted(r.location for r in top) == sorted([f"c{c:02}" for c in range(2, 12)] * 2)
+
+
+def test_sketches_of_panes_unite_without_the_events(spark):
+    """Sliding and wide windows, a hot value, nulls; equal to one sketch of the whole."""
+    from fareloom.operators.windows import pane_sketches, united_distinct
+
+    rows = [view(i % 3600, session=f"s{i % 900}" if i % 3 else "hot", country=f"c{i % 2}") for i in range(6000)]
+    rows += [view(5, session=None)]
+    df = views(spark, rows)
+    panes = pane_sketches(df, "timestamp", "1 minute", ["location"], "session_id")
+    for width, slide in (("15 minutes", "5 minutes"), ("1 hour", None)):
+        united = united_distinct(panes, width, ["location"], slide).collect()
+        exact = df.groupBy(F.window("timestamp", width, slide), "location").agg(
+            F.count_distinct("session_id").alias("n"), F.approx_count_distinct("session_id").alias("a")
+        )
+        known = {(r.window.start, r.location): r.n for r in exact.collect()}
+        assert {(r.window_start, r.location) for r in united} == set(known)
+        for r in united:
+            n = known[r.window_start, r.location]
+            assert abs(r.distinct_count - n) <= 3 * 1.04 / 64 * n + 1
+
+
+def test_sessions_by_gaps(spark):
+    from fareloom.operators.windows import session_windows
+
+    seconds = [0, 10, 20, 31, 100, 100, 110]  # a gap of exactly 10 does not part
+    df = views(spark, [view(s) for s in seconds] + [view(5, user="other"), view(None)])
+    got = session_windows(df.repartition(5), "timestamp", "10 seconds", ["user_id"]).collect()
+    spans = sorted(
+        (r.user_id, (r.window_start - START).seconds, (r.window_end - START).seconds, r["count"]) for r in got
+    )
+    assert spans == [("other", 5, 15, 1), ("u", 0, 30, 3), ("u", 31, 41, 1), ("u", 100, 120, 3)]
+
+
+def test_panes_equal_the_queries_they_replace(spark):
+    rows = [view(i * 7 % 1200, user=f"u{i % 5}", article="hot" if i % 3 else f"a{i % 7}", country=None if i % 9 == 0 else "x") for i in range(3000)]
+    df = views(spark, rows).withColumns(
+        {"category": F.when(F.col("user_id") != "u1", "finance"), "device_type": F.lit("d")}
+    )
+    panes = news.minute_panes(df).cache()
+    pairs = [
+        (news.finance_by_country(df), news.from_panes(panes, "finance", "15 minutes", "location")),
+        (news.device_usage(df), news.from_panes(panes, "device", "1 minute", "device_type")),
+        (news.article_spikes(df), news.from_panes(panes, "article", "10 minutes", "x", min_count=250)),
+        (news.bot_users(df), news.from_panes(panes, "user", "1 minute", "x", min_count=20)),
+    ]
+    for wanted, got in pairs:
+        rows = sorted(map(tuple, wanted.collect()), key=repr)
+        assert rows and rows == sorted(map(tuple, got.collect()), key=repr)
