@@ -11,9 +11,9 @@ A candidate pair is compared by bitmaps first: every bit that is set in one of t
 stands for a token that is in one of the sets only, so pairs with too many such bits
 cannot link. What is left is compared exactly, but never all pairs of a group: each set is
 compared with the nearest of those before it, what links is one component, and only
-sets of one signature in different components are looked at again, a few nearest
-pairs of each two components at a time, until every pair of a signature is linked,
-in one component, or refuted.
+sets of one signature in different components are looked at again: the ``NEAREST`` pairs
+of each two components, and more as long as there are more, until every pair of a
+signature is linked, in one component, or refuted.
 
 Allowances add up to H + 1 + z. A set may then leave out empty segments, which say
 nothing, as long as they are z at most: two sets that link have z + 1 segments
@@ -52,8 +52,8 @@ from fareloom.llm.components import connected_components
 
 COLLISION = 20.0  # cost of a segment with one token at most, in signatures
 BLOCK = 1000  # sets of a signature compared in one task, with those of another block
-NEAREST, MORE = 8, 16  # pairs of two components compared at first, and times as many next
-BITS_PER_TOKEN = 4
+NEAREST, MORE = 1000, 16  # pairs of two components compared at first, and times as many next
+BITS_PER_TOKEN = 1
 SAMPLE = 10_000  # documents in which common tokens are sought
 MAX_COMMON = 50_000
 SALTS = 16  # keys over which the rows of one set are dealt
@@ -338,9 +338,9 @@ def compared(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
 
 def rivals_of(group: list[tuple], i: int, j: int, rule: Rule, limit: int) -> list[tuple]:
-    """Pairs (a, b) of a group in different components whose bitmaps let them link and that
-    are not refuted: the ``limit`` nearest of each two components. Rows of the group
-    are (key, component, block, n, bits, refuted); with two blocks i and j a pair has
+    """Pairs (a, b, more) of a group in different components whose bitmaps let them link and
+    that are not refuted: the ``limit`` nearest of each two components, and whether there
+    are more of these. Rows of the group are (key, component, block, n, bits, refuted); with two blocks i and j a pair has
     one set of each."""
     group.sort(key=lambda row: row[0])
     keys, parts, blocks, sizes, bits, refuted = zip(*group, strict=True)
@@ -362,13 +362,14 @@ def rivals_of(group: list[tuple], i: int, j: int, rule: Rule, limit: int) -> lis
                 continue
             two = tuple(sorted((int(parts[k]), int(parts[other]))))
             found.setdefault(two, []).append((d, int(keys[k]), int(keys[other])))
-    return [(a, b) for own in found.values() for _, a, b in sorted(own)[:limit]]
+    return [(a, b, len(own) > limit) for own in found.values() for _, a, b in sorted(own)[:limit]]
 
 
 def crossing(
     members: DataFrame, bits: DataFrame, labels: DataFrame, refuted: DataFrame, rule: Rule, limit: int
 ) -> DataFrame:
-    """Pairs (a, b) of one signature that may link and lie in different components."""
+    """Pairs (a, b) of one signature that may link and lie in different components, and
+    whether there are more of their components."""
     own = Window.partitionBy("s")
     block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     mixed = (
@@ -397,8 +398,11 @@ def crossing(
 
         def pairs():
             found = rivals_of(group, *held[1:], rule, limit) if len(group) > 1 else []
-            columns = zip(*found, strict=True) if found else ([], [])
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+            a, b, more = zip(*found, strict=True) if found else ([], [], [])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(more, pa.bool_())],
+                ["a", "b", "more"],
+            )
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -412,7 +416,8 @@ def crossing(
 
     place = ["s", "i", "j"]
     sorted_ = dealt.repartition(*place).sortWithinPartitions(*place)
-    return sorted_.mapInArrow(run, "a long, b long").distinct()
+    pairs_ = sorted_.mapInArrow(run, "a long, b long, more boolean")
+    return pairs_.groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
 def marked(hashes: DataFrame) -> np.ndarray:
@@ -482,13 +487,15 @@ def linked_sets(
     folder: list[str] = []
     checked = compared(nearest_before(members, bits, rule), sets, rule)
     refuted, limit = checked.filter("NOT linked").select("a", "b"), NEAREST
+    more = True
     while True:
         labels = replaced(merged(labels, checked.filter("linked")), "labels", folder)
-        rivals = stored(crossing(members, bits, labels, refuted, rule, limit), "rivals")
-        if rivals.isEmpty():
+        if not more:
             return signed.drop("signatures", "bits"), labels.withColumnRenamed("key", "node")
-        checked = compared(rivals, sets, rule)
+        rivals = stored(crossing(members, bits, labels, refuted, rule, limit), "rivals")
+        checked = compared(rivals.select("a", "b"), sets, rule)
         refuted = refuted.union(checked.filter("NOT linked").select("a", "b"))
+        more = not rivals.filter("more").isEmpty()
         limit *= MORE
 
 

@@ -22,7 +22,7 @@ from fareloom.llm.token_counts import byte_symbols, counter
 # Words that a task remembers; beyond it, it begins anew with the next texts.
 MAX_WORDS = 1_000_000
 # Bytes hashed at once; a longer run without spaces is hashed as a whole.
-SLICE = 4_000_000
+SLICE = 1_000_000
 BASE = 0x9E3779B97F4A7C15
 
 IS_SPACE = np.zeros(256, bool)
