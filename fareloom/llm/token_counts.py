@@ -236,16 +236,22 @@ class TokenCounter:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
-        model = described["model"]
         self.library = Tokenizer.from_file(path)
         self.special = [t["content"] for t in described["added_tokens"]]
-        self.words = WordTransducer(model["vocab"], model["merges"], model["end_of_word_suffix"])
+        self.path = path
         self.splitter = Splitter()
         # Lower case and class of each character, taken from the library when first met.
         self.lower = np.zeros(0x110000, np.uint32)
         self.classes = np.full(0x110000, 255, np.uint8)
         self.expanding: dict[str, str] = {}
 
+    @functools.cached_property
+    def words(self) -> WordTransducer:
+        """Made when counts are first asked for; those who only split words go without."""
+        with open(self.path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        return WordTransducer(model["vocab"], model["merges"], model["end_of_word_suffix"])
+
     def learn(self, code: int) -> None:
         char = chr(code)
         lower = char.lower() if char.isascii() else self._library_lower(char)
