@@ -69,35 +69,120 @@ def test_held_out_texts_train_nothing(spark, rows):
     assert all(math.isclose(first[i].score, r.score, rel_tol=1e-9) for i, r in other.items() if not r.held_out)
 
 
-def test_bytes_are_a_distribution(monkeypatch):
+def filled(n_words: int = 40) -> M.Mixer:
     rng = np.random.default_rng(4)
-    mixer = M.Mixer.of_counts(
-        rng.integers(0, 9, M.SLOTS).astype(float), rng.integers(0, 9, M.SLOTS).astype(float)
-    )
-    mixer.weights = rng.normal(0, 1, mixer.weights.shape)
-    monkeypatch.setattr(M, "spelled", lambda words: (np.arange(256, dtype=np.uint8), np.ones(256, np.int64)))
-    assert math.isclose(np.exp(mixer.log_prob(["x"] * 256)).sum(), 1.0, rel_tol=1e-9)
+    codes = (M.Code.of_counts([3 + i * i for i in range(n_words)]), M.Code.of_counts([1 + i % 7 for i in range(257)]))
+    mixer = M.Mixer.empty(codes, M.bits_for(500, 100))
+    mixer.counts[:] = rng.integers(0, 2**16, len(mixer.counts))
+    mixer.weights = rng.normal(0, 0.4, mixer.weights.shape).astype(np.float32)
+    mixer.last = rng.uniform(0.01, 0.99, mixer.last.shape).astype(np.float32)
+    return mixer
+
+
+@pytest.mark.parametrize("code", [0, 1])
+def test_symbols_are_a_distribution(code):
+    mixer = filled()
+    n = len(mixer.codes[code].lengths)
+    contexts = np.repeat(np.arange(5, 5 + M.PREDICTORS, dtype=np.uint64)[:, None], n, axis=1)
+    p = np.exp(mixer.log_prob(M.Run(code, np.arange(n), contexts)))
+    assert math.isclose(p.sum(), 1.0, rel_tol=1e-4)
+
+
+def test_codes_are_free_of_prefixes_and_shortest():
+    counts = [50, 20, 15, 10, 5]
+    code = M.Code.of_counts(counts)
+    assert code.lengths.tolist() == [1, 2, 3, 4, 4]
+    owner, depth, node, bit = code.bits(np.array([3, 0, 3]))
+    assert owner.tolist() == [0] * 4 + [1] + [2] * 4
+    assert depth.tolist() == [0, 1, 2, 3, 0, 0, 1, 2, 3]
+    assert node[0] == node[4] == node[5] and bit[0] != bit[4]
+
+
+def test_probability_of_a_symbol_by_plain_arithmetic():
+    mixer = filled()
+    symbols = np.array([7, 39, 0, 7])
+    run = M.word_run(symbols, np.array([2, 2, 1, 0]), np.array([4]), 38)
+    got = mixer.log_prob(run)
+    wide, code = 2**64, mixer.codes[0]
+    for t, symbol in enumerate(symbols.tolist()):
+        total, start = 0.0, code.starts[symbol]
+        for depth in range(code.lengths[symbol]):
+            node, bit = int(code.nodes[start + depth]), int(code.taken[start + depth])
+            offset, odds, sure = 0, [], []
+            for i in range(M.PREDICTORS):
+                value = (int(run.contexts[i][t]) ^ (node * int(M.NODE) % wide)) * int(M.SPIN) % wide
+                slot = int(mixer.counts[offset + (value >> (64 - mixer.table_bits[i]))])
+                zeros, ones = slot % 256, slot // 256
+                odds.append(math.log((ones + 0.4) / (zeros + 0.4)))
+                sure.append(sum(zeros + ones >= x for x in (1, 4, 31)))
+                offset += 1 << mixer.table_bits[i]
+            stage = min(depth, M.DEPTHS - 1)
+            gate = (stage * 4 + sure[-2]) * 4 + sure[-1]
+            link = sum(float(w) * x for w, x in zip(mixer.weights[:, gate], [*odds, 1.0], strict=True))
+            link = max(-M.REACH, min(M.REACH, link))
+            at = round((link + M.REACH) / (2 * M.REACH) * (M.BUCKETS - 1))
+            p = (1 / (1 + math.exp(-link)) + float(mixer.last[stage * M.BUCKETS + at])) / 2
+            total += math.log(p if bit else 1 - p)
+        assert math.isclose(got[t], total, rel_tol=1e-4)
 
 
 def test_mixing_learns():
     random.seed(6)
-    words = ["".join(random.choices(["tion", "er", "ou"], k=3)) for _ in range(3000)]
-    zeros, ones = np.zeros(M.SLOTS), np.zeros(M.SLOTS)
-    data, sizes = M.spelled(words[:2000])
-    hashes, node = M.contexts(data, sizes), np.ones(len(data), np.uint64)
-    for k in range(8):
-        bit = (data >> np.uint8(7 - k)) & np.uint8(1)
-        slots = M.bit_slots(hashes, node)
-        np.add.at(zeros, slots[:, bit == 0].ravel(), 1)
-        np.add.at(ones, slots[:, bit == 1].ravel(), 1)
-        node = node * np.uint64(2) + bit
-    mixer = M.Mixer.of_counts(zeros, ones)
-    before = mixer.log_prob(words[2000:]).sum()
+    rng = np.random.default_rng(6)
+    symbols = np.repeat(rng.integers(0, 20, 4000) * 2, 2)
+    symbols[1::2] += 1  # every even word is followed by its odd one
+    mixer = M.Mixer.empty((M.Code.of_counts([1] * 41), M.Code.of_counts([1] * 257)), M.bits_for(8000, 41))
+    run = lambda s: M.word_run(s, np.zeros(len(s), np.int64), np.array([len(s)]), 40)
+    learned, fresh = run(symbols[:6000]), run(symbols[6000:])
+    slots, _, _, bit = mixer.slots(learned)
+    both = np.zeros(2 * len(mixer.counts), np.int64)
+    np.add.at(both, (2 * slots + bit).ravel(), 1)
+    mixer.counts = M.slot_of(both[0::2], both[1::2])
+    before = mixer.log_prob(fresh).sum()
+    seen = np.zeros((2, mixer.last.size))
     for _ in range(3):
-        for part in M.batches_of(words[:2000]):
-            mixer.learn(part, 0.02)
-    assert mixer.log_prob(words[2000:]).sum() > before
-    assert mixer.log_prob(["tionerou"])[0] > mixer.log_prob(["zzzzzzzz"])[0]
+        for part in learned.batches(256):
+            mixer.learn(part, 0.02, seen)
+    mixer.last = ((seen[1] + M.PRIOR * mixer.last) / (seen[0] + M.PRIOR)).astype(np.float32)
+    after = mixer.log_prob(fresh)
+    assert after.sum() > before
+    assert after[1::2].mean() > -0.1 and -3.5 < after[::2].mean() < -2.9
+
+
+def test_slots_keep_the_share_of_ones():
+    zeros, ones = np.array([0, 3, 255, 256, 10**6, 5]), np.array([0, 0, 255, 1, 10**9, 10**6])
+    got = M.slot_of(zeros, ones)
+    assert (got % 256).tolist() == [0, 3, 255, 255, 1, 1]
+    assert (got // 256).tolist() == [0, 0, 255, 1, 255, 255]
+
+
+def test_score_equals_codes_letters_and_counts(spark, rows):
+    """Rows without coded words: the score by the operator against its parts added up."""
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in M.scores(df, kind_col=None).collect()}
+    docs = df.select("doc_id", "text", F.lit(None).cast("string").alias("kind"))
+    docs, kinds = M.with_kind(docs)
+    words = M.vocabulary(docs, kinds)
+    count = {bytes(r.word): r.c for r in words.collect()}
+    n, v = sum(count.values()), len(count)
+    told, codes = M.frequent(words, n, v, [n])
+    training = M.dealt(docs, sum(len((t or "").encode()) for _, t in rows))
+    mixer = M.Mixer.empty(codes, M.bits_for(n, v))
+    mixer.counts = M.slot_counts(training, told, mixer)
+    mixer.weights, mixer.last = M.refined(training, told, mixer)
+    rare = {w: c for w, c in count.items() if w not in told.symbols}
+    rare_n = sum(rare.values())
+    assert rare_n == told.escaped
+    for i, text in rows:
+        one = M.Passage.of_texts([text.encode()], told)
+        total = mixer.log_prob(one.words).sum() / math.log(10)
+        letters = mixer.log_prob(one.letters) / math.log(10)
+        ends = np.cumsum(one.letter_sizes)
+        for place, which in zip(one.places.tolist(), one.which.tolist(), strict=True):
+            spelled = letters[ends[which] - one.letter_sizes[which] : ends[which]].sum()
+            share = max(rare.get(one.flat[place], 0) - 0.5, 0) / rare_n
+            total += math.log10(share + 10**spelled * 0.5 * len(rare) / rare_n)
+        assert math.isclose(got[i], total, rel_tol=1e-5)
 
 
 def test_edge_rows(spark):
