@@ -40,7 +40,7 @@ from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import LOWER, by_chunks, ship, splitmix, stored
+from fareloom.llm.common import CHUNK_BYTES, LOWER, by_chunks, ship, splitmix, stored
 
 FOLDS, HELD_OUT = 5, 1
 END = b"\n"
@@ -124,15 +124,37 @@ def bits_for(n: int, v: int) -> tuple[int, ...]:
 
 @dataclass
 class Run:
-    """Symbols of one code with the hashed contexts of each; ``code`` 0 are words."""
+    """Symbols of one code with the hashed contexts of each, and how often they occur
+    together (None: once each); ``code`` 0 are words."""
 
     code: int
     symbols: np.ndarray
     contexts: np.ndarray
+    times: np.ndarray | None = None
 
     def batches(self, limit: int):
         for i in range(0, len(self.symbols), limit):
-            yield Run(self.code, self.symbols[i : i + limit], self.contexts[:, i : i + limit])
+            some = slice(i, i + limit)
+            times = None if self.times is None else self.times[some]
+            yield Run(self.code, self.symbols[some], self.contexts[:, some], times)
+
+    def weights(self, owner: np.ndarray) -> np.ndarray:
+        """How often each bit occurs, given its symbol."""
+        return np.ones(len(owner), np.int64) if self.times is None else np.take(self.times, owner)
+
+    def distinct(self) -> tuple[Run, np.ndarray]:
+        """Each symbol once under the same contexts, and which of them every symbol is."""
+        key = self.symbols.astype(np.uint64)
+        for row in self.contexts:
+            key = splitmix(key + row)
+        _, first, which, times = np.unique(
+            key, return_index=True, return_inverse=True, return_counts=True
+        )
+        order = np.argsort(first)  # as they stand in the texts
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        first = first[order]
+        return Run(self.code, self.symbols[first], self.contexts[:, first], times[order]), place[which]
 
 
 @dataclass
@@ -194,15 +216,16 @@ class Mixer:
 
     def learn(self, run: Run, rate: float, seen: np.ndarray) -> None:
         """One step of every gate's weights; ``seen`` counts bits and ones per bucket."""
-        inputs, gate, stage, _, bit = self.inputs(run, 1)
+        inputs, gate, stage, owner, bit = self.inputs(run, 1)
+        weight = run.weights(owner)
         link = self.mixed(inputs, gate)
-        error = bit - 1 / (1 + np.exp(-link))
-        hits = np.sqrt(np.maximum(np.bincount(gate, minlength=GATES), 1))
+        error = weight * (bit - 1 / (1 + np.exp(-link)))
+        hits = np.sqrt(np.maximum(np.bincount(gate, weight, GATES), 1))
         for i in range(INPUTS):
             self.weights[i] += rate * np.bincount(gate, error * inputs[i], GATES) / hits
         at = stage * BUCKETS + self.bucket(link)
-        seen[0] += np.bincount(at, minlength=seen.shape[1])
-        seen[1] += np.bincount(at, bit, seen.shape[1])
+        seen[0] += np.bincount(at, weight, seen.shape[1])
+        seen[1] += np.bincount(at, weight * bit, seen.shape[1])
 
     def log_prob(self, run: Run) -> np.ndarray:
         """Natural logarithm of the probability of each symbol."""
@@ -297,11 +320,14 @@ def letter_run(words: list[bytes], kinds: np.ndarray) -> tuple[Run, np.ndarray]:
 
 @dataclass
 class Passage:
-    """Tokens of some texts, and their different escaped words under each kind."""
+    """Tokens of some texts: the different ones under their contexts, and which of them
+    every token is; and the different escaped words under each kind."""
 
     flat: list[bytes]
     sizes: np.ndarray
+    symbols: np.ndarray
     words: Run
+    each: np.ndarray
     escaped: dict[tuple[bytes, int], int]
     which: np.ndarray  # number of the escaped word at each escape
     places: np.ndarray  # and its token
@@ -326,8 +352,11 @@ class Passage:
         letters, letter_sizes = letter_run(
             [w for w, _ in fresh], np.fromiter((k for _, k in fresh), np.int64, len(fresh))
         )
-        run = word_run(symbols, kinds, sizes, len(told.symbols))
-        return cls(flat, sizes, run, escaped, np.array(which, np.int64), places, letters, letter_sizes)
+        run, each = word_run(symbols, kinds, sizes, len(told.symbols)).distinct()
+        return cls(
+            flat, sizes, symbols, run, each,
+            escaped, np.array(which, np.int64), places, letters, letter_sizes,
+        )
 
 
 def fold(doc_id: int | None) -> int:
@@ -340,10 +369,10 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
-def texts_of(batches):
+def texts_of(batches, limit: int = CHUNK_BYTES):
     """Lists of texts as bytes, a chunk of them at a time, with the chunk."""
     for batch in batches:
-        for piece in by_chunks(batch, "text"):
+        for piece in by_chunks(batch, "text", limit):
             yield piece.column("text").cast(pa.binary()).to_pylist(), piece
 
 
@@ -418,9 +447,8 @@ def frequent(words: DataFrame, n: int, v: int, sizes: list[int]) -> tuple[Words,
     return found, (Code.of_counts([*counts, n - sum(counts)]), Code.of_counts(letters))
 
 
-def dealt(docs: DataFrame, n_bytes: int) -> DataFrame:
+def dealt(docs: DataFrame, parts: int) -> DataFrame:
     """Training documents in parts and an order that follow from the documents alone."""
-    parts = max(1, math.ceil(n_bytes / PART_BYTES))
     key = F.xxhash64("doc_id", "text")
     training = docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text")
     return training.repartition(parts, key).sortWithinPartitions(key, "doc_id").select("text")
@@ -434,7 +462,18 @@ def slot_of(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return zeros + (ones << np.uint16(8))
 
 
-def slot_counts(docs: DataFrame, told: Words, mixer: Mixer) -> np.ndarray:
+def pressed(counts: np.ndarray) -> bytes:
+    """A segment's counts, compressed byte by byte: most have only a low one."""
+    planes = counts.astype("<u4").view(np.uint8).reshape(SEGMENT, 4).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpressed(data: bytes) -> np.ndarray:
+    planes = pa.decompress(data, 4 * SEGMENT, codec="zstd", asbytes=True)
+    return np.frombuffer(planes, np.uint8).reshape(4, SEGMENT).T.copy().view("<u4").ravel()
+
+
+def slot_counts(docs: DataFrame, told: Words, mixer: Mixer, parts: int = 1) -> np.ndarray:
     """Zeros and ones that each slot saw over all tokens of ``docs`` and, for letters,
     over the different escaped words of each part of the texts."""
     shared = docs.sparkSession.sparkContext.broadcast((told, mixer.codes, mixer.table_bits))
@@ -449,37 +488,39 @@ def slot_counts(docs: DataFrame, told: Words, mixer: Mixer) -> np.ndarray:
             passage = Passage.of_texts(texts, words, past)
             for whole in (passage.words, passage.letters):
                 for part in whole.batches(BATCH):
-                    slots, _, _, bit = model.slots(part)
-                    np.add.at(both, (2 * slots + bit).ravel(), np.uint32(1))
+                    slots, owner, _, bit = model.slots(part)
+                    weight = part.weights(owner).astype(np.uint32)
+                    np.add.at(both, (2 * slots + bit).ravel(), np.tile(weight, PREDICTORS))
         both = both.reshape(-1, SEGMENT)
         spread = TaskContext.get().partitionId() // SPREAD
         for i in np.flatnonzero(both.any(axis=1)).tolist():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([i], pa.int64()), pa.array([spread], pa.int64()),
-                 pa.array([both[i].astype("<u4").tobytes()], pa.binary())],
+                 pa.array([pressed(both[i])], pa.binary())],
                 ["segment", "spread", "counts"],
             )
 
     def total(table: pa.Table) -> pa.Table:
         held = np.zeros(SEGMENT, np.uint64)
         for x in table["counts"]:
-            held += np.frombuffer(x.as_py(), "<u4")
-        held = np.minimum(held, 2**32 - 1).astype("<u4")
+            held += unpressed(x.as_py())
+        held = np.minimum(held, 2**32 - 1)
         return pa.table(
             {
                 "segment": table["segment"][:1],
                 "spread": pa.array([0], pa.int64()),
-                "counts": pa.array([held.tobytes()], pa.binary()),
+                "counts": pa.array([pressed(held)], pa.binary()),
             }
         )
 
     schema = "segment long, spread long, counts binary"
     found = docs.mapInArrow(run, schema)
-    found = found.groupBy("segment", "spread").applyInArrow(total, schema)
+    if parts > SPREAD:
+        found = found.groupBy("segment", "spread").applyInArrow(total, schema)
     found = found.groupBy("segment").applyInArrow(total, schema)
     out = np.zeros((-(-size // SEGMENT), SEGMENT // 2), np.uint16)
     for row in found.toLocalIterator():  # at most one row per segment
-        pairs = np.frombuffer(row["counts"], "<u4").reshape(-1, 2)
+        pairs = unpressed(row["counts"]).reshape(-1, 2)
         out[row["segment"]] = slot_of(pairs[:, 0], pairs[:, 1])
     shared.unpersist()
     return out.ravel()[: size // 2]
@@ -545,7 +586,7 @@ def token_rows(docs: DataFrame, told: Words, mixer: Mixer) -> DataFrame:
         for texts, piece in texts_of(batches):
             passage = Passage.of_texts(texts, words)
             starts = np.cumsum(passage.sizes) - passage.sizes
-            symbols = passage.words.symbols
+            logs = model.log_prob(passage.words)[passage.each] / math.log(10)
             rows = number + np.arange(len(texts))
             number += len(texts)
             yield pa.RecordBatch.from_arrays(
@@ -555,9 +596,9 @@ def token_rows(docs: DataFrame, told: Words, mixer: Mixer) -> DataFrame:
                     piece.column("doc_id"),
                     pa.array(passage.sizes, pa.int64()),
                     pa.array([len(t or b"") for t in texts], pa.int64()),
-                    pa.array(np.add.reduceat(words.known[symbols], starts), pa.int64()),
-                    pa.array(np.add.reduceat(words.base[symbols], starts)),
-                    pa.array(np.add.reduceat(model.log_prob(passage.words), starts) / math.log(10)),
+                    pa.array(np.add.reduceat(words.known[passage.symbols], starts), pa.int64()),
+                    pa.array(np.add.reduceat(words.base[passage.symbols], starts)),
+                    pa.array(np.add.reduceat(logs, starts)),
                 ],
                 schema=types,
             )
@@ -616,9 +657,10 @@ def scores(
     n, v, *sizes = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("word"), *own).first()
     told, codes = frequent(words, n, v, sizes)
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    training = dealt(docs, size).persist(StorageLevel.DISK_ONLY)
+    parts = max(1, math.ceil(size / PART_BYTES))
+    training = dealt(docs, parts).persist(StorageLevel.DISK_ONLY)
     mixer = Mixer.empty(codes, bits_for(n, v))
-    mixer.counts = slot_counts(training, told, mixer)
+    mixer.counts = slot_counts(training, told, mixer, parts)
     mixer.weights, mixer.last = refined(training, told, mixer)
     training.unpersist()
 

@@ -166,7 +166,7 @@ def test_score_equals_codes_letters_and_counts(spark, rows):
     count = {bytes(r.word): r.c for r in words.collect()}
     n, v = sum(count.values()), len(count)
     told, codes = M.frequent(words, n, v, [n])
-    training = M.dealt(docs, sum(len((t or "").encode()) for _, t in rows))
+    training = M.dealt(docs, 1)
     mixer = M.Mixer.empty(codes, M.bits_for(n, v))
     mixer.counts = M.slot_counts(training, told, mixer)
     mixer.weights, mixer.last = M.refined(training, told, mixer)
@@ -175,7 +175,7 @@ def test_score_equals_codes_letters_and_counts(spark, rows):
     assert rare_n == told.escaped
     for i, text in rows:
         one = M.Passage.of_texts([text.encode()], told)
-        total = mixer.log_prob(one.words).sum() / math.log(10)
+        total = mixer.log_prob(one.words)[one.each].sum() / math.log(10)
         letters = mixer.log_prob(one.letters) / math.log(10)
         ends = np.cumsum(one.letter_sizes)
         for place, which in zip(one.places.tolist(), one.which.tolist(), strict=True):
@@ -229,3 +229,18 @@ def test_the_order_of_words_counts(spark):
     assert math.isclose(a.base_score, b.base_score, rel_tol=1e-9)
     assert a.score > b.score + 10
     assert a.score > a.base_score + 10
+
+
+def test_segments_of_counts_come_back():
+    counts = np.random.default_rng(1).integers(0, 2**32, M.SEGMENT).astype(np.uint32)
+    counts[:60_000] %= 3
+    assert np.array_equal(M.unpressed(M.pressed(counts)), counts)
+
+
+def test_repeated_symbols_are_held_once():
+    symbols = np.array([1, 2, 3, 1, 2, 3, 1, 2])
+    whole = M.word_run(symbols, np.zeros(8, np.int64), np.array([8]), 40)
+    run, which = whole.distinct()
+    assert run.times.sum() == 8 and len(run.symbols) == 5  # (.., 1), (1, 2) at the start, then three turns
+    assert np.array_equal(run.symbols[which], symbols)
+    assert np.array_equal(run.contexts[:, which], whole.contexts)
