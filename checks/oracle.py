@@ -132,6 +132,22 @@ SPIKES = windowed(
     10, "article_id", COUNT, "HAVING count(*) > 250", "articles_with_spike_in_views"
 )
 BOTS = windowed(1, "user_id", COUNT, "HAVING count(*) > 20", "suspicius_users")
+
+
+def crossings(minutes: int, key: str, above: int, name: str) -> str:
+    """The event by which a group of a window has more than ``above``."""
+    width = f"INTERVAL '{minutes}' MINUTE"
+    return over(
+        "news",
+        f"""SELECT window_start, window_start + {width} AS window_end, {key} AS {name},
+         timestamp AS crossed_at
+        FROM (SELECT *, time_bucket({width}, timestamp) AS window_start FROM news) n
+        QUALIFY row_number() OVER (PARTITION BY window_start, {key} ORDER BY timestamp) = {above + 1}""",
+    )
+
+
+SPIKE_ALERTS = crossings(10, "article_id", 250, "articles_with_spike_in_views")
+BOT_ALERTS = crossings(1, "user_id", 20, "suspicius_users")
 BOT_ARTICLES = windowed(
     1,
     "user_id",
@@ -474,6 +490,10 @@ ORACLE = {
     "stream_active_sessions_exact": SESSIONS,
     "stream_article_spikes": SPIKES,
     "stream_bot_users": BOTS,
+    "spike_alerts": SPIKE_ALERTS,
+    "bot_alerts": BOT_ALERTS,
+    "stream_spike_alerts": SPIKE_ALERTS,
+    "stream_bot_alerts": BOT_ALERTS,
     "stream_device_usage_append": CLOSED_DEVICES,
     "onehot_codes": over(
         "prepared",

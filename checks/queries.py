@@ -387,6 +387,16 @@ def stream_user_sessions_append(spark, d):
     return plain_times(run_append(sessions, scratch_path(spark, "stream"), STATE_PARTITIONS))
 
 
+def alert_stream(transform):
+    """Alerts over the topic; each leaves the micro-batch that raised it."""
+
+    def run(spark, d):
+        found = transform(event_stream(spark, d))
+        return plain_times(run_append(found, scratch_path(spark, "alerts"), STATE_PARTITIONS))
+
+    return run
+
+
 def stream_panes(spark, d):
     """The result of the one stream behind all queries on panes."""
 
@@ -667,6 +677,10 @@ QUERIES = {
     "sliding_sessions_error": sliding_sessions_error,
     "user_sessions": user_sessions,
     "stream_user_sessions_append": stream_user_sessions_append,
+    "spike_alerts": batch_twin(N.spike_alerts),
+    "bot_alerts": batch_twin(N.bot_alerts),
+    "stream_spike_alerts": alert_stream(N.spike_alerts),
+    "stream_bot_alerts": alert_stream(N.bot_alerts),
     # from the panes of one stream
     "panes_finance_by_country": paned("finance", N.FINANCE_WIDTH, "location"),
     "panes_device_usage": paned("device", N.DEVICE_WIDTH, "device_type"),

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def _per_window(
@@ -55,6 +56,23 @@ def windowed_distinct(
     return counted if min_count is None else counted.filter(F.col(name) > min_count)
 
 
+def first_crossings(df: DataFrame, ts: str, width: str, key: str, min_count: int) -> DataFrame:
+    """When each window and ``key`` got more than ``min_count`` rows; only groups that did.
+
+    Columns: window_start, window_end, the key, crossed_at: the time of row number
+    ``min_count + 1``. Rows of one moment are counted before they are set in order, so
+    a hot key sorts no more rows than its window has moments. For static tables.
+    """
+    moments = _per_window(df, ts, width, [key, ts], F.count(F.lit(1)), "rows_then")
+    group = Window.partitionBy("window_start", "window_end", key)
+    so_far = F.sum("rows_then").over(group.orderBy(ts))
+    passed = moments.withColumn("rows_so_far", so_far).filter(
+        (F.col("rows_so_far") > min_count)
+        & (F.col("rows_so_far") - F.col("rows_then") <= min_count)
+    )
+    return passed.select("window_start", "window_end", key, F.col(ts).alias("crossed_at"))
+
+
 def pane_sketches(
     df: DataFrame, ts: str, pane: str, keys: Sequence[str], column: str, lg_k: int = 12
 ) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.operators.topk import by_measure, top_per_group
-from fareloom.operators.windows import windowed_count, windowed_distinct
+from fareloom.operators.windows import first_crossings, windowed_count, windowed_distinct
+from fareloom.streaming.alerts import threshold_alerts
 
 # Thresholds and window widths.
 SPIKE_VIEWS = 250
@@ -123,6 +124,20 @@ def bot_users_distinct_articles(events: DataFrame) -> DataFrame:
     return counted.withColumnRenamed("user_id", BOT_COLUMN)
 
 
+def alerts(events: DataFrame, width: str, key: str, min_count: int, name: str) -> DataFrame:
+    """When a window's group passed ``min_count``, once; a table or an ordered stream."""
+    found = threshold_alerts if events.isStreaming else first_crossings
+    return found(events, "timestamp", width, key, min_count).withColumnRenamed(key, name)
+
+
+def spike_alerts(events: DataFrame) -> DataFrame:
+    return alerts(events, SPIKE_WIDTH, "article_id", SPIKE_VIEWS, SPIKE_COLUMN)
+
+
+def bot_alerts(events: DataFrame) -> DataFrame:
+    return alerts(events, BOT_WIDTH, "user_id", BOT_VIEWS, BOT_COLUMN)
+
+
 # Panes: one count per minute for all of these queries, kept by one stream.
 
 PANE = "1 minute"

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 import warnings
 from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +31,15 @@ DISK_STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# Python workers live from job to job. With these they give the memory of large arrays
+# back when a task is done with them, instead of keeping it beside the next job's.
+WORKER_MEMORY = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": "1048576",
+    "MALLOC_TRIM_THRESHOLD_": "1048576",
+}
+
 _local_roots: dict[str, str] = {}
 
 
@@ -44,6 +55,18 @@ def build_session(
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers started from another folder import this package, and start
+    them with ``WORKER_MEMORY`` where the job does not say otherwise."""
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = [x for x in environment.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    for name, value in WORKER_MEMORY.items():
+        environment.setdefault(name, value)
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.conf.get("spark.master", "").startswith("local")
 

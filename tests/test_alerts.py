@@ -1,0 +1,104 @@
+"""Alerts of streams: once per group, at the event that passes the threshold."""
+
+from __future__ import annotations
+
+import json
+import os
+import random
+import time
+from datetime import datetime, timedelta
+
+import pytest
+
+from fareloom.operators import first_crossings
+from fareloom.sources import EVENT_SCHEMA, read_events
+from fareloom.streaming import run_append, threshold_alerts
+
+START = datetime(2024, 1, 1, 10)
+
+
+def event(second, user):
+    at = (START + timedelta(seconds=second)).strftime("%Y-%m-%dT%H:%M:%SZ")
+    base = {name: "x" for name in EVENT_SCHEMA.fieldNames()}
+    return {**base, "timestamp": at, "user_id": user}
+
+
+def add_file(folder, number, events):
+    folder.mkdir(exist_ok=True)
+    file = folder / f"part-{number:03}.txt"
+    file.write_text("\n".join(json.dumps(e) for e in events))
+    age = time.time() - 3600 + 10 * number
+    os.utime(file, (age, age))
+
+
+def alerts(spark, folder, path, min_count=2, delay="10 minutes"):
+    events = read_events(spark, "text", path=str(folder), maxFilesPerTrigger="1")
+    found = threshold_alerts(events, "timestamp", "1 minute", "user_id", min_count, delay)
+    out = run_append(found, str(path), 2)
+    return sorted(
+        (r.user_id or "", (r.window_start - START).seconds, (r.crossed_at - START).seconds)
+        for r in out.collect()
+    )
+
+
+def test_one_row_when_the_threshold_is_passed_across_batches(spark, tmp_path):
+    folder = tmp_path / "topic"
+    add_file(folder, 0, [event(1, "a"), event(2, "a"), event(3, "b"), event(3, None)])
+    add_file(folder, 1, [event(9, "a"), event(10, "a"), event(11, "b"), event(12, None)])
+    add_file(folder, 2, [event(20, "a"), event(21, None), event(70, "b"), event(71, "b")])
+    # "a" passes with its third event, "b" has two in each of two windows.
+    assert alerts(spark, folder, tmp_path / "out") == [("", 0, 21), ("a", 0, 9)]
+
+
+def test_restart_neither_repeats_nor_forgets(spark, tmp_path):
+    folder, out = tmp_path / "topic", tmp_path / "out"
+    add_file(folder, 0, [event(1, "a"), event(2, "a"), event(3, "a"), event(4, "b"), event(5, "b")])
+    assert alerts(spark, folder, out) == [("a", 0, 3)]
+    add_file(folder, 1, [event(8, "a"), event(9, "a"), event(9, "a"), event(10, "b")])
+    assert alerts(spark, folder, out) == [("a", 0, 3), ("b", 0, 10)]
+    assert alerts(spark, folder, out) == [("a", 0, 3), ("b", 0, 10)]
+
+
+def test_closed_windows_are_forgotten_and_late_events_raise_nothing(spark, tmp_path):
+    folder, out = tmp_path / "topic", tmp_path / "out"
+    add_file(folder, 0, [event(1, "a"), event(2, "a"), event(3, "a")])
+    add_file(folder, 1, [event(300, "z")])
+    add_file(folder, 2, [event(301, "z")])
+    late = [event(s, "a") for s in range(4, 9)] + [event(s, "c") for s in range(4, 9)]
+    add_file(folder, 3, [*late, event(302, "z")])
+    assert alerts(spark, folder, out, delay="10 seconds") == [("a", 0, 3), ("z", 300, 302)]
+
+
+@pytest.mark.parametrize("batches", [1, 7])
+def test_equals_the_static_table_on_a_log_in_order_of_time(spark, tmp_path, batches):
+    rng = random.Random(5)
+    log = [event(s // 4, rng.choice(["hot"] * 9 + ["u", "v", None])) for s in range(1400)]
+    folder = tmp_path / "topic"
+    size = -(-len(log) // batches)
+    for number in range(batches):
+        add_file(folder, number, log[number * size : (number + 1) * size])
+    got = alerts(spark, folder, tmp_path / "out", 20)
+
+    seen, wanted = {}, []
+    for e in log:
+        second = (datetime.strptime(e["timestamp"], "%Y-%m-%dT%H:%M:%SZ") - START).seconds
+        group = (e["user_id"] or "", second // 60 * 60)
+        seen[group] = seen.get(group, 0) + 1
+        if seen[group] == 21:
+            wanted.append((*group, second))
+    assert got == sorted(wanted) and len(got) > 5
+
+    rows = spark.createDataFrame(
+        [(datetime.strptime(e["timestamp"], "%Y-%m-%dT%H:%M:%SZ"), e["user_id"]) for e in log],
+        "timestamp timestamp_ntz, user_id string",
+    ).selectExpr("CAST(timestamp AS timestamp) AS timestamp", "user_id")
+    static = first_crossings(rows, "timestamp", "1 minute", "user_id", 20).collect()
+    assert got == sorted(
+        (r.user_id or "", (r.window_start - START).seconds, (r.crossed_at - START).seconds)
+        for r in static
+    )
+
+
+def test_events_without_a_time_and_empty_tables(spark):
+    rows = spark.createDataFrame([(None, "a"), (None, None)], "timestamp timestamp, user_id string")
+    assert first_crossings(rows, "timestamp", "1 minute", "user_id", 0).count() == 0
