@@ -6,10 +6,8 @@ so further input columns, whatever they are called, never clash.
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.session import delete, scratch_path
+from fareloom.session import delete, scratch_path, ship
 
 # Characters that part words; ``bytes.split()`` and this pattern agree on them.
 SPACES = " \t\n\v\f\r"
@@ -33,15 +31,6 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
-    """Let Python workers started from another folder import this package."""
-    root = str(Path(__file__).resolve().parents[2])
-    environment = spark.sparkContext.environment
-    paths = [x for x in environment.get("PYTHONPATH", "").split(os.pathsep) if x]
-    if root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again: its lineage ends here."""
     path = scratch_path(df.sparkSession, label)
