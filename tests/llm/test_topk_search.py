@@ -40,6 +40,47 @@ def test_equals_brute_force(spark, monkeypatch, per_block):
     assert result(spark, rows) == brute(rows)
 
 
+def test_blocks_out_of_reach_are_not_asked(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "CANDIDATES_PER_BLOCK", 40)
+    monkeypatch.setattr(topk_search, "QUERIES_PER_BLOCK", 3)
+    asked = []
+    plain = topk_search.blocks_to_ask
+
+    def counting(queries, groups):
+        out = plain(queries, groups)
+        asked.append((out.count(), queries.count() * (groups[-1]["first"] + groups[-1]["parts"])))
+        return out
+
+    monkeypatch.setattr(topk_search, "blocks_to_ask", counting)
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(0, 1, 8) * 2.0 ** (i % 10)).tolist()) for i in range(400)]
+    rows += [(i, rows[i - 400][1]) for i in range(400, 420)]
+    assert result(spark, rows) == brute(rows)
+    (pairs, every), = asked
+    assert pairs < every / 2
+
+
+@pytest.mark.parametrize("per_block", [4096, 5])
+def test_scores_beyond_64_bits_rank_exactly(spark, monkeypatch, per_block):
+    monkeypatch.setattr(topk_search, "CANDIDATES_PER_BLOCK", per_block)
+    big = [1e12, 1e300, -1e300, 1.7e308, -1.7e308, 3.5, 2.0**40]
+    rows = [(0, [1.0, 0.5]), (50, [1e12, 1.0]), (100, [1e300, 1.0]), (150, [-1.7e308, 2.0])]
+    rows += [(i, [x, float(i)]) for i, x in enumerate(big, 1)]
+    rows += [(20, [1e12, 9.0]), (21, [1e12, 8.0]), (22, [0.25, 0.25]), (23, [-0.25, 0.0])]
+    whole = {i: [math.floor(256 * x) if abs(x) < 1e300 else 256 * int(x) for x in v] for i, v in rows}
+    want = []
+    for q in (0, 50, 100, 150):
+        scored = sorted(
+            (-sum(a * b for a, b in zip(whole[q], w)), i) for i, w in whole.items() if i != q
+        )
+        want += [
+            (q, r, i, max(-(2**63), min(2**63 - 1, -s))) for r, (s, i) in enumerate(scored[:9], 1)
+        ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = top_k(df, F.col("vec_id") % 50 == 0, 9).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_edge_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [0.5, -0.25]), (1, None), (2, [None, 1.0]), (3, [nan, 1.0]), (4, [inf, 1.0])]
