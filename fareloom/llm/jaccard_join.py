@@ -11,9 +11,9 @@ A candidate pair is compared by bitmaps first: every bit that is set in one of t
 stands for a token that is in one of the sets only, so pairs with too many such bits
 cannot link. What is left is compared exactly, but never all pairs of a group: each set is
 compared with the nearest of those before it, what links is one component, and only
-sets of one signature in different components are looked at again: the ``NEAREST`` pairs
-of each two components, and more as long as there are more, until every pair of a
-signature is linked, in one component, or refuted.
+sets of one signature in different components are looked at again: each set
+with its ``NEAREST`` rivals, and with more as long as there are more, until every pair
+of a signature is linked, in one component, or refuted.
 
 Allowances add up to H + 1 + z. A set may then leave out empty segments, which say
 nothing, as long as they are z at most: two sets that link have z + 1 segments
@@ -52,8 +52,8 @@ from fareloom.llm.components import connected_components
 
 COLLISION = 20.0  # cost of a segment with one token at most, in signatures
 BLOCK = 1000  # sets of a signature compared in one task, with those of another block
-NEAREST, MORE = 1000, 16  # pairs of two components compared at first, and times as many next
-BITS_PER_TOKEN = 1
+NEAREST, MORE = 4, 16  # rivals of a set compared at first, and times as many next
+BITS_PER_TOKEN = 4
 SAMPLE = 10_000  # documents in which common tokens are sought
 MAX_COMMON = 50_000
 SALTS = 16  # keys over which the rows of one set are dealt
@@ -339,37 +339,49 @@ def compared(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
 def rivals_of(group: list[tuple], i: int, j: int, rule: Rule, limit: int) -> list[tuple]:
     """Pairs (a, b, more) of a group in different components whose bitmaps let them link and
-    that are not refuted: the ``limit`` nearest of each two components, and whether there
-    are more of these. Rows of the group are (key, component, block, n, bits, refuted); with two blocks i and j a pair has
-    one set of each."""
+    that are not refuted: for each set those with its ``limit`` nearest, and whether there
+    are more pairs. Rows of the group are (key, component, block, n, bits, refuted); with two
+    blocks i and j a pair has one set of each.
+
+    What links is contracted before more pairs are asked for, so a group of copies hands
+    on a number of pairs that grows with its sets."""
     group.sort(key=lambda row: row[0])
     keys, parts, blocks, sizes, bits, refuted = zip(*group, strict=True)
     width = min(map(len, bits))
     maps = np.array([folded(b, width) for b in bits])
     keys, parts, blocks, sizes = (np.array(x) for x in (keys, parts, blocks, sizes))
-    found: dict[tuple[int, int], list] = {}
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for k in range(len(keys) - 1):
         later = parts[k + 1 :] != parts[k]
         if i != j:
             later &= blocks[k + 1 :] != blocks[k]
         at = k + 1 + np.flatnonzero(later)
+        if refuted[k] and len(at):
+            at = at[~np.isin(keys[at], np.fromiter(refuted[k], np.int64))]
         if not len(at):
             continue
         distance = np.bitwise_count(maps[at] ^ maps[k]).sum(axis=1, dtype=np.int64)
         near = distance <= (rule.den - rule.num) * (sizes[at] + sizes[k]) // (rule.den + rule.num)
-        for other, d in zip(at[near].tolist(), distance[near].tolist(), strict=True):
-            if refuted[k] and int(keys[other]) in refuted[k]:
-                continue
-            two = tuple(sorted((int(parts[k]), int(parts[other]))))
-            found.setdefault(two, []).append((d, int(keys[k]), int(keys[other])))
-    return [(a, b, len(own) > limit) for own in found.values() for _, a, b in sorted(own)[:limit]]
+        found.append((np.full(int(near.sum()), k), at[near], distance[near]))
+    if not found:
+        return []
+    first, second, distance = (np.concatenate(x) for x in zip(*found, strict=True))
+    kept = np.zeros(len(first), bool)
+    # Every pair once for each of its sets, the nearest of a set first.
+    pair, own = np.tile(np.arange(len(first)), 2), np.concatenate([first, second])
+    order = np.lexsort((pair, distance[pair], own))
+    place = np.arange(len(order)) - np.searchsorted(own[order], own[order])
+    kept[pair[order[place < limit]]] = True
+    more = not kept.all()
+    a, b = keys[first[kept]].tolist(), keys[second[kept]].tolist()
+    return [(x, y, more) for x, y in zip(a, b, strict=True)]
 
 
 def crossing(
     members: DataFrame, bits: DataFrame, labels: DataFrame, refuted: DataFrame, rule: Rule, limit: int
 ) -> DataFrame:
     """Pairs (a, b) of one signature that may link and lie in different components, and
-    whether there are more of their components."""
+    whether there are more in their group."""
     own = Window.partitionBy("s")
     block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     mixed = (
