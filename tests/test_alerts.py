@@ -9,10 +9,12 @@ import time
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from fareloom.operators import first_crossings
 from fareloom.sources import EVENT_SCHEMA, read_events
 from fareloom.streaming import run_append, threshold_alerts
+from fareloom.streaming.runner import _start
 
 START = datetime(2024, 1, 1, 10)
 
@@ -99,6 +101,42 @@ def test_equals_the_static_table_on_a_log_in_order_of_time(spark, tmp_path, batc
     )
 
 
+def test_groups_share_the_state_of_a_few_buckets(spark, tmp_path):
+    """A state entry for each of many small groups made a stream's time."""
+    folder = tmp_path / "topic"
+    users = [f"u{i:03}" for i in range(300)]
+    for number in range(2):
+        add_file(folder, number, [event(number * 5 + i % 5, u) for i, u in enumerate(users)])
+    add_file(folder, 2, [event(20, "u007"), event(21, None)])
+    events = read_events(spark, "text", path=str(folder), maxFilesPerTrigger="1")
+    found = threshold_alerts(events, "timestamp", "1 minute", "user_id", 2)
+    out = str(tmp_path / "out")
+    writer = (
+        found.writeStream.format("parquet").option("path", f"{out}/result")
+        .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True)
+    )
+    query = _start(found, writer, 2)
+    query.awaitTermination()
+    entries = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    assert 0 < max(entries) <= 12  # with timers; one for each user before
+    rows = spark.read.parquet(f"{out}/result").collect()
+    assert [(r.user_id, (r.crossed_at - START).seconds) for r in rows] == [("u007", 20)]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "date"])
+def test_keys_of_other_types_come_back_as_they_were(spark, tmp_path, kind):
+    folder = tmp_path / "topic"
+    days = ["2024-02-03", "2024-02-04"] if kind == "date" else [str(2**62 + 1), "-5"]
+    add_file(folder, 0, [*(event(i, days[0]) for i in range(3)), event(4, days[1])])
+    add_file(folder, 1, [event(5, "none"), event(6, "none"), event(7, "none")])
+    events = read_events(spark, "text", path=str(folder), maxFilesPerTrigger="1")
+    typed = events.withColumn("user_id", F.col("user_id").try_cast(kind))
+    found = threshold_alerts(typed, "timestamp", "1 minute", "user_id", 2)
+    assert found.schema["user_id"].dataType.simpleString() == kind
+    rows = run_append(found, str(tmp_path / "out"), 2).collect()
+    assert {str(r.user_id) for r in rows} == {days[0], "None"} and len(rows) == 2
+
+
 def test_events_without_a_time_and_empty_tables(spark):
     rows = spark.createDataFrame([(None, "a"), (None, None)], "timestamp timestamp, user_id string")
     assert first_crossings(rows, "timestamp", "1 minute", "user_id", 0).count() == 0
