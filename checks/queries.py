@@ -40,7 +40,7 @@ from fareloom.plans import reports
 from fareloom.plans.views import SPLIT_WEIGHTS, TRIP_KEY, news, table, trips, zones
 from fareloom.session import app_id, modified, scratch_path
 from fareloom.sources import load_table, parse_events, read_events, save_table
-from fareloom.streaming import run_append, run_complete
+from fareloom.streaming import run_append, run_complete, run_parts
 from fareloom.streaming.topic import write_topic
 
 KEY = list(TRIP_KEY)
@@ -398,11 +398,11 @@ def alert_stream(transform):
 
 
 def stream_panes(spark, d):
-    """The result of the one stream behind all queries on panes."""
+    """What the one stream behind all queries on panes counted in each micro-batch."""
 
     def build():
         path = scratch_path(spark, "panes")
-        return run_complete(N.minute_panes(event_stream(spark, d)), path, None, STATE_PARTITIONS)
+        return run_parts(event_stream(spark, d), path, N.minute_panes)
 
     return once(spark, "panes", d, build)
 

@@ -1,4 +1,4 @@
 from fareloom.streaming.alerts import threshold_alerts
-from fareloom.streaming.runner import run_append, run_complete, show_forever
+from fareloom.streaming.runner import run_append, run_complete, run_parts, show_forever
 
-__all__ = ["run_append", "run_complete", "show_forever", "threshold_alerts"]
+__all__ = ["run_append", "run_complete", "run_parts", "show_forever", "threshold_alerts"]

@@ -90,6 +90,32 @@ def run_complete(
     return history.join(F.broadcast(newest), "batch").drop("batch")
 
 
+def run_parts(
+    stream: DataFrame, path: str, reduce: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Process all available input; the table of what ``reduce`` makes of each micro-batch.
+
+    For results that add up: readers combine the rows of a group, of which every
+    micro-batch that met it wrote one. No state is kept and nothing is written twice, so
+    the work follows the input however many micro-batches there are. Each writes its own
+    ``batch=<n>`` folder below ``path``, which it replaces if it runs again.
+    """
+    spark = stream.sparkSession
+    out = f"{path}/result"
+
+    def write_batch(rows: DataFrame, number: int) -> None:
+        reduce(rows).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    writer = (
+        stream.writeStream.option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(availableNow=True)
+        .foreachBatch(write_batch)
+    )
+    _start(stream, writer, None).awaitTermination()
+    schema = reduce(spark.createDataFrame([], stream.schema)).schema
+    return spark.read.schema(schema).parquet(out).select(*schema.names)
+
+
 def run_append(stream: DataFrame, path: str, partitions: int | None = None) -> DataFrame:
     """Process all available input in append mode into parquet, exactly once."""
     out = f"{path}/result"
