@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
@@ -118,22 +118,46 @@ def onehot(codes: Sequence[str], handle_invalid: str = "keep") -> OneHotEncoder:
     )
 
 
+def used_slots(df: DataFrame, features: FeatureSet, on_new: str = "keep") -> list[int]:
+    """Places of the assembled vector that are not zero in all rows of ``df``: numbers, and
+    slots of codes that occur. One pass; a code of few values, the largest of them 264,
+    has 265 slots."""
+    codes = features.codes
+    seen = df.select(*(F.collect_set(code).alias(code) for code in codes)).head()
+    places, first = list(range(len(features.numeric))), len(features.numeric)
+    for code in codes:
+        size = max(map(int, seen[code]), default=0) + (on_new == "keep")
+        places += [first + c for c in sorted(map(int, seen[code])) if c < size]
+        first += size
+    return places
+
+
 def feature_stages(
-    features: FeatureSet, on_null: str = "skip", scale: bool = False, on_new: str = "keep"
+    features: FeatureSet,
+    on_null: str = "skip",
+    scale: bool = False,
+    on_new: str = "keep",
+    slots: Sequence[int] | None = None,
 ) -> list:
     """Stages that put ``features`` into one vector; ``on_null`` is "skip" or "error",
     ``on_new`` what the encoder does with a code it has not seen, "keep" or "error".
-    With "error" each code has one slot less."""
+    With "error" each code has one slot less. ``slots`` are the places of the vector to
+    keep, all by default."""
     assembled = [*features.numeric, *(f"{code}_ohe" for code in features.codes)]
-    stages = [onehot(features.codes, on_new)] if features.codes else []
-    if not scale:
-        return stages + [
-            VectorAssembler(inputCols=assembled, outputCol="features", handleInvalid=on_null)
-        ]
-    return stages + [
-        VectorAssembler(inputCols=assembled, outputCol="unscaled", handleInvalid=on_null),
-        StandardScaler(inputCol="unscaled", outputCol="features", withMean=True, withStd=True),
-    ]
+    steps = [onehot(features.codes, on_new)] if features.codes else []
+    names = ["assembled"] * (slots is not None) + ["unscaled"] * scale + ["features"]
+    steps.append(
+        VectorAssembler(inputCols=assembled, outputCol=names[0], handleInvalid=on_null)
+    )
+    if slots is not None:
+        steps.append(VectorSlicer(inputCol=names[0], outputCol=names[1], indices=list(slots)))
+    if scale:
+        steps.append(
+            StandardScaler(
+                inputCol=names[-2], outputCol="features", withMean=True, withStd=True
+            )
+        )
+    return steps
 
 
 def estimator(kind: str, label: str, **overrides) -> Estimator:
@@ -155,10 +179,14 @@ def fit(
     on_new: str = "keep",
     **overrides,
 ) -> PipelineModel:
-    """Encoder, assembler and estimator fitted as one pipeline."""
+    """Encoder, assembler and estimator fitted as one pipeline. Slots of codes that do not
+    occur in ``train`` are left out: they are zero in all rows, so no split or coefficient
+    falls on them, but a row of a tree's or a scaler's input holds every slot."""
     learner = estimator(kind, label, **overrides)
-    stages = [*feature_stages(features, "error", scale, on_new), learner]
-    return Pipeline(stages=stages).fit(complete_rows(train, features, label))
+    rows = complete_rows(train, features, label)
+    slots = used_slots(rows, features, on_new) if features.codes else None
+    stages = [*feature_stages(features, "error", scale, on_new, slots), learner]
+    return Pipeline(stages=stages).fit(rows)
 
 
 def predict(model, test: DataFrame, features: FeatureSet, label: str) -> DataFrame:

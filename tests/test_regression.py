@@ -222,3 +222,21 @@ def test_registered_tuning_sees_all_training_rows(spark, sf_dir, monkeypatch):
     Q.tuned(spark, sf_dir, "cv_forest")
     _, label, features = Q.TUNED["cv_forest"]
     assert seen["n"] == Q.R.complete_rows(Q.parts(spark, sf_dir)[0], features, label).count() > 10
+
+
+@pytest.mark.parametrize("kind, scale", [("tree", False), ("linear", True)])
+def test_codes_that_do_not_occur_take_no_slot(spark, data, kind, scale):
+    """Codes 0, 90, 180 and 270 took 271 numbers in every row of a forest's input."""
+    coded = data.withColumn("code", F.col("code") * 90)
+    model = R.fit(coded, kind, "label", SMALL, scale)
+    assert model.stages[-1].numFeatures == 2 + 4
+    wide = R.Pipeline(
+        stages=[*R.feature_stages(SMALL, "error", scale), R.estimator(kind, "label")]
+    ).fit(R.complete_rows(coded, SMALL, "label"))
+    assert wide.stages[-1].numFeatures == 2 + 271
+    test = coded.withColumn("code", F.when(F.col("id") % 9 == 0, 7).otherwise(F.col("code")))
+    pairs = [
+        [r.prediction for r in R.predict(m, test, SMALL, "label").orderBy("id").collect()]
+        for m in (model, wide)
+    ]
+    assert pairs[0] == pytest.approx(pairs[1])
