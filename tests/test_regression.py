@@ -240,3 +240,28 @@ def test_codes_that_do_not_occur_take_no_slot(spark, data, kind, scale):
         for m in (model, wide)
     ]
     assert pairs[0] == pytest.approx(pairs[1])
+
+
+def test_the_join_shuffles_into_the_training_buckets(spark, sf_dir, tmp_path):
+    """Trips were shuffled and written again for the training table."""
+    from fareloom.plans.views import TRIP_KEY, trips
+
+    parted = trips(spark, sf_dir, 3)
+    assert parted.rdd.getNumPartitions() == 3
+    names = [*TRIP_KEY, "PULocationID", "DOLocationID", "total_amount"]
+    rows = parted.select(*names).withColumn("half", F.col("l_linenumber") % 2)
+    path = str(tmp_path / "table")
+    table = R.training_table(rows, TRIP_KEY, path, partition_by=["half"], parted=(3, "l_orderkey"))
+    files = [f.name for f in (tmp_path / "table").rglob("part-*.parquet")]
+    assert len(files) == 2 * 3
+    half = table.filter("half = 1")
+    assert half.rdd.getNumPartitions() == 3
+    wanted = trips(spark, sf_dir).select(*names)
+    assert sorted(table.select(*names).collect()) == sorted(wanted.collect())
+    assert half.count() == wanted.filter("l_linenumber % 2 = 1").count()
+
+
+def test_buckets_hold_as_many_rows_on_larger_tables(spark):
+    assert [R.buckets_of(n) for n in (0, 1, 100_000, 100_001, 480_000, 28_800_000)] == [
+        1, 1, 1, 2, 5, 288,
+    ]
