@@ -242,20 +242,21 @@ def test_codes_that_do_not_occur_take_no_slot(spark, data, kind, scale):
     assert pairs[0] == pytest.approx(pairs[1])
 
 
-def test_the_join_shuffles_into_the_training_buckets(spark, sf_dir, tmp_path):
+@pytest.mark.parametrize("parts", [3, 7])  # fewer and more than the session's
+def test_the_join_shuffles_into_the_training_buckets(spark, sf_dir, tmp_path, parts):
     """Trips were shuffled and written again for the training table."""
     from fareloom.plans.views import TRIP_KEY, trips
 
-    parted = trips(spark, sf_dir, 3)
-    assert parted.rdd.getNumPartitions() == 3
+    parted = trips(spark, sf_dir, parts)
+    assert parted.rdd.getNumPartitions() == parts
     names = [*TRIP_KEY, "PULocationID", "DOLocationID", "total_amount"]
     rows = parted.select(*names).withColumn("half", F.col("l_linenumber") % 2)
     path = str(tmp_path / "table")
-    table = R.training_table(rows, TRIP_KEY, path, partition_by=["half"], parted=(3, "l_orderkey"))
+    table = R.training_table(rows, TRIP_KEY, path, partition_by=["half"], parted=(parts, "l_orderkey"))
     files = [f.name for f in (tmp_path / "table").rglob("part-*.parquet")]
-    assert len(files) == 2 * 3
+    assert len(files) == 2 * parts
     half = table.filter("half = 1")
-    assert half.rdd.getNumPartitions() == 3
+    assert half.rdd.getNumPartitions() == parts
     wanted = trips(spark, sf_dir).select(*names)
     assert sorted(table.select(*names).collect()) == sorted(wanted.collect())
     assert half.count() == wanted.filter("l_linenumber % 2 = 1").count()

@@ -174,3 +174,15 @@ def test_fits_at_a_time_leave_no_core_idle(spark, data, monkeypatch):
     T.tune(parted, "forest", "label", {"numTrees": [2], "maxDepth": [2]}, folds=3)
     parted.unpersist()
     assert sizes == [2]
+
+
+def test_workers_of_forest_errors_find_this_package(spark, data):
+    """From another folder ml_cv_forest stopped: no module named fareloom."""
+    environment = spark.sparkContext.environment
+    before = environment.pop("PYTHONPATH", None)
+    try:
+        T.forest_errors(R.estimator("forest", "label", numTrees=2).fit(data), data, "label", [1], [2])
+        assert environment.get("PYTHONPATH")
+    finally:
+        if before is not None:
+            environment["PYTHONPATH"] = before
