@@ -94,6 +94,27 @@ def test_estimate_stays_within_its_error(spark):
         assert abs(estimated.head().distinct_count - exact) <= 3 * rsd * exact
 
 
+def test_estimates_of_many_groups_stay_within_their_error(spark):
+    """Groups of 60 to 80 values, as in the news, and of up to 3,000; "" is a value, null none."""
+    groups = spark.range(20000).select(
+        F.col("id").alias("k"),
+        F.when(F.col("id") % 200 == 0, 3000).otherwise(60 + F.col("id") % 21).alias("n"),
+    )
+    number = F.explode(F.sequence(F.lit(1), F.col("n")))
+    df = groups.select("k", "n", number.alias("i")).select(
+        F.lit(START).cast("timestamp").alias("t"),
+        "k",
+        F.when(F.col("i") < F.col("n") - 1, F.concat_ws("_", "k", "i"))
+        .when(F.col("i") < F.col("n"), F.lit(""))
+        .alias("v"),
+    )
+    exact = windowed_distinct(df, "t", "5 minutes", ["k"], "v", exact=True, name="known")
+    both = exact.join(windowed_distinct(df, "t", "5 minutes", ["k"], "v"), ["k"])
+    off = F.abs(F.col("distinct_count") - F.col("known"))
+    assert both.filter(off > 3 * 0.05 * F.col("known") + 1).count() == 0
+    assert both.filter((F.col("known") < 100) & (off > 0)).count() < 20
+
+
 @settings(max_examples=8, deadline=None)
 @given(
     st.lists(st.tuples(st.integers(0, 3000), st.sampled_from("abc")), min_size=1, max_size=80),
