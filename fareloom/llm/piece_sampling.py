@@ -18,6 +18,7 @@ import functools
 import math
 import re
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -85,29 +86,35 @@ class PieceLattice:
         self.edge_keys = keys[order]
         self.edge_to = np.array(list(edges.values()), np.int64)[order]
         self.piece_at = np.array(piece_at, np.int64)
+        self.inner = np.zeros(len(piece_at), bool)  # nodes that go on
+        self.inner[self.edge_keys >> 21] = True
+        self.first = np.full(0x110000, -1)  # the node after one character
+        at_root = self.edge_keys < 1 << 21
+        self.first[self.edge_keys[at_root]] = self.edge_to[at_root]
 
     def arcs(self, codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
         """(from, to, piece) by position in ``codes``; piece -1 spells one character.
 
         ``ends`` has, for each position, the end of its word."""
-        start = np.arange(len(codes))
-        node = np.zeros(len(codes), np.int64)
+        node = self.first[codes]
+        start = np.flatnonzero(node >= 0)
+        node = node[start]
         out = []
         for length in range(1, self.longest + 1):
-            inside = start + length <= ends[start]
+            piece = self.piece_at[node]
+            whole = piece >= 0
+            out.append((start[whole], start[whole] + length, piece[whole]))
+            inside = np.flatnonzero(self.inner[node])
+            inside = inside[start[inside] + length < ends[start[inside]]]
             start, node = start[inside], node[inside]
             if not len(start):
                 break
-            key = node << 21 | codes[start + length - 1]
+            key = node << 21 | codes[start + length]
             at = np.minimum(np.searchsorted(self.edge_keys, key), len(self.edge_keys) - 1)
             found = self.edge_keys[at] == key
             start, node = start[found], self.edge_to[at[found]]
-            piece = self.piece_at[node]
-            whole = piece >= 0
-            out.append((start[whole], start[whole] + length, piece[whole]))
         lonely = np.ones(len(codes), bool)
-        if out:
-            lonely[out[0][0]] = False
+        lonely[out[0][0]] = False
         spelled = np.flatnonzero(lonely)
         out.append((spelled, spelled + 1, np.full(len(spelled), -1)))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
@@ -161,8 +168,9 @@ class PieceLattice:
         group_of = np.full(len(total), -1)
         group_of[head[new]] = group[new]
 
-        lane = np.arange(len(word_of))
-        node = last[word_of] + word_of
+        # Occurrences of a word walk side by side, through the same few nodes.
+        lane = np.argsort(word_of, kind="stable")
+        node = (last + np.arange(len(words)))[word_of[lane]]
         stop = first + np.arange(len(words))
         log_p = np.zeros(len(word_of))
         count = np.zeros(len(word_of), np.int64)
@@ -171,8 +179,14 @@ class PieceLattice:
         while len(lane):
             mixed = splitmix(keys[lane] + np.uint64(step * STEP & (1 << 64) - 1))
             own = group_of[node]
-            arc = np.searchsorted(place, own + mixed * UNIT)
-            arc = np.clip(arc, edge[own], edge[own + 1] - 1)
+            aim = own + mixed * UNIT
+            arc, final = edge[own], edge[own + 1] - 1
+            # The first arc of the node that reaches its aim, else the last; nodes have few.
+            open_ = np.flatnonzero(arc < final)
+            while len(open_):
+                open_ = open_[place[arc[open_]] < aim[open_]]
+                arc[open_] += 1
+                open_ = open_[arc[open_] < final[open_]]
             log_p[lane] += np.log(share[arc])
             taken.append((lane, np.where(piece[arc] < 0, -1 - codes[start[arc]], piece[arc])))
             count[lane] += 1
@@ -191,14 +205,15 @@ class PieceLattice:
         self, texts: list[str | None], keys: list[int | None], seed: int = SEED
     ) -> list[tuple[np.ndarray, float] | None]:
         """Ids and log probability of a drawn segmentation of each text."""
-        number: dict[str, int] = {}
+        number: defaultdict[str, int] = defaultdict()
+        number.default_factory = number.__len__
         word_of, sizes = [], []
         for text in texts:
             words = []
             if text:
                 text = text.replace(MARK, LITERAL).replace(" ", MARK)
                 words = WORD.findall(MARK + text)
-            word_of += [number.setdefault(w, len(number)) for w in words]
+            word_of.extend(map(number.__getitem__, words))
             sizes.append(len(words))
         # A missing key counts as one of its own.
         rows = np.array([(-1 << 62) if k is None else k for k in keys], np.int64).view(np.uint64)
