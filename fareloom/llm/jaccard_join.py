@@ -49,6 +49,7 @@ from fareloom.llm.common import (
     stored,
 )
 from fareloom.llm.components import connected_components
+from fareloom.session import give_back
 
 COLLISION = 20.0  # cost of a segment with one token at most, in signatures
 BLOCK = 1000  # sets of a signature compared in one task, with those of another block
@@ -236,8 +237,9 @@ def folded(bits: bytes, size: int) -> np.ndarray:
     return np.bitwise_or.reduce(np.frombuffer(bits, np.uint64).reshape(-1, size // 8))
 
 
-def signed_sets(df: DataFrame, rule: Rule, common: np.ndarray) -> DataFrame:
-    """doc_id, text_hash, n, key, signatures and bits per row, written to the shared folder.
+def signed_sets(df: DataFrame, rule: Rule, common: np.ndarray) -> tuple[DataFrame, str]:
+    """doc_id, text_hash, n, key, signatures and bits per row, written to the shared folder,
+    and the place there.
 
     A set's signatures and bitmap are given once per partition, so copies add one row for
     each partition at most.
@@ -268,11 +270,16 @@ def signed_sets(df: DataFrame, rule: Rule, common: np.ndarray) -> DataFrame:
                 )
 
     schema = "doc_id long, text_hash long, n long, key long, signatures array<long>, bits binary"
-    return stored(df.select("doc_id", "text_hash", "text").mapInArrow(run, schema), "signed")
+    folder: list[str] = []
+    signed = df.select("doc_id", "text_hash", "text").mapInArrow(run, schema)
+    return replaced(signed, "signed", folder), folder[0]
 
 
 def sharing(signed: DataFrame) -> DataFrame:
-    """(s, key, before): sets that share a signature, and the one before in each."""
+    """(s, key, before): sets that share a signature, and the one before in each.
+
+    Signatures that the same sets share are one: ``s`` is a hash of these sets. (Of equal
+    hashes by chance the sets are looked at together.)"""
     rows = signed.select(F.explode("signatures").alias("s"), "key")
     ordered = Window.partitionBy("s").orderBy("key")
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -282,7 +289,9 @@ def sharing(signed: DataFrame) -> DataFrame:
         (F.first("key").over(whole) != F.last("key").over(whole)).alias("shared"),
     )
     # A set comes once from every partition that holds it.
-    return placed.filter("shared AND (before IS NULL OR before <> key)").drop("shared")
+    held = placed.filter("shared AND (before IS NULL OR before <> key)")
+    of_sets = F.bit_xor(F.xxhash64("key")).over(Window.partitionBy("s"))
+    return held.select(of_sets.alias("s"), "key", "before").distinct()
 
 
 def with_sets(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
@@ -481,9 +490,11 @@ def linked_sets(
     docs = df.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
     ).withColumn("text_hash", F.xxhash64("text"))
+    spark = df.sparkSession
     common = common_tokens(docs, rule)
-    signed = signed_sets(docs, rule, common)
+    signed, folder = signed_sets(docs, rule, common)
     members = stored(sharing(signed), "members")
+    give_back(spark)
     asked = members.select("key").distinct()
     known = (
         signed.filter("bits IS NOT NULL")
@@ -492,19 +503,23 @@ def linked_sets(
         .agg(F.min("n").alias("n"), F.min("bits").alias("bits"), F.min("text_hash").alias("text_hash"))
     )
     known = stored(known, "known")
+    signed = replaced(signed.drop("signatures", "bits"), "signed", [folder])
     sets = sets_of(docs, marked(known), rule).groupBy("key").agg(F.min("tokens").alias("tokens"))
     sets = stored(sets.join(known.select("key"), "key", "left_semi"), "sets")
+    give_back(spark)
     bits = known.select("key", "n", "bits")
     labels = known.select("key", F.col("key").alias("component"))
-    folder: list[str] = []
+    held: list[str] = []
     checked = compared(nearest_before(members, bits, rule), sets, rule)
     refuted, limit = checked.filter("NOT linked").select("a", "b"), NEAREST
     more = True
     while True:
-        labels = replaced(merged(labels, checked.filter("linked")), "labels", folder)
+        give_back(spark)
+        labels = replaced(merged(labels, checked.filter("linked")), "labels", held)
         if not more:
-            return signed.drop("signatures", "bits"), labels.withColumnRenamed("key", "node")
+            return signed, labels.withColumnRenamed("key", "node")
         rivals = stored(crossing(members, bits, labels, refuted, rule, limit), "rivals")
+        give_back(spark)
         checked = compared(rivals.select("a", "b"), sets, rule)
         refuted = refuted.union(checked.filter("NOT linked").select("a", "b"))
         more = not rivals.filter("more").isEmpty()

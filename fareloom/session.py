@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -67,6 +68,15 @@ def ship(spark: SparkSession) -> None:
         environment.setdefault(name, value)
 
 
+def give_back(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that are over.
+
+    It does so when a collection in the driver's JVM finds that nothing refers to them
+    any more; left alone, a driver with little to do keeps the files of hours."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.conf.get("spark.master", "").startswith("local")
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 
 import numpy as np
@@ -89,6 +90,27 @@ def test_linked_sets_share_a_signature(rule):
                     assert len(np.intersect1d(*own)), (size, len(b))
 
 
+def test_signatures_of_the_same_sets_count_once(spark):
+    """Pairs that shared many signatures were looked at under each of them: in the pipeline
+    the join took 2.39 GB of disk on 0.51 GB and was stopped."""
+    rows = [(1, list(range(50))), (2, list(range(60))), (2, list(range(60))), (3, [55, 99])]
+    signed = spark.createDataFrame(rows, "key long, signatures array<long>").repartition(3)
+    got = [(r.s, r.key, r.before) for r in J.sharing(signed).collect()]
+    assert len({s for s, _, _ in got}) == 2
+    assert sorted((k, b or 0) for _, k, b in got) == [(1, 0), (2, 0), (2, 1), (3, 2)]
+
+
+def test_signatures_leave_the_disk_when_members_are_known(spark, tmp_path, monkeypatch):
+    """They stayed beside the members, as did the shuffle that brought these together."""
+    numbers = itertools.count()
+    place = lambda _, label: f"{tmp_path}/{label}-{next(numbers)}"
+    monkeypatch.setattr("fareloom.llm.common.scratch_path", place)
+    df = spark.createDataFrame(near_copies(3, 9), "doc_id long, text string")
+    J.linked_sets(df, Rule())
+    (left,) = tmp_path.glob("signed*")
+    assert spark.read.parquet(str(left)).columns == ["doc_id", "text_hash", "n", "key"]
+
+
 def test_bitmaps_never_refute_a_link():
     rng = np.random.default_rng(4)
     for size in [*range(1, 40), 63, 64, 65, 500, 5000]:
