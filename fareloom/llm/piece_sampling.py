@@ -39,6 +39,7 @@ LITERAL = "\udc81"  # stands for a literal mark; no valid text holds a lone surr
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 UNIT = 2.0**-64
 STEP = 0xD1342543DE82EF95
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class PieceLattice:
@@ -82,15 +83,47 @@ class PieceLattice:
         self.piece_size = np.array([len(x) for x in self.spelling])
         self.piece_start = np.cumsum(self.piece_size) - self.piece_size
         keys = np.array([a << 21 | c for a, c in edges], np.int64)
-        order = np.argsort(keys)
-        self.edge_keys = keys[order]
-        self.edge_to = np.array(list(edges.values()), np.int64)[order]
+        to = np.array(list(edges.values()), np.int64)
         self.piece_at = np.array(piece_at, np.int64)
         self.inner = np.zeros(len(piece_at), bool)  # nodes that go on
-        self.inner[self.edge_keys >> 21] = True
+        self.inner[keys >> 21] = True
         self.first = np.full(0x110000, -1)  # the node after one character
-        at_root = self.edge_keys < 1 << 21
-        self.first[self.edge_keys[at_root]] = self.edge_to[at_root]
+        at_root = keys < 1 << 21
+        self.first[keys[at_root]] = to[at_root]
+        # Edges by a hash of their key, in the next free slot; three of four are free.
+        self.bits = (4 * len(keys) - 1).bit_length()
+        self.slot_key = np.full(1 << self.bits, -1)
+        self.slot_to = np.full(1 << self.bits, -1)
+        slot = self.slot(keys)
+        while len(keys):
+            free = np.flatnonzero(self.slot_key[slot] < 0)
+            won = free[np.unique(slot[free], return_index=True)[1]]
+            self.slot_key[slot[won]], self.slot_to[slot[won]] = keys[won], to[won]
+            keys, to, slot = (np.delete(x, won) for x in (keys, to, slot))
+            slot = slot + 1 & (1 << self.bits) - 1
+
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        """Where an edge is looked for first."""
+        return (keys.view(np.uint64) * SPREAD >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def child(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The node after ``node`` by a character, -1 if there is none."""
+        keys = node << 21 | code
+        slot = self.slot(keys)
+        held = self.slot_key[slot]
+        other = held != keys
+        out = self.slot_to[slot]
+        out[other] = -1
+        again = np.flatnonzero(other & (held >= 0))
+        slot = slot[again]
+        while len(again):
+            slot = slot + 1 & (1 << self.bits) - 1
+            held = self.slot_key[slot]
+            same = held == keys[again]
+            out[again[same]] = self.slot_to[slot[same]]
+            on = ~same & (held >= 0)
+            again, slot = again[on], slot[on]
+        return out
 
     def arcs(self, codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
         """(from, to, piece) by position in ``codes``; piece -1 spells one character.
@@ -109,10 +142,9 @@ class PieceLattice:
             start, node = start[inside], node[inside]
             if not len(start):
                 break
-            key = node << 21 | codes[start + length]
-            at = np.minimum(np.searchsorted(self.edge_keys, key), len(self.edge_keys) - 1)
-            found = self.edge_keys[at] == key
-            start, node = start[found], self.edge_to[at[found]]
+            node = self.child(node, codes[start + length])
+            found = np.flatnonzero(node >= 0)
+            start, node = start[found], node[found]
         lonely = np.ones(len(codes), bool)
         lonely[out[0][0]] = False
         spelled = np.flatnonzero(lonely)
@@ -135,7 +167,8 @@ class PieceLattice:
         # Position p of word w is node p + w, so that every word has a node at its end.
         word = np.repeat(np.arange(len(words)), sizes)[start]
         depth = end - first[word]
-        order = np.lexsort((end, depth))
+        # By depth, then end, then length: no two arcs are alike.
+        order = np.argsort((depth * (len(codes) + 1) + end) * (self.longest + 1) + end - start)
         start, end, piece, word, depth = (x[order] for x in (start, end, piece, word, depth))
         tail, head = start + word, end + word
         new = np.ones(len(head), bool)
